@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Sizes (shuffle partitions, memory) stay with the cluster.
 SETTINGS = {
@@ -40,3 +40,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="sensorlake-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Compute a small result once and keep it, so that every later use sees the same rows."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoints"))
+    return df.checkpoint()
