@@ -4,7 +4,7 @@ import importlib
 
 from sensorlake.plans.registry import QUERIES, Query
 
-MODULES = ("landing",)
+MODULES = ("landing", "readings")
 
 
 def all_queries() -> dict[str, Query]:
