@@ -184,7 +184,9 @@ def describe_times(df: DataFrame, cols: Sequence[str], percentiles: Sequence[flo
 
     numbers = df.select(*[micros(df, c).alias(c) for c in cols])
     rows = numbers.unpivot([], list(cols), "column", "value")
-    stats = aggregate(rows, ["column"], {"count": ("value", "count"), "mean": ("value", "mean"), "min": ("value", "min"), "max": ("value", "max")})
+    # A mean of microseconds needs more digits than a double sum keeps.
+    rows = rows.withColumn("exact", F.col("value").cast("decimal(20,0)"))
+    stats = aggregate(rows, ["column"], {"count": ("value", "count"), "mean": ("exact", "mean"), "min": ("value", "min"), "max": ("value", "max")})
     names = _percent_names(percentiles)
     done = on_keys(stats, quantiles(rows, ["column"], "value", names), ["column"])
 

@@ -4,7 +4,7 @@ import importlib
 
 from sensorlake.plans.registry import QUERIES, Query
 
-MODULES = ("landing", "readings")
+MODULES = ("landing", "readings", "files", "columns", "joined", "grouped", "ordered", "reshaped")
 
 
 def all_queries() -> dict[str, Query]:

@@ -9,13 +9,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sensorlake.sources.text import no_value
 
+# Text keeps microseconds, blanks at the ends of values and doubled quotes.
+TEXT = {
+    "header": "true",
+    "escape": '"',
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 # Formats and the options they start from.
 FORMATS = {
     "parquet": {"compression": "snappy"},
     "orc": {"compression": "uncompressed"},
     "json": {},
-    "csv": {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"},
-    "tsv": {"header": "true", "escape": '"', "sep": "\t", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"},
+    "csv": TEXT,
+    "tsv": {**TEXT, "sep": "\t"},
     "xml": {"rowTag": "row"},
 }
 
