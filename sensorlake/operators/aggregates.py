@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorlake.operators.runs import Runs, same
-from sensorlake.operators.windows import rank
+from sensorlake.operators.windows import value_ranks
 
 
 def ordering(order: Sequence[str]) -> Column:
@@ -75,12 +75,13 @@ def aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, tuple]) ->
     """``{out: (col, fn, opts)}`` per group, or over the whole table without keys."""
     plain = [statistic(c, fn, *rest).alias(out) for out, (c, fn, *rest) in spec.items() if fn not in EXACT]
     done = df.groupBy(*keys).agg(*(plain or [F.count(F.lit(1)).alias("__rows")]))
+    exact: dict[str, dict[str, tuple[float, str]]] = {}
     for out, (col, fn, *rest) in spec.items():
         if fn in EXACT:
             opts = rest[0] if rest else {}
-            q = 0.5 if fn == "median" else opts.get("q", 0.5)
-            part = quantiles(df, keys, col, {out: q}, opts.get("interpolation", "linear"))
-            done = on_keys(done, part, keys)
+            exact.setdefault(col, {})[out] = (0.5 if fn == "median" else opts.get("q", 0.5), opts.get("interpolation", "linear"))
+    for col, qs in exact.items():
+        done = on_keys(done, quantiles(df, keys, col, qs), keys)
     return done.select(*keys, *spec)
 
 
@@ -94,9 +95,12 @@ def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], col: str, qs: Mapping[str, float], interpolation: str = "linear", **kw
+    df: DataFrame, keys: Sequence[str], col: str, qs: Mapping[str, float | tuple[float, str]], interpolation: str = "linear", **kw
 ) -> DataFrame:
-    """Exact quantiles per group (C55); interpolation linear, lower, higher, nearest or midpoint."""
+    """Exact quantiles per group (C55), as ``{out: q}`` or ``{out: (q, interpolation)}``.
+
+    Interpolation is linear, lower, higher, nearest or midpoint.
+    """
     keys = list(keys)
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     upto = Runs(counts, keys, ["__v"], **kw).cumulative("__n", "sum", "__upto").rows()
@@ -108,7 +112,8 @@ def quantiles(
         return F.max(F.when(here, F.col("__v")))
 
     aggs, out = [], []
-    for i, (name, q) in enumerate(qs.items()):
+    for i, (name, how) in enumerate(qs.items()):
+        q, kind = how if isinstance(how, tuple) else (how, interpolation)
         spot = F.lit(q) * (F.col("__total") - 1)
         low, high = F.floor(spot), F.ceil(spot)
         aggs += [at(low).alias(f"__lo{i}"), at(high).alias(f"__hi{i}"), F.max(spot - low).alias(f"__f{i}"), F.max(low).alias(f"__at{i}")]
@@ -120,7 +125,7 @@ def quantiles(
             "midpoint": (lo + hi) / 2,
             # Half-way goes to the even position.
             "nearest": F.when((part < 0.5) | ((part == 0.5) & (spot_low % 2 == 0)), lo).otherwise(hi),
-        }[interpolation]
+        }[kind]
         # Equal neighbours need no arithmetic, so that infinities stay.
         out.append(F.when(lo == hi, lo).otherwise(value).alias(name))
     return placed.groupBy(*keys).agg(*aggs).select(*keys, *out)
@@ -200,9 +205,12 @@ def correlate(df: DataFrame, a: str, b: str, method: str = "pearson", keys: Sequ
     """Pearson or Spearman correlation, or sample covariance, of pairs without NULL."""
     pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     if method == "spearman":
-        pairs = rank(rank(pairs, a, keys, out="__a", **kw), b, keys, out="__b", **kw)
+        ranks = [value_ranks(pairs, c, keys, {out: ("average", False)}, **kw) for c, out in ((a, "__a"), (b, "__b"))]
+        pairs = on_keys(on_keys(pairs, ranks[0], [*keys, a]), ranks[1], [*keys, b])
         a, b = "__a", "__b"
-    stat = F.covar_samp(a, b) if method == "covariance" else F.corr(a, b)
+    # NULL, not an error, where one side does not vary.
+    pearson = F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a) * F.var_pop(b)))
+    stat = F.covar_samp(a, b) if method == "covariance" else pearson
     return pairs.groupBy(*keys).agg(stat.alias(method))
 
 

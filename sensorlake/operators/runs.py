@@ -42,8 +42,8 @@ class Runs:
     """The rows of ``df`` grouped by ``by`` and totally ordered by ``order`` inside a group.
 
     Methods add a column and return new ``Runs``; ``df`` (or ``rows()`` without the run number)
-    gives the rows. ``rows_per_run=None`` trusts that no group is too large and skips the check,
-    which reads the ``by`` columns once.
+    gives the rows. ``rows_per_run`` defaults to ``ROWS_PER_RUN``; 0 says that no group is too large
+    and saves the check, which reads the ``by`` columns once.
     """
 
     def __init__(
@@ -51,7 +51,7 @@ class Runs:
         df: DataFrame,
         by: Sequence[str],
         order: Sequence[str],
-        rows_per_run: int | None = ROWS_PER_RUN,
+        rows_per_run: int | None = None,
         descending: bool = False,
     ):
         self.order = list(order)
@@ -60,6 +60,7 @@ class Runs:
         if not by:
             df = df.withColumn("__all", F.lit(0))
         self.by = list(by) or ["__all"]
+        rows_per_run = ROWS_PER_RUN if rows_per_run is None else rows_per_run
         self.edges = self._find_edges(df, rows_per_run) if rows_per_run else None
         self.df = self._place(df) if self.split else df.withColumn(RUN, F.lit(None).cast("int"))
 

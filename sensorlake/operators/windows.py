@@ -6,7 +6,7 @@ All take ``by`` (may be empty) and ``order``, a total order inside a group, and
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from sensorlake.operators.runs import ROWS_PER_RUN, RUN, Runs, same
+from sensorlake.operators.runs import RUN, Runs, same
 
 
 def cumulative(df: DataFrame, col: str, fn: str, by: Sequence[str], order: Sequence[str], out: str | None = None, **kw) -> DataFrame:
@@ -52,33 +52,49 @@ def rank(
 ) -> DataFrame:
     """Rank of ``col`` inside its group; NULL ranks NULL.
 
-    ``first`` numbers the rows by (value, ``order``). The other methods depend on the value alone,
-    so they are worked out once per distinct value, from counts combined before the shuffle, and
-    joined back: a value shared by very many rows costs no more than any other.
+    ``first`` numbers the rows by (value, ``order``). The other methods depend on the value alone
+    and come from ``value_ranks``, joined back.
+    """
+    by = list(by)
+    if method != "first":
+        return _join_back(df, value_ranks(df, col, by, {out: (method, pct)}, descending, **kw), [*by, col])
+    # Rows without a value are numbered too, behind the others, and then lose their number.
+    behind = df.withColumn("__none", F.col(col).isNull() if not descending else F.col(col).isNotNull())
+    runs = Runs(behind, by, ["__none", col, *order], descending=descending, **kw).row_number(out)
+    ranked = runs.rows().drop("__none").withColumn(out, F.when(F.col(col).isNotNull(), F.col(out).cast("double")))
+    if not pct:
+        return ranked
+    totals = df.groupBy(*by).agg(F.count(col).cast("double").alias("__total"))
+    return _join_back(ranked, totals, by).withColumn(out, F.col(out) / F.col("__total")).drop("__total")
+
+
+def value_ranks(
+    df: DataFrame, col: str, by: Sequence[str], outs: Mapping[str, tuple[str, bool]], descending: bool = False, **kw
+) -> DataFrame:
+    """(by, col, ranks): ranks as ``{out: (method, pct)}`` for every distinct value of a group.
+
+    Equal values are counted before the shuffle, so a value that very many rows share costs no more
+    than any other.
     """
     by = list(by)
-    if method == "first":
-        keep, gone = df.where(F.col(col).isNotNull()), df.where(F.col(col).isNull())
-        runs = Runs(keep, by, [col, *order], descending=descending, **kw).row_number(out)
-        ranked = runs.rows().withColumn(out, F.col(out).cast("double"))
-        if pct:
-            totals = keep.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("__total"))
-            ranked = _join_back(ranked, totals, by).withColumn(out, F.col(out) / F.col("__total")).drop("__total")
-        return ranked.unionByName(gone.withColumn(out, F.lit(None).cast("double")))
     values = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
     runs = Runs(values, by, [col], descending=descending, **kw).cumulative("__n", "sum", "__upto").row_number("__dense")
+    ranked = runs.rows()
+    if any(pct for _, pct in outs.values()):
+        totals = ranked.groupBy(*by).agg(F.max("__upto").alias("__rows"), F.max("__dense").alias("__values"))
+        ranked = _join_back(ranked, totals, by)
     ranks = {
         "min": F.col("__upto") - F.col("__n") + 1,
         "max": F.col("__upto"),
         "average": F.col("__upto") - (F.col("__n") - 1) / 2,
         "dense": F.col("__dense"),
     }
-    ranked = runs.rows().withColumn("__rank", ranks[method].cast("double"))
-    if pct:
-        total = F.max("__dense" if method == "dense" else "__upto").cast("double").alias("__total")
-        ranked = _join_back(ranked, ranked.groupBy(*by).agg(total), by)
-        ranked = ranked.withColumn("__rank", F.col("__rank") / F.col("__total"))
-    return _join_back(df, ranked.select(*by, col, F.col("__rank").alias(out)), [*by, col])
+
+    def value(method: str, pct: bool) -> Column:
+        c = ranks[method].cast("double")
+        return c / F.col("__values" if method == "dense" else "__rows") if pct else c
+
+    return ranked.select(*by, col, *[value(*how).alias(out) for out, how in outs.items()])
 
 
 def _join_back(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -254,6 +270,7 @@ def _raw_moments(w: Window | None, x: Column, at: Column) -> list[Column]:
 
 def _statistic(fn: str, n: Column, s: list[Column], at: Column) -> Column:
     """Mean, var, std, sem, skew or kurt from n and sums of powers about ``at``."""
+    n = F.when(n > 0, n)
     m = s[0] / n
     m2 = F.greatest(s[1] - n * m * m, F.lit(0.0))
     var = F.when(n >= 2, m2 / (n - 1))
@@ -289,7 +306,7 @@ def expanding(
     """
     out = out or f"expanding_{fn}"
     if fn in ("median", "quantile", "rank"):
-        runs = Runs(df, by, order, rows_per_run=None)
+        runs = Runs(df, by, order, rows_per_run=0)
         stat = frame_statistic(fn, col, q)(runs.so_far())
         enough = F.count(col).over(runs.so_far()) >= min_periods
         return runs.with_df(runs.df.withColumn(out, F.when(enough, stat))).rows()
@@ -343,7 +360,8 @@ def _expanding_pair(runs: Runs, a: str, b: str, fn: str, min_periods: int, out:
     w = runs.so_far()
     if not runs.split:
         n = F.count(x).over(w)
-        stat = F.covar_samp(x, y).over(w) if fn == "cov" else F.corr(x, y).over(w)
+        spread = F.sqrt(F.var_pop(x).over(w) * F.var_pop(y).over(w))
+        stat = F.covar_samp(x, y).over(w) if fn == "cov" else F.try_divide(F.covar_pop(x, y).over(w), spread)
         rows = runs.df.withColumn(out, F.when((n >= min_periods) & (n >= 2), stat))
         return runs.with_df(rows).rows()
     # n and sums about the means of the group's first run: x, y, xx, yy, xy.

@@ -168,8 +168,7 @@ def columns(spark: SparkSession, sf: str) -> DataFrame:
 )
 def taken(spark: SparkSession, sf: str) -> DataFrame:
     at = table(spark, sf, "part").select((F.col("p_partkey") * 3).alias("at"))
-    # Few enough rows per run that the whole table is cut into several.
-    return R.take(table(spark, sf, "events"), at, ["value", "event_id"], rows_per_run=2000).select("event_id", "position")
+    return R.take(table(spark, sf, "events"), at, ["value", "event_id"]).select("event_id", "position")
 
 
 @query(
@@ -178,4 +177,4 @@ def taken(spark: SparkSession, sf: str) -> DataFrame:
     FROM (SELECT event_type, row_number() OVER (ORDER BY value DESC, event_id DESC) - 1 AS position FROM events) AS e""",
 )
 def first_index(spark: SparkSession, sf: str) -> DataFrame:
-    return R.index_of(table(spark, sf, "events"), "event_type", "error", ["value", "event_id"], "first_error", rows_per_run=2000, descending=True)
+    return R.index_of(table(spark, sf, "events"), "event_type", "error", ["value", "event_id"], "first_error", descending=True)

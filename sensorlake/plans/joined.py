@@ -102,8 +102,8 @@ def asof_tolerance(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT l.event_id, l.ts, r.error_id FROM {CLICKS} ASOF LEFT JOIN {ERRORS} ON l.ts >= r.ts""",
 )
 def asof_without_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """One time line for the whole table, cut into runs."""
-    found = J.asof_join(clicks(spark, sf).select("event_id", "ts"), errors(spark, sf).select("ts", "error_id"), "ts", rows_per_run=1000)
+    """One time line for the whole table."""
+    found = J.asof_join(clicks(spark, sf).select("event_id", "ts"), errors(spark, sf).select("ts", "error_id"), "ts")
     return found.select("event_id", "ts", "error_id")
 
 

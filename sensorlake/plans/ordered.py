@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorlake.operators import windows as W
+from sensorlake.operators.aggregates import on_keys
 from sensorlake.plans.columns import GAPPY, gappy
 from sensorlake.plans.registry import query, r, table
 
@@ -32,8 +33,8 @@ def cumulative(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c69_cumulative_whole_table", "SELECT event_id, round(sum(value) OVER (ORDER BY ts, event_id), 4) AS s FROM events")
 def cumulative_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """One order for all rows; runs of few rows, so that the table is cut."""
-    out = W.cumulative(events(spark, sf), "value", "sum", [], ORDER, "s", rows_per_run=2000)
+    """One order for all rows of the table."""
+    out = W.cumulative(events(spark, sf), "value", "sum", [], ORDER, "s")
     return out.select("event_id", r("s", 4).alias("s"))
 
 
@@ -66,9 +67,9 @@ TIES = "count(*) OVER (PARTITION BY user_id, u)"
 )
 def ranked(spark: SparkSession, sf: str) -> DataFrame:
     df = events(spark, sf).withColumn("u", F.round(F.col("value") / 10)).select("event_id", "user_id", "u")
-    for method in ("average", "min", "max", "dense", "first"):
-        df = W.rank(df, "u", BY, method, ["event_id"], out=method)
-    df = W.rank(df, "u", BY, "average", pct=True, out="pct")
+    df = W.rank(df, "u", BY, "first", ["event_id"], out="first")
+    ranks = {m: (m, False) for m in ("average", "min", "max", "dense")}
+    df = on_keys(df, W.value_ranks(df, "u", BY, {**ranks, "pct": ("average", True)}), [*BY, "u"])
     return df.select("event_id", "average", "min", "max", "dense", "first", r("pct", 8).alias("pct"))
 
 
@@ -114,17 +115,17 @@ def frame_sql(frame: str, least: int) -> str:
         return f"CASE WHEN count(v) OVER w >= {need} THEN {expr} END"
 
     return f"""SELECT event_id, {gate('round(sum(v) OVER w, 4)')} AS sum, {gate('round(avg(v) OVER w, 8)')} AS mean,
-    {gate('round(var_samp(v) OVER w, 4)', max(least, 2))} AS var, {gate('round(stddev_samp(v) OVER w, 6)', max(least, 2))} AS std,
+    {gate('round(var_samp(v) OVER w, 8)', max(least, 2))} AS var, {gate('round(stddev_samp(v) OVER w, 6)', max(least, 2))} AS std,
     {gate('round(stddev_samp(v) OVER w / sqrt(count(v) OVER w - 1), 6)', max(least, 2))} AS sem,
     {gate('min(v) OVER w')} AS min, {gate('max(v) OVER w')} AS max, {gate('round(median(v) OVER w, 6)')} AS median,
     {gate('round(quantile_cont(v, 0.25) OVER w, 6)')} AS quantile,
-    CASE WHEN v IS NOT NULL AND count(v) OVER w >= {least} THEN len(list_filter(list(v) OVER w, x -> x < v))
-      + (len(list_filter(list(v) OVER w, x -> x = v)) + 1) / 2 END AS rank,
+    CASE WHEN v IS NOT NULL AND count(v) OVER w >= {least} THEN len(list_filter(list(v) OVER w, lambda x: x < v))
+      + (len(list_filter(list(v) OVER w, lambda x: x = v)) + 1) / 2 END AS rank,
     count(v) OVER w AS count FROM {GAPPY} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id {frame})"""
 
 
 FRAME_FNS = ("sum", "mean", "var", "std", "sem", "min", "max", "median", "quantile", "rank", "count")
-DIGITS = {"sum": 4, "mean": 8, "var": 4, "std": 6, "sem": 6, "median": 6, "quantile": 6}
+DIGITS = {"sum": 4, "mean": 8, "var": 8, "std": 6, "sem": 6, "median": 6, "quantile": 6}
 
 
 def rolled(df: DataFrame, fns: tuple[str, ...], apply) -> DataFrame:
@@ -190,7 +191,7 @@ def rolling_forward(spark: SparkSession, sf: str) -> DataFrame:
 @query("c79_expanding", frame_sql("ROWS UNBOUNDED PRECEDING", 1))
 def expanding(spark: SparkSession, sf: str) -> DataFrame:
     def apply(df: DataFrame, fn: str) -> DataFrame:
-        return W.expanding(df, "v", fn, BY, ORDER, q=0.25, out=fn, rows_per_run=None)
+        return W.expanding(df, "v", fn, BY, ORDER, q=0.25, out=fn)
 
     return rolled(gappy(spark, sf), FRAME_FNS, apply)
 
@@ -203,15 +204,14 @@ def expanding(spark: SparkSession, sf: str) -> DataFrame:
 )
 def expanding_shape(spark: SparkSession, sf: str) -> DataFrame:
     df = gappy(spark, sf).select("event_id", "user_id", "ts", "v")
-    # Cut into runs of a few rows: moments are merged across them.
-    df = W.expanding(df, "v", "skew", BY, ORDER, min_periods=12, out="skew", rows_per_run=40)
-    df = W.expanding(df, "v", "kurt", BY, ORDER, min_periods=12, out="kurt", rows_per_run=40)
+    df = W.expanding(df, "v", "skew", BY, ORDER, min_periods=12, out="skew")
+    df = W.expanding(df, "v", "kurt", BY, ORDER, min_periods=12, out="kurt")
     return df.select("event_id", r("skew", 5).alias("skew"), r("kurt", 5).alias("kurt"))
 
 
 @query(
     "c79_expanding_pairs",
-    f"""SELECT event_id, CASE WHEN count(v) OVER w >= 5 THEN round(covar_samp(v, z) OVER w, 4) END AS cov,
+    f"""SELECT event_id, CASE WHEN count(v) OVER w >= 5 THEN round(covar_samp(v, z) OVER w, 8) END AS cov,
     CASE WHEN count(v) OVER w >= 5 THEN round(corr(v, z) OVER w, 6) END AS corr
     FROM (SELECT *, event_id % 100 AS z FROM {GAPPY}) AS g WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
 )
@@ -219,7 +219,7 @@ def expanding_pairs(spark: SparkSession, sf: str) -> DataFrame:
     df = gappy(spark, sf).withColumn("z", F.col("event_id") % 100).select("event_id", "user_id", "ts", "v", "z")
     df = W.expanding(df, "v", "cov", BY, ORDER, other="z", min_periods=5, out="cov")
     df = W.expanding(df, "v", "corr", BY, ORDER, other="z", min_periods=5, out="corr")
-    return df.select("event_id", r("cov", 4).alias("cov"), r("corr").alias("corr"))
+    return df.select("event_id", r("cov", 8).alias("cov"), r("corr").alias("corr"))
 
 
 L = [f"lag(value, {i}) {OVER})" for i in range(4)]
@@ -249,9 +249,9 @@ def exponential(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "c81_exponential_recurrence",
-    f"""SELECT a.event_id, round(sum(b.value * pow(0.7, a.n - b.n) * CASE WHEN b.n = 1 THEN 1 ELSE 0.3 END), 6) AS ewm
+    f"""SELECT a.event_id, round(sum(b.value * pow(0.7, a.n - b.n) * CASE WHEN b.n = 1 THEN 1 ELSE 0.3 END), 8) AS ewm
     FROM (SELECT *, row_number() {OVER}) AS n FROM events) AS a JOIN (SELECT *, row_number() {OVER}) AS n FROM events) AS b
     ON a.user_id = b.user_id AND b.n <= a.n GROUP BY 1""",
 )
 def recurrence(spark: SparkSession, sf: str) -> DataFrame:
-    return W.ewm(events(spark, sf), "value", 0.3, BY, ORDER, adjust=False, rows_per_run=50).select("event_id", r("ewm").alias("ewm"))
+    return W.ewm(events(spark, sf), "value", 0.3, BY, ORDER, adjust=False).select("event_id", r("ewm", 8).alias("ewm"))

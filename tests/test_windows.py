@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sensorlake.operators import windows as W
 
 BY, ORDER = ["k"], ["ts", "event_id"]
-CUTS = [None, 24]
+CUTS = [0, 24]
 
 
 @pytest.fixture(scope="module")
