@@ -25,8 +25,8 @@ def lower(c):
 
 
 def casefold(c):
-    """Lower case for comparison; letters with a longer capital form take it (ß is ss)."""
-    return F.lower(F.upper(_c(c)))
+    """Lower case for comparison: ß is ss, a final sigma is a sigma."""
+    return F.replace(F.translate(F.lower(_c(c)), "ς", "σ"), F.lit("ß"), F.lit("ss"))
 
 
 def _pieces(c: Column, pattern: str, fn) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
@@ -95,14 +97,14 @@ DIRECTIVES = {
 
 def pattern(fmt: str) -> str:
     """A percent format in Spark's letters, other letters quoted."""
-    out, i = "", 0
-    while i < len(fmt):
-        if fmt[i] == "%":
-            if fmt[i : i + 2] not in DIRECTIVES:
-                raise ValueError(f"directive {fmt[i:i + 2]!r} is not supported")
-            out, i = out + DIRECTIVES[fmt[i : i + 2]], i + 2
+    out = ""
+    for token in re.findall(r"%.|[^%]+", fmt, re.S):
+        if token[0] != "%":
+            out += re.sub(r"([A-Za-z]+)", r"'\1'", token)
+        elif token in DIRECTIVES:
+            out += DIRECTIVES[token]
         else:
-            out, i = out + (f"'{fmt[i]}'" if fmt[i].isalpha() else fmt[i]), i + 1
+            raise ValueError(f"directive {token!r} is not supported")
     return out
 
 

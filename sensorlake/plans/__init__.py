@@ -4,7 +4,7 @@ import importlib
 
 from sensorlake.plans.registry import QUERIES, Query
 
-MODULES = ("landing", "readings", "files", "columns", "joined", "grouped", "ordered", "reshaped")
+MODULES = ("landing", "readings", "files", "columns", "joined", "grouped", "ordered", "reshaped", "texts", "clocks", "numbers", "custom")
 
 
 def all_queries() -> dict[str, Query]:

@@ -25,8 +25,9 @@ from sensorlake.streaming.incremental import run_incremental
 
 ALL = f"SELECT * FROM {SENSORS}"
 ACCEL = ("id", "timestamp", "accel_x", "accel_y", "accel_z")
-SENSOR_SCHEMA = T.StructType.fromDDL(
-    "id string, timestamp timestamp_ntz, activity string, accel_x double, accel_y double, accel_z double"
+SENSOR_SCHEMA = T.StructType(
+    [T.StructField("id", T.StringType()), T.StructField("timestamp", T.TimestampNTZType()), T.StructField("activity", T.StringType())]
+    + [T.StructField(f"accel_{axis}", T.DoubleType()) for axis in "xyz"]
 )
 LINE = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SENSOR_SCHEMA.fields)
 
