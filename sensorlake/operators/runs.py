@@ -63,15 +63,18 @@ class Runs:
         rows_per_run = ROWS_PER_RUN if rows_per_run is None else rows_per_run
         self.edges = self._find_edges(df, rows_per_run) if rows_per_run else None
         self.df = self._place(df) if self.split else df.withColumn(RUN, F.lit(None).cast("int"))
+        # Carries are worked out from here, so that a chain of methods does not nest them.
+        self.base = self.df
 
     @property
     def split(self) -> bool:
         return self.edges is not None
 
-    def with_df(self, df: DataFrame) -> Runs:
+    def with_df(self, df: DataFrame, base: DataFrame | None = None) -> Runs:
+        """The same runs over ``df``, which has the same rows and runs."""
         out = object.__new__(Runs)
         out.__dict__.update(self.__dict__)
-        out.df = df
+        out.df, out.base = df, base or self.base
         return out
 
     def reversed(self) -> Runs:
@@ -142,9 +145,13 @@ class Runs:
         run = F.col(RUN).desc() if self.descending else F.col(RUN).asc()
         return Window.partitionBy(*self.by).orderBy(run)
 
-    def carry(self, aggs: dict[str, Column], folds: dict[str, Callable[[Window], Column]]) -> DataFrame:
-        """Summarise each run by ``aggs``, then fold the summaries of the runs before it."""
-        summary = self.df.where(F.col(RUN).isNotNull()).groupBy(*self.by, RUN)
+    def _source(self, columns: Sequence[str]) -> DataFrame:
+        """Rows in runs with these columns, from as early as they are there."""
+        return self.base if set(columns) <= set(self.base.columns) else self.df
+
+    def carry(self, columns: Sequence[str], aggs: dict[str, Column], folds: dict[str, Callable[[Window], Column]]) -> DataFrame:
+        """Summarise ``columns`` of each run by ``aggs``, then fold the summaries of the runs before it."""
+        summary = self._source(columns).where(F.col(RUN).isNotNull()).groupBy(*self.by, RUN)
         summary = summary.agg(*[c.alias(n) for n, c in aggs.items()])
         before = self._run_order().rowsBetween(Window.unboundedPreceding, -1)
         return summary.select(*self.by, RUN, *[fold(before).alias(n) for n, fold in folds.items()])
@@ -159,7 +166,7 @@ class Runs:
     def before(self, n: int, columns: Sequence[str]) -> DataFrame:
         """(by, run, ``__prev``): the last ``n`` rows before each run, oldest first."""
         from_end = F.row_number().over(self.reversed().window())
-        ends = self.df.where(F.col(RUN).isNotNull()).withColumn("__end", from_end).where(F.col("__end") <= n)
+        ends = self._source(columns).where(F.col(RUN).isNotNull()).withColumn("__end", from_end).where(F.col("__end") <= n)
         item = F.struct((-F.col("__end")).alias("__at"), *columns)
         tails = ends.groupBy(*self.by, RUN).agg(F.sort_array(F.collect_list(item)).alias("__tail"))
         # Every run has a row, so n runs back hold the last n rows.
@@ -179,15 +186,20 @@ class Runs:
 
     # -- columns ---------------------------------------------------------------------------------
 
-    def _scan(self, out: str, local: Column, aggs: dict, folds: dict, combine: Callable[[Column], Column]) -> Runs:
+    def _scan(self, columns: Sequence[str], out: str, local: Column, aggs: dict, folds: dict, combine: Callable[[Column], Column]) -> Runs:
         """A column from the run itself and, where runs were cut, the carry before it."""
-        df = self.df.withColumn(out, local)
+        df, base = self.df.withColumn(out, local), self._without(out)
         if self.split:
-            df = self.attach(df, self.carry(aggs, folds)).withColumn(out, combine(F.col(out))).drop(*folds)
-        return self.with_df(df)
+            df = self.attach(df, self.carry(columns, aggs, folds)).withColumn(out, combine(F.col(out))).drop(*folds)
+        return self.with_df(df, base)
+
+    def _without(self, out: str) -> DataFrame:
+        """The base, less a column that gets new values."""
+        return self.base.drop(out)
 
     def row_number(self, out: str) -> Runs:
         return self._scan(
+            [],
             out,
             F.row_number().over(self.window()).cast("long"),
             {"__n": F.count(F.lit(1))},
@@ -195,8 +207,11 @@ class Runs:
             lambda c: c + F.coalesce(F.col("__cn"), F.lit(0)),
         )
 
-    def cumulative(self, col: str, fn: str, out: str) -> Runs:
-        """Running sum, product, min, max or count; NULL where the value is NULL (but for count)."""
+    def cumulative(self, col: str, fn: str, out: str, blank: bool = True) -> Runs:
+        """Running sum, product, min, max or count. Where the value is NULL so is the result (but
+        for a count), or, without ``blank``, what there is so far."""
+        if out == col:
+            raise ValueError(f"{out} is the column to accumulate")
         kinds = {
             "sum": (F.sum, F.sum, lambda a, b: F.coalesce(a + b, a, b)),
             "product": (F.product, F.product, lambda a, b: F.coalesce(a * b, a, b)),
@@ -206,13 +221,14 @@ class Runs:
         }
         agg, fold, merge = kinds[fn]
         done = self._scan(
+            [col],
             out,
             agg(F.col(col)).over(self.so_far()),
             {"__v": agg(F.col(col))},
             {"__cv": lambda w: fold(F.col("__v")).over(w)},
             lambda c: merge(F.col("__cv"), c),
         )
-        if fn == "count":
+        if fn == "count" or not blank:
             return done
         return done.with_df(done.df.withColumn(out, F.when(F.col(col).isNotNull(), F.col(out))))
 
@@ -220,17 +236,18 @@ class Runs:
         """The value ``n`` rows back (``n`` < 0: ahead)."""
         if n < 0:
             return self.reversed().shift(col, -n, out).reversed()
+        base = self._without(out)
         if n == 0:
-            return self.with_df(self.df.withColumn(out, F.col(col)))
+            return self.with_df(self.df.withColumn(out, F.col(col)), base)
         local = F.lag(col, n).over(self.window())
         if not self.split:
-            return self.with_df(self.df.withColumn(out, local))
+            return self.with_df(self.df.withColumn(out, local), base)
         df = self.df.withColumn(out, local).withColumn("__at", F.row_number().over(self.window()))
         df = self.attach(df, self.before(n, [col]))
         back = F.size("__prev") - (n + 1 - F.col("__at"))
         earlier = F.when(back >= 0, F.get(F.col("__prev"), back)[col])
         df = df.withColumn(out, F.when((F.col("__at") <= n) & F.col("__prev").isNotNull(), earlier).otherwise(F.col(out)))
-        return self.with_df(df.drop("__at", "__prev"))
+        return self.with_df(df.drop("__at", "__prev"), base)
 
     def fill(self, col: str, out: str, backward: bool = False) -> Runs:
         """The last value that is not NULL, up to this row (``backward``: the next)."""
@@ -238,6 +255,7 @@ class Runs:
             return self.reversed().fill(col, out).reversed()
         pick = F.min_by if self.descending else F.max_by
         return self._scan(
+            [col],
             out,
             F.last(col, ignorenulls=True).over(self.so_far()),
             {"__v": pick(F.col(col), F.when(F.col(col).isNotNull(), self._point()))},

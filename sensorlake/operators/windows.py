@@ -195,7 +195,7 @@ def frame_statistic(fn: str, col: str, q: float = 0.5) -> Callable[[Window], Col
 def rolling(
     df: DataFrame,
     col: str,
-    fn: str,
+    fn: str | Mapping[str, str],
     by: Sequence[str],
     order: Sequence[str],
     rows: int | None = None,
@@ -206,20 +206,22 @@ def rolling(
     out: str | None = None,
     **kw,
 ) -> DataFrame:
-    """A statistic over the last ``rows`` rows or the last ``period`` of time.
+    """A statistic, or several as ``{out: fn}``, over the last ``rows`` rows or ``period`` of time.
 
     Fewer than ``min_periods`` values (default: ``rows``, or 1 for a period) give NULL. A period,
     written as an interval such as ``1 hour``, covers (here - period, here]; rows with equal times
     see each other. ``forward`` looks at this row and those after it.
     """
-    out = out or f"rolling_{fn}"
-    stat = frame_statistic(fn, col, q)
-    least = min_periods if min_periods is not None else (0 if fn == "count" else rows or 1)
-    # A count is asked of rows, anything else of values.
-    seen = F.count(F.lit(1)) if fn == "count" else F.count(col)
+    fns = {out or f"rolling_{fn}": fn} if isinstance(fn, str) else dict(fn)
 
     def exprs(w: Window) -> dict[str, Column]:
-        return {out: F.when(seen.over(w) >= least, stat(w))}
+        columns = {}
+        for name, f in fns.items():
+            # A count is asked of rows, anything else of values.
+            least = min_periods if min_periods is not None else (0 if f == "count" else rows or 1)
+            seen = F.count(F.lit(1)) if f == "count" else F.count(col)
+            columns[name] = F.when(seen.over(w) >= least, frame_statistic(f, col, q)(w))
+        return columns
 
     runs = Runs(df, by, order, **kw)
     if rows is not None:
@@ -247,18 +249,12 @@ def micros(df: DataFrame, col: str) -> Column:
 # -- expanding ---------------------------------------------------------------------------------
 
 
-def _raw_moments(w: Window | None, x: Column, at: Column) -> list[Column]:
-    """n and the sums of (x - at)^k, k = 1..4, from Spark's own stable moments."""
-
-    def over(c: Column) -> Column:
-        return c if w is None else c.over(w)
-
-    n = over(F.count(x)).cast("double")
-    d = over(F.avg(x)) - at
-    m2 = over(F.var_pop(x)) * n
-    sd = F.sqrt(m2 / n)
-    m3 = F.coalesce(over(F.skewness(x)), F.lit(0.0)) * sd * sd * sd * n
-    m4 = F.when(m2 > 0, (over(F.kurtosis(x)) + 3) * (m2 / n) * (m2 / n) * n).otherwise(0.0)
+def _power_sums(n: Column, mean: Column, var: Column, skew: Column, kurt: Column, about: Column) -> list[Column]:
+    """n and the sums of (x - about)^k, k = 1..4, from Spark's own stable moments."""
+    n, d = n.cast("double"), mean - about
+    m2 = var * n
+    m3 = F.coalesce(skew, F.lit(0.0)) * var * F.sqrt(var) * n
+    m4 = F.when(m2 > 0, (kurt + 3) * var * var * n).otherwise(0.0)
     return [
         n,
         n * d,
@@ -290,7 +286,7 @@ def _statistic(fn: str, n: Column, s: list[Column], at: Column) -> Column:
 def expanding(
     df: DataFrame,
     col: str,
-    fn: str,
+    fn: str | Mapping[str, str],
     by: Sequence[str],
     order: Sequence[str],
     other: str | None = None,
@@ -299,100 +295,100 @@ def expanding(
     out: str | None = None,
     **kw,
 ) -> DataFrame:
-    """A statistic over all rows of the group up to this one.
+    """A statistic, or several as ``{out: fn}``, over all rows of the group up to this one.
 
     Counts, sums, extremes and moments (and ``cov``/``corr`` with ``other``) merge across cut runs.
     Median, quantile and rank do not: for them a group stays in one task.
     """
-    out = out or f"expanding_{fn}"
-    if fn in ("median", "quantile", "rank"):
-        runs = Runs(df, by, order, rows_per_run=0)
-        stat = frame_statistic(fn, col, q)(runs.so_far())
-        enough = F.count(col).over(runs.so_far()) >= min_periods
-        return runs.with_df(runs.df.withColumn(out, F.when(enough, stat))).rows()
+    fns = {out or f"expanding_{fn}": fn} if isinstance(fn, str) else dict(fn)
     runs = Runs(df, by, order, **kw)
-    if fn in ("count", "sum", "min", "max"):
-        # Unlike the cumulative form, a NULL row repeats the value so far.
-        if fn == "count":
-            done = runs.cumulative(col, "count", out).row_number("__n")
-        else:
-            done = runs.cumulative(col, "count", "__n").cumulative(col, fn, out).fill(out, out)
-        enough = F.col("__n") >= min_periods
-        return done.with_df(done.df.withColumn(out, F.when(enough, F.col(out))).drop("__n")).rows()
-    if fn in ("cov", "corr"):
-        return _expanding_pair(runs, col, other, fn, min_periods, out)
+    if any(f != "count" for f in fns.values()):
+        runs = runs.cumulative(col, "count", "__n")
+    enough = F.col("__n") >= min_periods
+    moments = {name: f for name, f in fns.items() if f in ("mean", "var", "std", "sem", "skew", "kurt")}
+    if moments:
+        runs = _expanding_moments(runs, col, moments, min_periods)
+    for name, f in fns.items():
+        if f == "count":
+            runs = runs.cumulative(col, "count", name).row_number("__at")
+            runs = runs.with_df(runs.df.withColumn(name, F.when(F.col("__at") >= min_periods, F.col(name))).drop("__at"))
+        elif f in ("sum", "min", "max"):
+            runs = runs.cumulative(col, f, name, blank=False)
+            runs = runs.with_df(runs.df.withColumn(name, F.when(enough, F.col(name))))
+        elif f in ("cov", "corr"):
+            runs = _expanding_pair(runs, col, other, f, min_periods, name)
+    rows = runs.rows()
+    whole = {name: f for name, f in fns.items() if f in ("median", "quantile", "rank")}
+    if whole:
+        w = Runs(rows, by, order, rows_per_run=0).so_far()
+        rows = rows.withColumns({name: F.when(enough, frame_statistic(f, col, q)(w)) for name, f in whole.items()})
+    return rows.drop("__n")
+
+
+def _expanding_moments(runs: Runs, col: str, fns: Mapping[str, str], min_periods: int) -> Runs:
     x = F.col(col).cast("double")
     w = runs.so_far()
-    at = F.lit(0.0)
+    plain = {name: F.when(F.col("__n") >= min_periods, frame_statistic(f, col)(w)) for name, f in fns.items()}
+    if not runs.split:
+        return runs.with_df(runs.df.withColumns(plain))
     names = [f"__s{i}" for i in range(5)]
-    if runs.split:
-        # Sums of powers are taken about a value near the data: the mean of the group's first run.
-        summary = {"__x": F.avg(x), **{f"__{k}": c for k, c in zip("abcd", (F.count(x), F.var_pop(x), F.skewness(x), F.kurtosis(x)))}}
-        stats = runs.df.where(F.col(RUN).isNotNull()).groupBy(*runs.by, RUN).agg(*[c.alias(n) for n, c in summary.items()])
-        run_order = runs._run_order()
-        stats = stats.withColumn("__at", F.first("__x", ignorenulls=True).over(run_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        n, d = F.col("__a").cast("double"), F.col("__x") - F.col("__at")
-        m2 = F.col("__b") * n
-        m3 = F.coalesce(F.col("__c"), F.lit(0.0)) * F.pow(F.col("__b"), F.lit(1.5)) * n
-        m4 = F.when(m2 > 0, (F.col("__d") + 3) * F.col("__b") * F.col("__b") * n).otherwise(0.0)
-        sums = [n, n * d, m2 + n * d * d, m3 + 3 * d * m2 + n * d * d * d, m4 + 4 * d * m3 + 6 * d * d * m2 + n * d * d * d * d]
-        before = run_order.rowsBetween(Window.unboundedPreceding, -1)
-        carry = stats.withColumns(dict(zip(names, sums))).select(
-            *runs.by, RUN, "__at", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(c) for c in names]
-        )
-        rows = runs.attach(runs.df, carry)
-        at = F.coalesce(F.col("__at"), F.lit(0.0))
-        local = [F.coalesce(c, F.lit(0.0)) for c in _raw_moments(w, x, at)]
-        rows = rows.withColumns({f"__l{i}": c for i, c in enumerate(local)})
-        total = [F.col(f"__l{i}") + F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) for i in range(5)]
-        stat = F.when(total[0] >= min_periods, _statistic(fn, total[0], total[1:], at))
-        # A group that was not cut keeps Spark's own statistic.
-        plain = F.when(F.col("__l0") >= min_periods, frame_statistic(fn, col)(w))
-        rows = rows.withColumn("__plain", plain).withColumn(out, F.when(F.col(RUN).isNull(), F.col("__plain")).otherwise(stat))
-        return runs.with_df(rows.drop("__at", "__plain", *names, *[f"__l{i}" for i in range(5)])).rows()
-    stat = F.when(F.count(x).over(w) >= min_periods, frame_statistic(fn, col)(w))
-    return runs.with_df(runs.df.withColumn(out, stat)).rows()
-
-
-def _expanding_pair(runs: Runs, a: str, b: str, fn: str, min_periods: int, out: str) -> DataFrame:
+    # Sums of powers are taken about a value near the data: the mean of the group's first run.
+    parts = [F.count(x).alias("__a"), F.avg(x).alias("__x"), F.var_pop(x).alias("__b"), F.skewness(x).alias("__c"), F.kurtosis(x).alias("__d")]
+    stats = runs._source([col]).where(F.col(RUN).isNotNull()).groupBy(*runs.by, RUN).agg(*parts)
+    run_order = runs._run_order()
+    first = F.first("__x", ignorenulls=True).over(run_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    stats = stats.withColumn("__about", first)
+    sums = _power_sums(F.col("__a"), F.col("__x"), F.col("__b"), F.col("__c"), F.col("__d"), F.col("__about"))
+    before = run_order.rowsBetween(Window.unboundedPreceding, -1)
+    carry = stats.withColumns(dict(zip(names, sums))).select(
+        *runs.by, RUN, "__about", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(c) for c in names]
+    )
+    rows = runs.attach(runs.df.withColumns({f"__p{i}": c for i, c in enumerate(plain.values())}), carry)
+    about = F.coalesce(F.col("__about"), F.lit(0.0))
+    here = [F.count(x), F.avg(x), F.var_pop(x), F.skewness(x), F.kurtosis(x)]
+    local = _power_sums(*[c.over(w) for c in here], about)
+    rows = rows.withColumns({f"__l{i}": F.coalesce(c, F.lit(0.0)) for i, c in enumerate(local)})
+    total = [F.col(f"__l{i}") + F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) for i in range(5)]
+    # A group that was not cut keeps Spark's own statistic.
+    cut = {name: F.when(F.col("__n") >= min_periods, _statistic(f, total[0], total[1:], about)) for name, f in fns.items()}
+    rows = rows.withColumns({name: F.when(F.col(RUN).isNull(), F.col(f"__p{i}")).otherwise(c) for i, (name, c) in enumerate(cut.items())})
+    return runs.with_df(rows.drop("__about", *names, *[f"__l{i}" for i in range(5)], *[f"__p{i}" for i in range(len(fns))]))
+
+
+def _expanding_pair(runs: Runs, a: str, b: str, fn: str, min_periods: int, out: str) -> Runs:
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
     x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
     w = runs.so_far()
+    here = [F.count(x), F.avg(x), F.avg(y), F.var_pop(x), F.var_pop(y), F.covar_pop(x, y)]
     if not runs.split:
         n = F.count(x).over(w)
         spread = F.sqrt(F.var_pop(x).over(w) * F.var_pop(y).over(w))
         stat = F.covar_samp(x, y).over(w) if fn == "cov" else F.try_divide(F.covar_pop(x, y).over(w), spread)
-        rows = runs.df.withColumn(out, F.when((n >= min_periods) & (n >= 2), stat))
-        return runs.with_df(rows).rows()
+        return runs.with_df(runs.df.withColumn(out, F.when((n >= min_periods) & (n >= 2), stat)))
     # n and sums about the means of the group's first run: x, y, xx, yy, xy.
-    stats = runs.df.where(F.col(RUN).isNotNull()).groupBy(*runs.by, RUN).agg(
-        F.count(x).cast("double").alias("__n"), F.avg(x).alias("__mx"), F.avg(y).alias("__my"),
-        F.var_pop(x).alias("__vx"), F.var_pop(y).alias("__vy"), F.covar_pop(x, y).alias("__vxy"),
-    )
+    columns = ["__n0", "__mx", "__my", "__vx", "__vy", "__vxy"]
+    stats = runs._source([a, b]).where(F.col(RUN).isNotNull()).groupBy(*runs.by, RUN).agg(*[c.alias(n) for c, n in zip(here, columns)])
     order = runs._run_order()
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stats = stats.withColumns({f"__a{c}": F.first(f"__m{c}", ignorenulls=True).over(whole) for c in "xy"})
-    names = ["__p0", "__p1", "__p2", "__p3", "__p4", "__p5"]
+    names = [f"__t{i}" for i in range(6)]
 
     def sums(n: Column, mx: Column, my: Column, vx: Column, vy: Column, vxy: Column) -> list[Column]:
-        dx, dy = mx - F.col("__ax"), my - F.col("__ay")
+        n, dx, dy = n.cast("double"), mx - F.col("__ax"), my - F.col("__ay")
         parts = [n, n * dx, n * dy, n * (vx + dx * dx), n * (vy + dy * dy), n * (vxy + dx * dy)]
         return [F.coalesce(p, F.lit(0.0)) for p in parts]
 
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumns(dict(zip(names, sums(*[F.col(f"__{c}") for c in ("n", "mx", "my", "vx", "vy", "vxy")]))))
+    stats = stats.withColumns(dict(zip(names, sums(*[F.col(c) for c in columns]))))
     carry = stats.select(*runs.by, RUN, "__ax", "__ay", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(c) for c in names])
     rows = runs.attach(runs.df, carry).withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("__ax", "__ay", *names)})
-    local = sums(
-        F.count(x).over(w).cast("double"), F.avg(x).over(w), F.avg(y).over(w),
-        F.var_pop(x).over(w), F.var_pop(y).over(w), F.covar_pop(x, y).over(w),
-    )
+    local = sums(*[c.over(w) for c in here])
     rows = rows.withColumns({f"__q{i}": F.col(c) + part for i, (c, part) in enumerate(zip(names, local))})
     n, sx, sy, sxx, syy, sxy = [F.col(f"__q{i}") for i in range(6)]
     cxy, cxx, cyy = sxy - sx * sy / n, sxx - sx * sx / n, syy - sy * sy / n
     stat = cxy / (n - 1) if fn == "cov" else F.when((cxx > 0) & (cyy > 0), cxy / F.sqrt(cxx * cyy))
     rows = rows.withColumn(out, F.when((n >= min_periods) & (n >= 2), stat))
-    return runs.with_df(rows.drop("__ax", "__ay", *names, *[f"__q{i}" for i in range(6)])).rows()
+    return runs.with_df(rows.drop("__ax", "__ay", *names, *[f"__q{i}" for i in range(6)]))
 
 
 # -- weighted and exponential --------------------------------------------------------------------

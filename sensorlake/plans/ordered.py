@@ -128,26 +128,16 @@ FRAME_FNS = ("sum", "mean", "var", "std", "sem", "min", "max", "median", "quanti
 DIGITS = {"sum": 4, "mean": 8, "var": 8, "std": 6, "sem": 6, "median": 6, "quantile": 6}
 
 
-def rolled(df: DataFrame, fns: tuple[str, ...], apply) -> DataFrame:
-    keep = ["event_id", "user_id", "ts", "v"]
-    df = df.select(*keep)
-    for fn in fns:
-        df = apply(df, fn)
-    return df.select("event_id", *[r(fn, DIGITS[fn]).alias(fn) if fn in DIGITS else F.col(fn) for fn in fns])
+def shown(df: DataFrame) -> DataFrame:
+    return df.select("event_id", *[r(fn, DIGITS[fn]).alias(fn) if fn in DIGITS else F.col(fn) for fn in FRAME_FNS])
 
 
 @query("c76_rolling_rows", frame_sql("ROWS 6 PRECEDING", 4))
 def rolling_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """All statistics in one pass over the runs."""
-
-    def exprs(w):
-        seen = F.count("v").over(w)
-        out = {fn: F.when(seen >= 4, W.frame_statistic(fn, "v", 0.25)(w)) for fn in FRAME_FNS if fn != "count"}
-        return {**out, "count": seen}
-
     df = gappy(spark, sf).select("event_id", "user_id", "ts", "v")
-    rows = W.Runs(df, BY, ORDER).rolling(7, ["v"], exprs).rows()
-    return rows.select("event_id", *[r(fn, DIGITS[fn]).alias(fn) if fn in DIGITS else F.col(fn) for fn in FRAME_FNS])
+    fns = {fn: fn for fn in FRAME_FNS if fn != "count"}
+    df = W.rolling(df, "v", fns, BY, ORDER, rows=7, min_periods=4, q=0.25)
+    return shown(W.rolling(df, "v", "count", BY, ORDER, rows=7, out="count"))
 
 
 @query(
@@ -158,8 +148,7 @@ def rolling_rows(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rolling_shape(spark: SparkSession, sf: str) -> DataFrame:
     df = gappy(spark, sf).select("event_id", "user_id", "ts", "v")
-    df = W.rolling(df, "v", "skew", BY, ORDER, rows=20, min_periods=12, out="skew")
-    df = W.rolling(df, "v", "kurt", BY, ORDER, rows=20, min_periods=12, out="kurt")
+    df = W.rolling(df, "v", {"skew": "skew", "kurt": "kurt"}, BY, ORDER, rows=20, min_periods=12)
     return df.select("event_id", r("skew", 5).alias("skew"), r("kurt", 5).alias("kurt"))
 
 
@@ -172,8 +161,7 @@ DAY = "RANGE BETWEEN INTERVAL 86399999999 MICROSECONDS PRECEDING AND CURRENT ROW
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts {DAY})""",
 )
 def rolling_time(spark: SparkSession, sf: str) -> DataFrame:
-    df = W.rolling(events(spark, sf), "value", "sum", BY, ORDER, period="1 day", out="s")
-    df = W.rolling(df, "value", "count", BY, ORDER, period="1 day", out="n")
+    df = W.rolling(events(spark, sf), "value", {"s": "sum", "n": "count"}, BY, ORDER, period="1 day")
     return df.select("event_id", r("s", 4).alias("s"), "n")
 
 
@@ -190,10 +178,8 @@ def rolling_forward(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c79_expanding", frame_sql("ROWS UNBOUNDED PRECEDING", 1))
 def expanding(spark: SparkSession, sf: str) -> DataFrame:
-    def apply(df: DataFrame, fn: str) -> DataFrame:
-        return W.expanding(df, "v", fn, BY, ORDER, q=0.25, out=fn)
-
-    return rolled(gappy(spark, sf), FRAME_FNS, apply)
+    df = gappy(spark, sf).select("event_id", "user_id", "ts", "v")
+    return shown(W.expanding(df, "v", {fn: fn for fn in FRAME_FNS}, BY, ORDER, q=0.25))
 
 
 @query(
@@ -204,8 +190,7 @@ def expanding(spark: SparkSession, sf: str) -> DataFrame:
 )
 def expanding_shape(spark: SparkSession, sf: str) -> DataFrame:
     df = gappy(spark, sf).select("event_id", "user_id", "ts", "v")
-    df = W.expanding(df, "v", "skew", BY, ORDER, min_periods=12, out="skew")
-    df = W.expanding(df, "v", "kurt", BY, ORDER, min_periods=12, out="kurt")
+    df = W.expanding(df, "v", {"skew": "skew", "kurt": "kurt"}, BY, ORDER, min_periods=12)
     return df.select("event_id", r("skew", 5).alias("skew"), r("kurt", 5).alias("kurt"))
 
 
@@ -217,8 +202,7 @@ def expanding_shape(spark: SparkSession, sf: str) -> DataFrame:
 )
 def expanding_pairs(spark: SparkSession, sf: str) -> DataFrame:
     df = gappy(spark, sf).withColumn("z", F.col("event_id") % 100).select("event_id", "user_id", "ts", "v", "z")
-    df = W.expanding(df, "v", "cov", BY, ORDER, other="z", min_periods=5, out="cov")
-    df = W.expanding(df, "v", "corr", BY, ORDER, other="z", min_periods=5, out="corr")
+    df = W.expanding(df, "v", {"cov": "cov", "corr": "corr"}, BY, ORDER, other="z", min_periods=5)
     return df.select("event_id", r("cov", 8).alias("cov"), r("corr").alias("corr"))
 
 
