@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sensorlake.operators.aggregates import values_of
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -40,7 +42,9 @@ def title(c):
 
 def capitalize(c):
     c = _c(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
+    # A letter whose capital is two letters keeps the second one small.
+    first = F.upper(F.substring(c, 1, 1))
+    return F.concat(F.substring(first, 1, 1), F.lower(F.substr(first, F.lit(2))), F.lower(F.substr(c, F.lit(2))))
 
 
 def swapcase(c):
@@ -299,7 +303,7 @@ def indicators(df: DataFrame, col: str, sep: str = "|", names: Sequence[str] | N
     """A 0/1 column per part of a separated list (C105). Without ``names`` the parts are looked up."""
     parts = F.split(F.col(col), _quoted(sep))
     if names is None:
-        names = [r[0] for r in df.select(F.explode(parts).alias("p")).where("p <> ''").distinct().orderBy("p").collect()]
+        names = values_of(df.select(F.explode(parts).alias("part")).where("part <> ''"), "part")
     return df.withColumns({n: F.coalesce(F.array_contains(parts, n).cast("int"), F.lit(0)) for n in names})
 
 

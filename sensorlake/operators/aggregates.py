@@ -103,7 +103,7 @@ def quantiles(
     """
     keys = list(keys)
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    upto = Runs(counts, keys, ["__v"], **kw).cumulative("__n", "sum", "__upto").rows()
+    upto = Runs(counts, keys, ["__v"], within=df, **kw).cumulative("__n", "sum", "__upto").rows()
     totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))
     placed = on_keys(upto, totals, keys)
 
@@ -231,20 +231,32 @@ def pivot_wider(
     return wide.groupBy(*keys).agg(*aggs)
 
 
+# Column values that become columns: beyond this many they are data, not schema.
+MAX_COLUMNS = 10_000
+
+
+def values_of(df: DataFrame, col: str) -> list[Any]:
+    """The distinct values of a column, in order, to name columns by."""
+    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"{col} has more than {MAX_COLUMNS} values; list those wanted")
+    return sorted(r[0] for r in found)
+
+
 def pivot_table(
     df: DataFrame, index: Sequence[str], column: str, value: str, fn: str = "mean", names: Sequence[Any] | None = None
 ) -> DataFrame:
     """Aggregate of ``value`` for every index and column value (C66). Without ``names`` the column
     values are looked up first; they become the schema."""
     if names is None:
-        names = [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
+        names = values_of(df, column)
     return df.groupBy(*index).pivot(column, list(names)).agg(statistic(value, fn))
 
 
 def crosstab(df: DataFrame, a: str, b: str, margins: bool = False, names: Sequence[Any] | None = None) -> DataFrame:
     """Counts of two columns against each other, with totals as ``All`` on request."""
     if names is None:
-        names = [r[0] for r in df.select(b).distinct().orderBy(b).collect()]
+        names = values_of(df, b)
     counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     label = F.col(a).cast("string").alias(a)
     if margins:

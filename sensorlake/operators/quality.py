@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
-def quarantine(df: DataFrame, errors: str = "_errors", corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """Split into rows that read cleanly and rows that did not.
-
-    A row is rejected when a mapped value failed to cast (``errors``) or the parser kept its raw
-    text (``corrupt``). Both halves are plain filters, so nothing is computed until used.
-    """
+def rejected(df: DataFrame, errors: str = "_errors", corrupt: str = "_corrupt_record") -> Column:
+    """Whether a mapped value failed to cast (``errors``) or the parser kept raw text (``corrupt``)."""
     bad = F.lit(False)
-    marks = []
     if errors in df.columns:
         bad = bad | (F.size(errors) > 0)
-        marks.append(errors)
     if corrupt in df.columns:
         bad = bad | F.col(corrupt).isNotNull()
-        marks.append(corrupt)
-    return df.where(~bad).drop(*marks), df.where(bad)
+    return bad
+
+
+def quarantine(df: DataFrame, errors: str = "_errors", corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """Split into rows that read cleanly, without the marks, and rows that did not.
+
+    Both halves are plain filters, so nothing is computed until used.
+    """
+    bad = rejected(df, errors, corrupt)
+    return df.where(~bad).drop(errors, corrupt), df.where(bad)
 
 
 def ingest_summary(df_in: DataFrame, df_out: DataFrame, rejects: DataFrame, source: str = "source_file") -> DataFrame:

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sensorlake.operators.aggregates import quantiles
+from sensorlake.operators.aggregates import quantiles, values_of
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], var: str = "variable", value: str = "value") -> DataFrame:
@@ -61,7 +61,7 @@ def explode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 def one_hot(df: DataFrame, col: str, categories: Sequence[Any] | None = None, prefix: str | None = None, drop_first: bool = False) -> DataFrame:
     """A 0/1 column per category (C94). Without ``categories`` they are looked up: they are schema."""
     if categories is None:
-        categories = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+        categories = values_of(df, col)
     chosen = list(categories)[1 if drop_first else 0 :]
     name = prefix if prefix is not None else col
     return df.select(

@@ -28,7 +28,6 @@ SAMPLES_PER_RUN = 256
 # Carries have one row per run, at most 4 * rows / ROWS_PER_RUN in all; beyond this many they are
 # joined by a shuffle.
 BROADCAST_RUNS = 1_000_000
-STEPS = [1 << i for i in range(22, -1, -1)]
 
 
 def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -43,7 +42,8 @@ class Runs:
 
     Methods add a column and return new ``Runs``; ``df`` (or ``rows()`` without the run number)
     gives the rows. ``rows_per_run`` defaults to ``ROWS_PER_RUN``; 0 says that no group is too large
-    and saves the check, which reads the ``by`` columns once.
+    and saves the check, which reads the ``by`` columns once. Where the rows are costly to make,
+    ``within`` is a table that has at least as many rows in every group and is looked at first.
     """
 
     def __init__(
@@ -53,6 +53,7 @@ class Runs:
         order: Sequence[str],
         rows_per_run: int | None = None,
         descending: bool = False,
+        within: DataFrame | None = None,
     ):
         self.order = list(order)
         self.descending = descending
@@ -61,6 +62,8 @@ class Runs:
             df = df.withColumn("__all", F.lit(0))
         self.by = list(by) or ["__all"]
         rows_per_run = ROWS_PER_RUN if rows_per_run is None else rows_per_run
+        if rows_per_run and within is not None and by and self._large(within, rows_per_run).isEmpty():
+            rows_per_run = 0
         self.edges = self._find_edges(df, rows_per_run) if rows_per_run else None
         self.df = self._place(df) if self.split else df.withColumn(RUN, F.lit(None).cast("int"))
         # Carries are worked out from here, so that a chain of methods does not nest them.
@@ -91,8 +94,11 @@ class Runs:
     def _point(self) -> Column:
         return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order)])
 
+    def _large(self, df: DataFrame, rows_per_run: int) -> DataFrame:
+        return df.groupBy(*self.by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_run)
+
     def _find_edges(self, df: DataFrame, rows_per_run: int) -> DataFrame | None:
-        large = df.groupBy(*self.by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_run)
+        large = self._large(df, rows_per_run)
         if large.isEmpty():
             return None
         rate = min(1.0, SAMPLES_PER_RUN / rows_per_run)
@@ -108,25 +114,26 @@ class Runs:
         cuts = sampled.withColumn("nth", nth).where(F.col("nth") % stride == 0)
         edges = cuts.groupBy(*self.by).agg(F.sort_array(F.collect_set("p")).alias(EDGES))
         edges = pin(edges)
-        self.n_runs = edges.agg(F.sum(F.size(EDGES) + 1)).first()[0] or 0
+        self.n_runs, longest = edges.agg(F.coalesce(F.sum(F.size(EDGES) + 1), F.lit(0)), F.max(F.size(EDGES))).first()
+        self.steps = [1 << i for i in reversed(range((longest or 0).bit_length()))]
         return edges.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(self.by)], EDGES) if self.n_runs else None
 
     def _small(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.n_runs <= BROADCAST_RUNS else df
 
-    def _search(self, point: Column) -> Column:
-        """How many edges are at or before ``point``, by bisection."""
+    def _search(self, passed: Callable[[Column], Column]) -> Column:
+        """How many edges are ``passed``, by bisection."""
 
         def step(i: Column, s: Column) -> Column:
-            return F.when(F.get(F.col(EDGES), i + s - 1) <= point, i + s).otherwise(i)
+            return F.when(passed(F.get(F.col(EDGES), i + s - 1)), i + s).otherwise(i)
 
-        return F.aggregate(F.array(*[F.lit(s) for s in STEPS]), F.lit(0), step)
+        return F.aggregate(F.array(*[F.lit(s) for s in self.steps]), F.lit(0), step)
 
     def _place(self, df: DataFrame, **extra: Column) -> DataFrame:
         keys = [f"__k{i}" for i in range(len(self.by))]
         cond = same([F.col(c) for c in self.by], [F.col(k) for k in keys])
         joined = df.join(self._small(self.edges), cond, "left")
-        found = {RUN: self._search(self._point()), **extra}
+        found = {RUN: self._search(lambda edge: edge <= self._point()), **extra}
         return joined.withColumns({n: F.when(F.col(EDGES).isNotNull(), c) for n, c in found.items()}).drop(EDGES, *keys)
 
     # -- building blocks -------------------------------------------------------------------------
@@ -277,12 +284,7 @@ class Runs:
         """
         df = self.df.withColumn("__pos", position)
         if self.split:
-            point = F.struct(later.alias("o0"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order) if i > 0])
-            ahead = F.aggregate(
-                F.array(*[F.lit(s) for s in STEPS]),
-                F.lit(0),
-                lambda i, s: F.when(F.get(F.col(EDGES), i + s - 1)["o0"] <= point["o0"], i + s).otherwise(i),
-            )
+            ahead = self._search(lambda edge: edge["o0"] <= later)
             df = self._place(df, __to=ahead)
             df = df.withColumn("__own", F.col(RUN))
             df = df.withColumn(RUN, F.explode_outer(F.sequence(F.col(RUN), F.greatest(F.col(RUN), F.col("__to")))))

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from sensorlake.operators import runs as runs_module
 from sensorlake.operators.runs import RUN, Runs, same
 
 
@@ -78,7 +79,7 @@ def value_ranks(
     """
     by = list(by)
     values = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
-    runs = Runs(values, by, [col], descending=descending, **kw).cumulative("__n", "sum", "__upto").row_number("__dense")
+    runs = Runs(values, by, [col], descending=descending, within=df, **kw).cumulative("__n", "sum", "__upto").row_number("__dense")
     ranked = runs.rows()
     if any(pct for _, pct in outs.values()):
         totals = ranked.groupBy(*by).agg(F.max("__upto").alias("__rows"), F.max("__dense").alias("__values"))
@@ -434,6 +435,8 @@ def ewm(
     run acts on what came before it by a handful of numbers, so a cut group needs one summary row
     per run, chained in order.
     """
+    # A run is one Arrow table in a Python worker, so runs are shorter here.
+    kw.setdefault("rows_per_run", min(runs_module.ROWS_PER_RUN, 1_000_000))
     runs = Runs(df, by, order, **kw)
     keys = [*runs.by, RUN]
     direction = "descending" if runs.descending else "ascending"

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorlake.operators.mapping import apply_mapping, normalize_columns
-from sensorlake.operators.quality import ingest_summary, quarantine
+from sensorlake.operators.quality import ingest_summary, observed, quarantine, rejected
 from sensorlake.schemas import SchemaSpec
 from sensorlake.sources.files import plain_path
 from sensorlake.sources.tables import register_table, write_processed, write_stage
@@ -54,8 +54,12 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     staged = spark.read.schema(staged.schema).parquet(cfg.stage)
     keep = [("source_file", "string", "source_file", "string"), ("corrupt_record", "string", CORRUPT, "string")]
     mapped = apply_mapping(staged, cfg.spec.mapping(cfg.sources) + keep, "quarantine", cfg.formats)
+    # Rejects are counted while the good rows are written; only if there are any is the stage read again.
+    mapped, seen = observed(mapped, f"ingest {cfg.table}", rejected=F.count_if(rejected(mapped)))
     good, bad = quarantine(mapped)
     write_processed(good.select(*cfg.spec.columns, "source_file"), cfg.processed, cfg.mode)
+    if not seen.get["rejected"]:
+        bad = spark.createDataFrame([], bad.schema)
     write_processed(bad, cfg.rejects, cfg.mode)
 
     table = register_table(spark, cfg.table, cfg.processed, cfg.spec.struct)

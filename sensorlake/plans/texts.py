@@ -29,8 +29,8 @@ UPPER = "replace(replace(upper(text), 'ß', 'SS'), 'ẞ', 'SS')"
 
 @query(
     "c98_case",
-    f"""SELECT doc_id, {digest('up', UPPER)}, {digest('low', 'lower(text)')}, {digest('cap', "replace(replace(upper(text[1]), 'ß', 'SS'), 'ẞ', 'SS') || lower(text[2:])")},
-    {digest('folded', f'lower({UPPER})')} FROM documents""",
+    f"""SELECT doc_id, {digest('up', UPPER)}, {digest('low', 'lower(text)')}, {digest('cap', "CASE WHEN text[1] = 'ß' THEN 'Ss' ELSE upper(text[1]) END || lower(text[2:])")},
+    {digest('folded', "replace(lower(text), 'ß', 'ss')")} FROM documents""",
 )
 def case(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sensorlake.sources.files import list_files, open_input
 from sensorlake.sources.text import no_value
 
 # Text keeps microseconds, blanks at the ends of values and doubled quotes.
@@ -103,8 +107,8 @@ def read_dialect(
 ) -> DataFrame:
     """CSV in other dialects (C6): tokens for NULL, true and false, a decimal comma, lines to skip.
 
-    ``skip_rows`` drops the first lines of every file; a task finds them by their place in the
-    file, so files are then read whole by one task each.
+    ``skip_rows`` drops the first lines of every file. Only the start of a file tells which they
+    are, so each file is then streamed by one task, and values hold no line breaks.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     options = {"sep": delimiter, "quote": quote, "escape": escape, "multiLine": newlines_in_values}
@@ -130,10 +134,17 @@ def read_dialect(
 
 
 def _after_rows(spark: SparkSession, path, schema: T.StructType, rows: int, options: Mapping[str, object]) -> DataFrame:
-    whole = spark.read.option("wholetext", "true").text(path)
-    start = F.regexp_replace("value", rf"\A(?:[^\n]*\n){{{rows}}}", "")
-    lines = whole.select(F.explode(F.split(start, r"\r?\n")).alias("line")).where("line <> ''")
-    parsed = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {k: str(v) for k, v in options.items() if k != "multiLine"})
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["path"]:
+                with open_input(name) as raw:
+                    lines = islice(io.TextIOWrapper(raw, encoding="utf-8-sig"), rows, None)
+                    while some := list(islice(lines, 20_000)):
+                        yield pd.DataFrame({"line": [line.rstrip("\n") for line in some]})
+
+    lines = list_files(spark, path).select("path").mapInPandas(read, "line string").where("line <> ''")
+    fields = ", ".join(f"`{name}` string" for name in schema.fieldNames())
+    parsed = F.from_csv("line", fields, {k: str(v) for k, v in options.items() if k != "multiLine"})
     return lines.select(parsed.alias("r")).select("r.*")
 
 
