@@ -51,9 +51,12 @@ def apply_mapping(
     """
     formats = formats or {}
     out, errors = [], []
-    for src, src_type, dst, dst_type in mapping:
-        raw = source_column(df, src)
-        value = mapped_column(raw, src_type, dst_type, formats.get(dst))
+    raws = [source_column(df, src) for src, *_ in mapping]
+    actual = [f.dataType.simpleString() for f in df.select(*[raw.alias(str(i)) for i, raw in enumerate(raws)]).schema]
+    for (_, src_type, dst, dst_type), raw, kind in zip(mapping, raws, actual):
+        # A time that is one already does not go through text.
+        is_time = kind == dst_type and kind.startswith("timestamp")
+        value = raw if is_time else mapped_column(raw, src_type, dst_type, formats.get(dst))
         if on_error == "fail":
             message = F.concat(F.lit(f"cannot read {dst} as {dst_type}: "), raw.cast("string"))
             value = F.when(raw.isNotNull() & value.isNull(), F.raise_error(message).cast(dst_type)).otherwise(value)

@@ -118,8 +118,9 @@ class Runs:
         self.steps = [1 << i for i in reversed(range((longest or 0).bit_length()))]
         return edges.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(self.by)], EDGES) if self.n_runs else None
 
-    def _small(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.n_runs <= BROADCAST_RUNS else df
+    def _small(self, df: DataFrame, items: int = 1) -> DataFrame:
+        """To be broadcast if its ``items`` per run are few in all."""
+        return F.broadcast(df) if self.n_runs * items <= BROADCAST_RUNS else df
 
     def _search(self, passed: Callable[[Column], Column]) -> Column:
         """How many edges are ``passed``, by bisection."""
@@ -163,12 +164,21 @@ class Runs:
         before = self._run_order().rowsBetween(Window.unboundedPreceding, -1)
         return summary.select(*self.by, RUN, *[fold(before).alias(n) for n, fold in folds.items()])
 
-    def attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
+    def attach(self, df: DataFrame, carry: DataFrame, items: int = 1) -> DataFrame:
         keys = [*self.by, RUN]
         renamed = carry.withColumnsRenamed({k: f"__c{i}" for i, k in enumerate(keys)})
         cond = same([F.col(c) for c in self.by], [F.col(f"__c{i}") for i in range(len(self.by))])
         cond = cond & (F.col(RUN) == F.col(f"__c{len(self.by)}"))
-        return df.join(self._small(renamed), cond, "left").drop(*[f"__c{i}" for i in range(len(keys))])
+        return df.join(self._small(renamed, items), cond, "left").drop(*[f"__c{i}" for i in range(len(keys))])
+
+    def _reach(self, n: int) -> int:
+        """How many runs back hold the last ``n`` rows, at most."""
+        if n <= 64:
+            return n  # every run has a row
+        sizes = self.base.where(F.col(RUN).isNotNull()).groupBy(*self.by, RUN).agg(F.count(F.lit(1)).alias("__n"))
+        ends = sizes.withColumn("__end", F.sum("__n").over(self._run_order().rowsBetween(Window.unboundedPreceding, 0)))
+        near = Window.partitionBy(*self.by).orderBy("__end").rangeBetween(1 - n, 0)
+        return ends.select(F.count(F.lit(1)).over(near).alias("runs")).agg(F.max("runs")).first()[0]
 
     def before(self, n: int, columns: Sequence[str]) -> DataFrame:
         """(by, run, ``__prev``): the last ``n`` rows before each run, oldest first."""
@@ -176,8 +186,7 @@ class Runs:
         ends = self._source(columns).where(F.col(RUN).isNotNull()).withColumn("__end", from_end).where(F.col("__end") <= n)
         item = F.struct((-F.col("__end")).alias("__at"), *columns)
         tails = ends.groupBy(*self.by, RUN).agg(F.sort_array(F.collect_list(item)).alias("__tail"))
-        # Every run has a row, so n runs back hold the last n rows.
-        gathered = F.flatten(F.collect_list("__tail").over(self._run_order().rowsBetween(-n, -1)))
+        gathered = F.flatten(F.collect_list("__tail").over(self._run_order().rowsBetween(-self._reach(n), -1)))
         start = F.greatest(F.size(gathered) - n + 1, F.lit(1))
         return tails.select(*self.by, RUN, F.slice(gathered, start, F.lit(n)).alias("__prev"))
 
@@ -250,7 +259,7 @@ class Runs:
         if not self.split:
             return self.with_df(self.df.withColumn(out, local), base)
         df = self.df.withColumn(out, local).withColumn("__at", F.row_number().over(self.window()))
-        df = self.attach(df, self.before(n, [col]))
+        df = self.attach(df, self.before(n, [col]), items=n)
         back = F.size("__prev") - (n + 1 - F.col("__at"))
         earlier = F.when(back >= 0, F.get(F.col("__prev"), back)[col])
         df = df.withColumn(out, F.when((F.col("__at") <= n) & F.col("__prev").isNotNull(), earlier).otherwise(F.col(out)))

@@ -40,7 +40,7 @@ def test_cumulative(skewed, fn):
     check(skewed, runs(skewed).cumulative("v", fn, "out"), want)
 
 
-@pytest.mark.parametrize("n", [1, 3, 40, -1, -5])
+@pytest.mark.parametrize("n", [1, 3, 40, 100, -1, -90])
 def test_shift(skewed, n):
     check(skewed, runs(skewed).shift("v", n, "out"), F.lag("v", n).over(plain()) if n > 0 else F.lead("v", -n).over(plain()))
 
@@ -60,7 +60,7 @@ def test_row_number(skewed):
     check(skewed, runs(skewed, by=[]).row_number("out"), F.row_number().over(whole))
 
 
-@pytest.mark.parametrize("n", [1, 2, 9, 50])
+@pytest.mark.parametrize("n", [1, 2, 9, 50, 150])
 def test_rolling_rows(skewed, n):
     got = runs(skewed).rolling(n, ["v"], lambda w: {"out": F.sum("v").over(w)})
     check(skewed, got, F.sum("v").over(plain().rowsBetween(-(n - 1), 0)))
