@@ -103,9 +103,8 @@ def quantiles(
     """
     keys = list(keys)
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    upto = Runs(counts, keys, ["__v"], within=df, **kw).cumulative("__n", "sum", "__upto").rows()
-    totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    placed = on_keys(upto, totals, keys)
+    runs = Runs(counts, keys, ["__v"], within=df, **kw).cumulative("__n", "sum", "__upto")
+    placed = runs.total(F.sum("__n"), ["__n"], "__total").rows()
 
     def at(index: Column) -> Column:
         here = (F.col("__upto") - F.col("__n") <= index) & (index < F.col("__upto"))

@@ -248,6 +248,17 @@ class Runs:
             return done
         return done.with_df(done.df.withColumn(out, F.when(F.col(col).isNotNull(), F.col(out))))
 
+    def total(self, agg: Column, columns: Sequence[str], out: str) -> Runs:
+        """A sum or count over the whole group, on every row; ``columns`` are those it reads."""
+        keys = [*self.by, RUN] if self.split else self.by
+        df = self.df.withColumn(out, agg.over(Window.partitionBy(*keys)))
+        if self.split:
+            parts = self._source(columns).where(F.col(RUN).isNotNull()).groupBy(*self.by, RUN).agg(agg.alias("__part"))
+            whole = F.sum("__part").over(Window.partitionBy(*self.by)).alias("__whole")
+            df = self.attach(df, parts.select(*self.by, RUN, whole))
+            df = df.withColumn(out, F.coalesce(F.col("__whole"), F.col(out))).drop("__whole")
+        return self.with_df(df, self._without(out))
+
     def shift(self, col: str, n: int, out: str) -> Runs:
         """The value ``n`` rows back (``n`` < 0: ahead)."""
         if n < 0:

@@ -80,10 +80,9 @@ def value_ranks(
     by = list(by)
     values = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
     runs = Runs(values, by, [col], descending=descending, within=df, **kw).cumulative("__n", "sum", "__upto").row_number("__dense")
-    ranked = runs.rows()
     if any(pct for _, pct in outs.values()):
-        totals = ranked.groupBy(*by).agg(F.max("__upto").alias("__rows"), F.max("__dense").alias("__values"))
-        ranked = _join_back(ranked, totals, by)
+        runs = runs.total(F.sum("__n"), ["__n"], "__rows").total(F.count("__n"), ["__n"], "__values")
+    ranked = runs.rows()
     ranks = {
         "min": F.col("__upto") - F.col("__n") + 1,
         "max": F.col("__upto"),
