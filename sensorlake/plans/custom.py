@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorlake.operators import udfs as U
+from sensorlake.plans.columns import gappy
 from sensorlake.plans.landing import new_table
 from sensorlake.plans.ordered import BY, ORDER, POSITIONS, events
-from sensorlake.plans.columns import gappy
 from sensorlake.plans.registry import query, r, table
 from sensorlake.session import scratch_dir
 from sensorlake.sources.formats import write_table
@@ -112,6 +112,6 @@ def online_mean(spark: SparkSession, sf: str) -> DataFrame:
         write_table(rows, f"{root}/src/{label}")
         stream = spark.readStream.schema(e.schema).option("recursiveFileLookup", "true").parquet(f"{root}/src")
         out = online_ewm(stream, "v", 0.3, BY, ORDER)
-        query = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
-        query.trigger(availableNow=True).start().awaitTermination()
+        sink = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        sink.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out").select("event_id", r("ewm").alias("ewm"))

@@ -1,4 +1,7 @@
-"""The daily flow: landed text to staged Parquet to a processed table."""
+"""The daily flow: archives to landed text to staged Parquet to a processed table.
+
+    python -m sensorlake.plans.flow --archives in/ --lake lake/ --table readings
+"""
 
 from __future__ import annotations
 
@@ -9,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorlake.operators.mapping import apply_mapping, normalize_columns
 from sensorlake.operators.quality import ingest_summary, observed, quarantine, rejected
 from sensorlake.schemas import SchemaSpec
-from sensorlake.sources.files import plain_path
-from sensorlake.sources.tables import register_table, write_processed, write_stage
+from sensorlake.session import pin
+from sensorlake.sources.archives import land_members, list_members
+from sensorlake.sources.files import list_files, plain_path
+from sensorlake.sources.landing import landing_manifest
+from sensorlake.sources.tables import read_stage, register_table, write_processed, write_stage
 from sensorlake.sources.text import CORRUPT, scan_csv, scan_log
 
 
@@ -37,9 +43,25 @@ class FlowResult:
     rejects: DataFrame
 
 
+def land_archives(
+    spark: SparkSession, path: str, root: str, member_glob: str | None = None, layout: str = "tree", prefix: str = "raw/"
+) -> dict[str, int]:
+    """Unpack the zip archives below ``path`` to ``root``/raw/; says how many files and bytes were
+    landed and how many were hidden by another file of the same key."""
+    members = list_members(spark, path, member_glob)
+    files = members.withColumns({"path": F.concat_ws("/", "archive", "member"), "rel": F.col("member")})
+    # Listed once: what is landed is what was counted.
+    manifest = pin(landing_manifest(files, layout, prefix, keep=("archive", "member")))
+    collisions = manifest.agg(F.coalesce(F.sum("n_collisions"), F.lit(0))).first()[0]
+    return {**land_members(spark, manifest, root), "collisions": collisions}
+
+
 def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     """Raw files of ``cfg.raw`` to the registered table ``cfg.table``.
 
+    With mode ``overwrite`` the table is made anew from all that is staged; with ``append`` the files
+    of this run are added to it.
+
     Every step up to the table is a scan and a projection: nothing is shuffled. The stage holds
     strings (and the raw text of rows of the wrong width); types come once, from the mapping.
     """
@@ -51,7 +73,11 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     staged = normalize_columns(raw).withColumn("source_file", plain_path(F.col("source_file")))
     write_stage(staged, cfg.stage)
 
-    staged = spark.read.schema(staged.schema).parquet(cfg.stage)
+    staged = read_stage(spark, cfg.stage, staged.schema)
+    if cfg.mode == "append":
+        # What earlier runs staged is in the table already.
+        landed = list_files(spark, cfg.raw, cfg.glob).select(plain_path(F.col("path")).alias("source_file"))
+        staged = staged.join(landed, "source_file", "left_semi")
     keep = [("source_file", "string", "source_file", "string"), ("corrupt_record", "string", CORRUPT, "string")]
     mapped = apply_mapping(staged, cfg.spec.mapping(cfg.sources) + keep, "quarantine", cfg.formats)
     # Rejects are counted while the good rows are written; only if there are any is the stage read again.
@@ -65,4 +91,36 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     table = register_table(spark, cfg.table, cfg.processed, cfg.spec.struct)
     kept = spark.read.parquet(cfg.processed)
     rejects = spark.read.schema(bad.schema).parquet(cfg.rejects)
+    if cfg.mode == "append":
+        kept, rejects = [df.join(landed, "source_file", "left_semi") for df in (kept, rejects)]
     return FlowResult(table, ingest_summary(staged, kept, rejects), rejects)
+
+
+def main() -> None:
+    import argparse
+
+    from sensorlake.schemas import SCHEMAS
+    from sensorlake.session import configure
+
+    args = argparse.ArgumentParser(description="Land archives and make the table of readings.")
+    args.add_argument("--archives", help="folder with zip archives; leave out if the lake's raw/ is filled already")
+    args.add_argument("--lake", required=True, help="folder that holds raw/, stage/, processed/ and rejects/")
+    args.add_argument("--table", required=True)
+    args.add_argument("--schema", choices=sorted(SCHEMAS), default="accel5")
+    args.add_argument("--format", choices=("csv", "log"), default="csv")
+    args.add_argument("--sep", default=",")
+    args.add_argument("--glob", help="files to read; *.csv or *.log by default")
+    args.add_argument("--layout", choices=("tree", "flat"), default="tree")
+    args.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
+    a = args.parse_args()
+    spark = configure(SparkSession.builder.appName(f"make {a.table}")).getOrCreate()
+    lake, glob = a.lake.rstrip("/"), a.glob or f"*.{a.format}"
+    if a.archives:
+        print(land_archives(spark, a.archives, lake, glob, a.layout))
+    dirs = [f"{lake}/{d}" for d in ("raw", "stage", "processed", "rejects")]
+    result = run_flow(spark, FlowConfig(*dirs, a.table, SCHEMAS[a.schema], fmt=a.format, sep=a.sep, glob=glob, mode=a.mode))
+    result.summary.show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -5,13 +5,14 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorlake.operators.mapping import apply_mapping, normalize_columns, select_fields, stage_key, to_ts
 from sensorlake.operators.quality import ingest_summary, quarantine
-from sensorlake.plans.flow import FlowConfig, run_flow
+from sensorlake.plans.flow import FlowConfig, land_archives, run_flow
 from sensorlake.plans.registry import SENSORS, query, sensors, table
 from sensorlake.schemas import SCHEMAS, conform
 from sensorlake.session import scratch_dir
@@ -19,7 +20,7 @@ from sensorlake.sources.archives import scan_archive_lines, scan_archives
 from sensorlake.sources.files import locate, plain_path
 from sensorlake.sources.formats import write_table
 from sensorlake.sources.landing import filter_objects, landing_manifest, scan_landing, scan_notified
-from sensorlake.sources.tables import register_table, scan_parquet, scan_table, sql, write_processed, write_stage
+from sensorlake.sources.tables import read_stage, register_table, scan_parquet, scan_table, sql, write_processed, write_stage
 from sensorlake.sources.text import CORRUPT, scan_csv, scan_log
 from sensorlake.streaming.incremental import run_incremental
 
@@ -42,11 +43,11 @@ def land_csv(spark: SparkSession, sf: str, label: str, **kw) -> str:
     return path
 
 
-def land_zips(spark: SparkSession, sf: str) -> str:
+def land_zips(spark: SparkSession, sf: str, columns: Sequence[str] = SENSOR_SCHEMA.names) -> str:
     """The sensor rows as CSV members of zip archives: 1000 rows a member, five members an archive."""
     root = scratch_dir(spark, "zips")
     s = sensors(spark, sf).withColumn("event_id", F.monotonically_increasing_id())
-    fields = [F.col(c).cast("string") for c in SENSOR_SCHEMA.fieldNames()]
+    fields = [F.col(c).cast("string") for c in columns]
     lines = s.select(
         F.floor(F.col("event_id") / 5000).alias("archive"), F.floor(F.col("event_id") / 1000).alias("member"), F.concat_ws(",", *fields).alias("line")
     )
@@ -56,7 +57,7 @@ def land_zips(spark: SparkSession, sf: str) -> str:
         data = io.BytesIO()
         with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
             for member, text in zip(pdf["member"], pdf["text"]):
-                archive.writestr(f"d{member}/readings.csv", text)
+                archive.writestr(f"d{member}/readings.csv", text + "\n")
             archive.writestr("readme.txt", "not data")
         system, name = locate(f"{root}/a{pdf['archive'].iloc[0]}.zip")
         system.create_dir(name.rsplit("/", 1)[0], recursive=True)
@@ -71,7 +72,7 @@ def land_zips(spark: SparkSession, sf: str) -> str:
 @query("a01_archive_member_scan", ALL)
 def archive_member_scan(spark: SparkSession, sf: str) -> DataFrame:
     members = scan_archives(spark, land_zips(spark, sf), "*.csv")
-    lines = members.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line"))
+    lines = members.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("line <> ''")
     return lines.select(F.from_csv("line", LINE).alias("r")).select("r.*")
 
 
@@ -267,7 +268,7 @@ def stage_replace(spark: SparkSession, sf: str) -> DataFrame:
     write_stage(s, path)
     changed = s.where("source_file = 'click'").withColumn("accel_x", F.col("accel_x") + 1)
     write_stage(changed, path)
-    return spark.read.parquet(path)
+    return read_stage(spark, path)
 
 
 @query("a17_processed_append", f"SELECT * FROM {SENSORS} UNION ALL SELECT * FROM {SENSORS}")
@@ -324,6 +325,14 @@ def log_to_table(spark: SparkSession, sf: str) -> DataFrame:
     return run_flow(spark, flow_config(root, new_table("readings"), fmt="log", sep="\t")).table
 
 
+@query("a20_archives_to_table", f'SELECT id, "timestamp", accel_x, accel_y, accel_z FROM {SENSORS}')
+def archives_to_table(spark: SparkSession, sf: str) -> DataFrame:
+    """From zip archives: unpack, land, stage, map, write, register."""
+    root = scratch_dir(spark, "flow")
+    land_archives(spark, land_zips(spark, sf, ACCEL), root, "*.csv")
+    return run_flow(spark, flow_config(root, new_table("readings"), fmt="log", sep=",")).table
+
+
 def spoiled(spark: SparkSession, sf: str) -> DataFrame:
     """Sensor rows as text, some with a bad time or a bad reading; one source per activity."""
     s = sensors(spark, sf)

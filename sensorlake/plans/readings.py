@@ -75,10 +75,13 @@ both("b05_rollup", f"{GROUPED} ROLLUP (id, activity)")
 both("b05_cube", f"{GROUPED} CUBE (id, activity)")
 both("b05_grouping_sets", f"{GROUPED} GROUPING SETS ((id), (activity), ())")
 
-both(
-    "b06_time_bucket",
-    "SELECT id, date_trunc('hour', timestamp) AS hour, count(*) AS n, round(avg(accel_x), 6) AS mean_x FROM {s} GROUP BY 1, 2",
-)
+HOURLY = "SELECT id, {0} AS hour, count(*) AS n, round(avg(accel_x), 6) AS mean_x FROM {1} GROUP BY 1, 2"
+
+
+@query("b06_time_bucket", HOURLY.format('date_trunc(\'hour\', "timestamp")', SENSORS))
+def time_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    return on_sensors(spark, sf, HOURLY.format("CAST(date_trunc('hour', timestamp) AS TIMESTAMP_NTZ)", "{s}"))
+
 
 W = 'OVER (PARTITION BY id ORDER BY "timestamp"'
 

@@ -49,7 +49,7 @@ def sample_fraction(spark: SparkSession, sf: str) -> DataFrame:
     return S.sample(table(spark, sf, "events"), fraction=0.1, seed=3)
 
 
-@query("c86_sample_weighted", "SELECT 100 AS n, true AS positive")
+@query("c86_sample_weighted", "SELECT CAST(100 AS BIGINT) AS n, true AS positive")
 def sample_weighted(spark: SparkSession, sf: str) -> DataFrame:
     """A hundred customers, by balance; who is drawn is chance, how many is not."""
     drawn = S.sample(table(spark, sf, "customer"), n=100, weights="c_acctbal", seed=3)

@@ -11,6 +11,7 @@ import fnmatch
 import io
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,7 +26,7 @@ def _names(archive: zipfile.ZipFile, glob: str | None) -> list[zipfile.ZipInfo]:
 
 
 def list_members(spark: SparkSession, path: str, member_glob: str | None = None, archive_glob: str = "*.zip") -> DataFrame:
-    """(archive, member, size) from the archives' directories."""
+    """(archive, member, size, mtime) from the archives' directories."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -33,10 +34,16 @@ def list_members(spark: SparkSession, path: str, member_glob: str | None = None,
                 with open_input(path) as raw, zipfile.ZipFile(raw) as archive:
                     found = _names(archive, member_glob)
                     yield pd.DataFrame(
-                        {"archive": path, "member": [m.filename for m in found], "size": [m.file_size for m in found]}
+                        {
+                            "archive": path,
+                            "member": [m.filename for m in found],
+                            "size": [m.file_size for m in found],
+                            "mtime": pd.to_datetime([datetime(*m.date_time) for m in found]),
+                        }
                     )
 
-    return list_files(spark, path, archive_glob).select("path").mapInPandas(read, "archive string, member string, size long")
+    schema = "archive string, member string, size long, mtime timestamp_ntz"
+    return list_files(spark, path, archive_glob).select("path").mapInPandas(read, schema)
 
 
 def _dealt(spark: SparkSession, members: DataFrame, tasks: int | None) -> DataFrame:

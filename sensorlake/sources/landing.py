@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,8 +21,8 @@ def scan_landing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.withColumn("rel", F.substr(plain_path(F.col("path")), base + 1)).select("path", "rel", "size", "mtime")
 
 
-def landing_manifest(files: DataFrame, layout: str = "tree", prefix: str = "raw/") -> DataFrame:
-    """(key, path, size, mtime, n_collisions), one row per landing key (A3).
+def landing_manifest(files: DataFrame, layout: str = "tree", prefix: str = "raw/", keep: Sequence[str] = ()) -> DataFrame:
+    """(key, path, size, mtime, n_collisions), one row per landing key, and what to ``keep`` of a file (A3).
 
     ``tree`` keeps the folders. ``flat`` keeps the file name alone: the last writer (then the last
     path) holds the key and ``n_collisions`` counts the files it hides. The winner is a maximum, so
@@ -35,9 +35,9 @@ def landing_manifest(files: DataFrame, layout: str = "tree", prefix: str = "raw/
     else:
         raise ValueError(f"layout: {layout}")
     keyed = files.withColumn("key", F.concat(F.lit(prefix), name))
-    last = F.max(F.struct("mtime", "path", "size")).alias("last")
+    last = F.max(F.struct("mtime", "path", "size", *keep)).alias("last")
     return keyed.groupBy("key").agg(last, (F.count(F.lit(1)) - 1).alias("n_collisions")).select(
-        "key", "last.path", "last.size", "last.mtime", "n_collisions"
+        "key", "last.path", "last.size", "last.mtime", "n_collisions", *[f"last.{c}" for c in keep]
     )
 
 

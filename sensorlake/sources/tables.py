@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
 
+# Partition of a source: a digest, since a path may be longer than a folder name can be.
+SOURCE_ID = "_source_id"
+
+
 def write_stage(df: DataFrame, path: str, source_col: str = "source_file") -> None:
     """Stage rows by their source, replacing only the sources present in ``df``.
 
@@ -25,13 +29,22 @@ def write_stage(df: DataFrame, path: str, source_col: str = "source_file") -> No
     that holds most of the data is written by all the tasks that read it.
     """
     (
-        df.write.mode("overwrite")
+        df.withColumn(SOURCE_ID, F.sha1(F.col(source_col).cast("binary")))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(source_col)
+        .partitionBy(SOURCE_ID)
         .parquet(path)
     )
 
 
+def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All that is staged; a known ``schema`` (of the rows written) saves looking it up."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(SOURCE_ID, T.StringType())]))
+    return reader.parquet(path).drop(SOURCE_ID)
+
+
 def write_processed(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
     """Processed Parquet."""
     if mode not in ("append", "overwrite"):
@@ -46,15 +59,17 @@ def write_processed(df: DataFrame, path: str, mode: str = "append", partition_by
 def register_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """External Parquet table over files that exist already."""
+    """External Parquet table over files that exist already (A18). A table of that name stays, and
+    sees the files that are there now."""
     columns = ""
     if schema is not None:
         columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ")"
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} {columns} USING PARQUET {parts} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING PARQUET {parts} LOCATION '{location}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

@@ -147,15 +147,17 @@ def scan_csv(
         raise ValueError(f"on_bad: {on_bad}")
     files = headers(spark, path, glob, sep)
     # Layouts are few; a layout's file names are collected only where layouts differ.
-    layouts = [r.header for r in files.groupBy("header").agg(F.min("path").alias("first")).orderBy("first").collect()]
+    found = files.groupBy("header").agg(F.min("path").alias("first")).orderBy("first")
+    layouts = [tuple(r) for r in found.select("header", F.xxhash64(F.array_join("header", "\n"))).collect()]
     if not layouts:
         raise FileNotFoundError(f"no {glob} with a header below {path}")
+    by_layout: dict[int, list[str]] = {}
+    if len(layouts) > 1:
+        for r in files.select("path", F.xxhash64(F.array_join("header", "\n")).alias("layout")).collect():
+            by_layout.setdefault(r.layout, []).append(r.path)
     parts = []
-    for names in layouts:
-        paths = path
-        if len(layouts) > 1:
-            same = files.where(F.col("header") == F.array(*[F.lit(n) for n in names]))
-            paths = [r.path for r in same.select("path").collect()]
+    for names, layout in layouts:
+        paths = by_layout.get(layout, path)
         df = _read(spark, paths, names, sep, multiline, True, on_bad, glob)
         df = df.withColumns({n: no_value(F.col(f"`{n}`"), null_tokens) for n in names})
         if on_bad == "fail":

@@ -14,7 +14,7 @@ from sensorlake.schemas import SCHEMAS, conform
 from sensorlake.sources.archives import land_members, list_members, scan_archive_lines, scan_archives
 from sensorlake.sources.formats import path_partitions, read_dialect, read_fixed_width
 from sensorlake.sources.landing import filter_objects, landing_manifest, scan_landing, scan_notified
-from sensorlake.sources.tables import register_table, write_processed, write_stage
+from sensorlake.sources.tables import read_stage, register_table, write_processed, write_stage
 from sensorlake.sources.text import CORRUPT, NULL_TOKENS, scan_csv, scan_log
 from sensorlake.streaming.incremental import run_incremental
 
@@ -155,7 +155,7 @@ def test_stage_replaces_per_source(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "source_file string, v int")
     write_stage(df, path)
     write_stage(spark.createDataFrame([("b", 3), ("b", 4)], "source_file string, v int"), path)
-    assert sorted((r.source_file, r.v) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3), ("b", 4)]
+    assert sorted((r.source_file, r.v) for r in read_stage(spark, path).collect()) == [("a", 1), ("b", 3), ("b", 4)]
 
 
 def test_processed_and_table(spark, tmp_path):
@@ -189,6 +189,20 @@ def test_flow(spark, tmp_path):
     assert sorted(r.id for r in result.rejects.collect()) == ["10", "8"]
 
 
+def test_flow_again(spark, tmp_path):
+    dirs = [str(tmp_path / d) for d in ("stage", "processed", "rejects")]
+    head = "id,timestamp,accel_x,accel_y,accel_z\n"
+    put(tmp_path / "day1" / "x.csv", head + "1,2024-01-01,1,2,3\n")
+    put(tmp_path / "day2" / "x.csv", head + "2,2024-01-02,1,2,3\n3,nope,1,2,3\n")
+    for day in ("day1", "day2"):
+        result = run_flow(spark, FlowConfig(str(tmp_path / day), *dirs, "daily_table", SCHEMAS["accel5"], mode="append"))
+    assert sorted(r.id for r in result.table.collect()) == ["1", "2"]
+    assert [(r.rows_in, r.rows_out, r.rows_rejected) for r in result.summary.collect()] == [(2, 1, 1)]
+    put(tmp_path / "day1" / "x.csv", head + "7,2024-01-01,1,2,3\n")
+    result = run_flow(spark, FlowConfig(str(tmp_path / "day1"), *dirs, "daily_table", SCHEMAS["accel5"]))
+    assert sorted(r.id for r in result.table.collect()) == ["2", "7"]
+
+
 def test_dialect_and_fixed_width(spark, tmp_path):
     put(tmp_path / "a.csv", "made by hand\nsecond line\nid;ok;v\n1;y;1,5\n2;n;-\n")
     schema = T.StructType.fromDDL("id int, ok boolean, v double")
