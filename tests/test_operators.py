@@ -87,10 +87,11 @@ def test_top_k_all_ties(spark, way):
 @pytest.mark.parametrize("kind", ["linear", "lower", "higher", "nearest", "midpoint"])
 def test_quantiles(spark, kind, cut):
     pdf = pd.DataFrame({"g": ["a"] * 7 + ["b"] * 4 + ["c"], "v": [1.0, 5, 5, 2, 9, 9, 9, 4, 3, 8, 1, 7]})
-    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
-        got = A.quantiles(spark.createDataFrame(pdf), ["g"], "v", {"q": q}, kind, rows_per_run=cut).toPandas().set_index("g")["q"]
+    qs = {f"q{i}": q for i, q in enumerate((0.0, 0.25, 0.5, 0.9, 1.0))}
+    got = A.quantiles(spark.createDataFrame(pdf), ["g"], "v", qs, kind, rows_per_run=cut).toPandas().set_index("g")
+    for name, q in qs.items():
         want = pdf.groupby("g")["v"].apply(lambda s: s.quantile(q, interpolation=kind))
-        assert got.sort_index().to_dict() == pytest.approx(want.to_dict())
+        assert got[name].sort_index().to_dict() == pytest.approx(want.to_dict())
 
 
 def test_statistics_without_spread(spark):
