@@ -21,63 +21,102 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.shared import SPACE_WORD, kept, table
+from sensorlake.llm.shared import kept, table
 
 BANDS = 24
 ROWS = 4
 VALUES = BANDS * ROWS
 SEED = 20_240_607
 CENTRE_ROUNDS = 3
-_M32 = np.uint64(0xFFFFFFFF)
+CHUNK = 8192
+CACHE = 1 << 20
 
-SCHEMA = "doc_id bigint, n_shingles bigint, set_id string, shingles array<bigint>, bands array<bigint>"
+SIGNED = "doc_id bigint, n_shingles bigint, set_id string, bands array<bigint>"
+SETS = "node bigint, n_shingles bigint, shingles array<bigint>"
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values; every step can be undone, so different values stay different."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; a bounded cache."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def shingle_set(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles of a text with A-Z lower-cased.
+
+    On bytes, ``lower`` changes those letters only, and ``split`` cuts at the six white-space characters of the contract.
+    """
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if not words:
+        return np.empty(0, np.uint64)
+    codes = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
+    n = min(width, len(codes))
+    out = np.full(len(codes) - n + 1, n, np.uint64)
+    for k in range(n):
+        out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + codes[k : len(codes) - n + 1 + k])
+    return np.unique(out)
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
     half = VALUES // 2
-    return rng.integers(1, 1 << 63, half, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, half, dtype=np.uint64)
+    draw = lambda: rng.integers(0, 1 << 32, (half, 1), dtype=np.uint32)
+    return draw() | np.uint32(1), draw()
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of a text with A-Z lower-cased."""
-    words = SPACE_WORD.findall(text) if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    data = [w.encode("utf-8", "surrogatepass").lower() for w in words]
-    n = max(len(data) - width, 0) + 1
-    hashes = (xxhash.xxh3_64_intdigest(b" ".join(data[i : i + width])) for i in range(n))
-    return np.unique(np.fromiter(hashes, np.uint64, n))
-
-
-def band_keys(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Minimum and maximum under each permutation, hashed by band."""
-    values = np.empty(VALUES, np.uint64)
-    for k in range(len(a)):
-        mixed = shingles * a[k] + b[k]
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        values[2 * k], values[2 * k + 1] = mixed.min(), mixed.max()
+def band_keys(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minimum and maximum of the shingles under each permutation, hashed by band."""
+    x = (shingles >> np.uint64(32)).astype(np.uint32)
+    low, high = np.full(len(a), 0xFFFFFFFF, np.uint32), np.zeros(len(a), np.uint32)
+    for at in range(0, len(x), CHUNK):
+        values = x[None, at : at + CHUNK] * a + b
+        low, high = np.minimum(low, values.min(axis=1)), np.maximum(high, values.max(axis=1))
     # Minima and maxima of one permutation never share a band: bands take one kind each.
-    kinds = np.concatenate([values[0::2], values[1::2]]).reshape(BANDS, ROWS)
-    return [xxhash.xxh3_64_intdigest(bytes([i]) + row.tobytes()) - (1 << 63) for i, row in enumerate(kinds)]
+    kinds = np.concatenate([low, high]).astype(np.uint64).reshape(BANDS, ROWS)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for k in range(ROWS):
+        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + kinds[:, k])
+    return keys.view(np.int64)
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
+    """Per row its id, the size and digest of its set, and its band keys; the sets themselves are not kept."""
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b = _permutations()
+        (a, b), hashes = _permutations(), WordHashes()
         for batch in batches:
             out = []
             for d, t in zip(batch["doc_id"], batch["text"]):
-                s = shingle_set(t if isinstance(t, str) else None, width)
+                s = shingle_set(t if isinstance(t, str) else None, width, hashes)
                 d = None if pd.isna(d) else int(d)
-                if not len(s):
-                    out.append((d, 0, None, [], []))
-                else:
-                    out.append((d, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), s.view(np.int64), band_keys(s, a, b)))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_id", "shingles", "bands"]).astype({"doc_id": "Int64"})
+                out.append((d, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), band_keys(s, a, b)) if len(s) else (d, 0, None, []))
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_id", "bands"]).astype({"doc_id": "Int64"})
+
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(sign, SIGNED)
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(sign, SCHEMA)
+
+def full_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """The sets of the documents that share a bucket, made again from their texts."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [shingle_set(t if isinstance(t, str) else None, width, hashes).view(np.int64) for t in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "n_shingles": [len(s) for s in found], "shingles": found})
+
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
+    return rows.join(nodes, "node", "left_semi").mapInPandas(sets, SETS).dropDuplicates(["node", "n_shingles", "shingles"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -88,11 +127,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb")), "b")
         .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     )
-    both = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(
-        sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a"
-    )
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("shingles").alias(f"s{x}"))
+    both = near.join(side("b"), ["b", "nb"]).join(side("a"), ["a", "na"])
     common = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return common.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+    return common.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -125,17 +163,22 @@ def _classes(members: DataFrame, edges: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
 
 
-def links(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Enough confirmed links between nodes to give the classes of all confirmed links."""
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, node) of buckets that more than one node is in."""
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = kept(members.join(shared, "bucket").withColumn("comp", F.col("node")), "buckets")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
+    return kept(members.join(shared, "bucket").distinct(), "buckets")
+
+
+def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Enough confirmed links between the nodes of shared buckets to give the classes of all confirmed links."""
+    members = members.withColumn("comp", F.col("node"))
     found, tried = None, None
     for turn in range(CENTRE_ROUNDS + 1):
         split = members.groupBy("bucket").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by("node", _order(turn)).alias("centre"), F.min_by("comp", _order(turn)).alias("main")
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("node", "comp"), _order(turn)).alias("first")
         ).filter("lo <> hi")
-        open_ = members.join(split.select("bucket", "centre", "main"), "bucket").filter("comp <> main")
+        open_ = members.join(split.select("bucket", F.col("first.node").alias("centre"), F.col("first.comp").alias("main")), "bucket").filter("comp <> main")
         if turn < CENTRE_ROUNDS:
             pairs = open_.select(F.col("centre"), F.col("node"))
         else:
@@ -144,8 +187,8 @@ def links(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             pairs = rest.join(members, "bucket").filter("comp <> own").select("centre", "node")
         pairs = pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
         pairs = kept(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty() and turn == CENTRE_ROUNDS:
-            break
+        if found is not None and pairs.isEmpty():
+            continue
         new = kept(confirmed(pairs, sets, percent), "links")
         found = new if found is None else found.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -161,22 +204,23 @@ def _order(turn: int) -> Column:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """Per row doc_id, n_shingles, component_id and kept (the smallest id of its class)."""
     signed = kept(signatures(docs, doc_id, text, width), "signatures")
-    # One node per distinct set, named by its smallest id.
+    # One node per distinct set, named by its smallest id. Rows that repeat an id with other words share the node or are linked below.
     sized = signed.select("doc_id", "n_shingles", "set_id")
-    groups = kept(sized.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("node")), "nodes")
-    first = signed.join(groups, (signed["doc_id"] == groups["node"]) & (signed["set_id"] == groups["set_id"]), "left_semi")
-    # Two rows with one id but different sets are two nodes; the set completes the name, and the id links them below.
-    nodes = first.select(F.struct("doc_id", "set_id").alias("node"), "n_shingles", "shingles", "bands").dropDuplicates(["node"])
-    nodes = kept(nodes, "node-sets")
-    found = links(nodes.select("node", "bands"), nodes.select("node", "n_shingles", "shingles"), percent)
-    member = sized.join(groups, "set_id").select("doc_id", F.struct(F.col("node").alias("doc_id"), "set_id").alias("node"))
-    again = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.collect_set("node").alias("all")).filter("a <> b")
-    same_id = again.select("a", F.explode("all").alias("b")).filter("a <> b")
+    groups = signed.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    groups = kept(groups, "nodes")
+    members = shared_buckets(groups.select("node", "bands"))
+    sets = kept(full_sets(docs, members.select("node").distinct(), doc_id, text, width), "sets")
+    found = links(members, sets, percent)
+    names = groups.select("set_id", "node")
+    member = sized.filter("doc_id is not null").join(names, "set_id").select("doc_id", "node")
+    again = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b")
+    same_id = member.join(again.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")).filter("a <> b")
     labels = components(found.unionByName(same_id))
-    class_of = groups.select(F.struct(F.col("node").alias("doc_id"), "set_id").alias("node"), "set_id").join(labels, "node", "left")
-    class_of = class_of.select("set_id", F.coalesce("comp", "node")["doc_id"].alias("component_id"))
-    out = sized.join(class_of, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    class_of = names.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))
+    out = sized.join(class_of, "set_id", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+    )
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

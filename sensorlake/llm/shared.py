@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.session import scratch_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# One word per run of characters that are not white space (fixed by the contract of the queries).
-SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
