@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.shared import fold, kept, table
 
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+PLACE_BITS = 24
 THRESHOLDS = 32
 MAX_CONDITIONS = 3
 MAX_RULES = 12
@@ -65,27 +64,35 @@ class DecisionList:
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add counts of words, symbols and repeats under the names of the contract."""
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_words", F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    out = out.withColumn("_lines", F.filter(F.split(t, "\n", -1), lambda s: F.translate(s, SPACES, "") != ""))
-    # Words hold no space, so a space joins three of them without ambiguity. `_words` is named more than once here, which
-    # keeps the optimizer from computing it again per element.
-    three = F.transform(F.col("_words"), lambda w, i: F.concat_ws(" ", w, F.get(F.col("_words"), i + 1), F.get(F.col("_words"), i + 2)))
-    out = out.withColumn("_triples", F.slice(three, F.lit(1), F.greatest(F.size("_words") - 2, F.lit(0))))
-    out = out.withColumn("_repeats", F.size("_triples") > F.size(F.array_distinct("_triples")))
-    # Equal windows are neighbours once sorted; only texts with a repeat pay for the sort.
-    ordered = F.when(F.col("_repeats"), F.sort_array(F.transform("_triples", lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
-    out = out.withColumn("_sorted", ordered)
-    at = lambda i: F.get(F.col("_sorted"), i)["w"]
-    same = F.filter(F.col("_sorted"), lambda x, i: F.coalesce(at(i - 1) == x["w"], F.lit(False)) | F.coalesce(at(i + 1) == x["w"], F.lit(False)))
+    out = docs.withColumn("_words", F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), ""))
+    out = out.withColumn("_lines", F.filter(F.split(t, "\n", -1), lambda s: s.rlike(r"[^\x20\x09-\x0D]")))
+    # A window's hash and place share one long, so that windows of equal hash are neighbours after a sort of plain numbers.
+    # `_words` is named more than once here, which keeps the optimizer from computing it again per element.
+    at = lambda i: F.get(F.col("_words"), i)
+    hashed = F.transform("_words", lambda w, i: F.shiftleft(F.xxhash64(w, at(i + 1), at(i + 2)), PLACE_BITS).bitwiseOR(i.cast("long")))
+    n_windows = F.greatest(F.size("_words") - 2, F.lit(0))
+    out = out.withColumn("_hashed", F.sort_array(F.slice(hashed, F.lit(1), n_windows)))
+    hash_at = lambda i: F.shiftright(F.get(F.col("_hashed"), i), PLACE_BITS)
+    twice = F.filter("_hashed", lambda x, i: (hash_at(i - 1) == F.shiftright(x, PLACE_BITS)) | (hash_at(i + 1) == F.shiftright(x, PLACE_BITS)))
+    places = F.transform(twice, lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
+    # Where places outgrow their bits, every window is compared in full.
+    every = F.when(n_windows > 0, F.sequence(F.lit(0), n_windows - 1)).otherwise(F.array().cast("array<int>"))
+    out = out.withColumn("_maybe", F.when(F.size("_words") < 1 << PLACE_BITS, places).otherwise(every))
+    # Windows of equal hash are compared as text, so a collision counts for nothing. Words hold no space: a space joins them without
+    # ambiguity.
+    window = lambda i: F.struct(F.concat_ws(" ", at(i), at(i + 1), at(i + 2)).alias("w"), i.alias("i"))
+    out = out.withColumn("_sorted", F.sort_array(F.transform("_maybe", window)))
+    text_at = lambda i: F.get(F.col("_sorted"), i)["w"]
+    same = F.filter("_sorted", lambda x, i: (text_at(i - 1) == x["w"]) | (text_at(i + 1) == x["w"]))
     out = out.withColumn("_at", F.transform(same, lambda x: x["i"]))
     covered = F.array_distinct(F.concat(F.col("_at"), F.transform("_at", lambda i: i + 1), F.transform("_at", lambda i: i + 2)))
     return out.select(
         *docs.columns,
         F.size("_words").cast("long").alias("n_words"),
-        F.length(F.translate(t, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("_repeats"), F.size(covered)).otherwise(0).cast("long").alias("n_repeat_words"),
+        F.size(covered).cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
         F.length(F.regexp_replace(t, r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
