@@ -107,7 +107,8 @@ def json_sum(c) -> Column:
 
 
 def json_avg(c) -> Column:
-    return json_sum(c) / F.size(json_numbers(c))
+    """Mean of the elements; NULL without any."""
+    return F.try_divide(json_sum(c), F.size(json_numbers(c)))
 
 
 def json_values(c, names: Sequence[str]) -> Column:

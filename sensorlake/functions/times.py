@@ -153,10 +153,14 @@ def time_of_day(c: Column | str) -> Column:
     return F.date_format(_c(c), "HH:mm:ss.SSSSSS")
 
 
+# The forms of a time of day that are accepted.
+TIME_FORMS = ["%H:%M", "%H%M", "%I:%M%p", "%I%M%p", "%H:%M:%S", "%H%M%S", "%I:%M:%S%p", "%I%M%S%p", "%I:%M %p", "%I:%M:%S %p"]
+
+
 def parse_time(c: Column | str) -> Column:
     """Seconds after midnight from text such as ``14:30``, ``14:30:15`` or ``2:30 PM``; else NULL."""
     c = F.upper(F.trim(_c(c)))
-    forms = ("H:mm:ss", "H:mm", "HHmmss", "HHmm", "h:mm:ss a", "h:mm a", "hhmmss a", "hhmm a", "h:mma")
+    forms = [pattern(f).replace("HH", "H").replace("hh", "h") if ":" in f else pattern(f) for f in TIME_FORMS]
     at = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in forms])
     return F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
 

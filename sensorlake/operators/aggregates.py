@@ -56,7 +56,7 @@ def statistic(col: str | None, fn: str, opts: Mapping[str, Any] = {}) -> Column:
         "nunique": lambda: F.count_distinct(c),
         "approx_nunique": lambda: F.approx_count_distinct(c),
         "argmin": lambda: F.min_by(F.col(opts["of"]), F.when(c.isNotNull(), F.struct(c, F.col(opts["of"])))),
-        "argmax": lambda: F.min_by(F.col(opts["of"]), F.when(c.isNotNull(), F.struct(-c, F.col(opts["of"])))),
+        "argmax": lambda: F.min_by(F.col(opts["of"]), F.when(c.isNotNull(), F.struct(-(F.unix_micros(c.cast("timestamp")) if opts.get("time") else c), F.col(opts["of"])))),
     }
     if fn not in table:
         raise ValueError(f"aggregate: {fn}")
@@ -73,6 +73,8 @@ EXACT = ("quantile", "median")
 
 def aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, tuple]) -> DataFrame:
     """``{out: (col, fn, opts)}`` per group, or over the whole table without keys."""
+    times = {f.name for f in df.schema if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")}
+    spec = {out: (c, fn, {**(rest[0] if rest else {}), "time": True}) if fn == "argmax" and c in times else (c, fn, *rest) for out, (c, fn, *rest) in spec.items()}
     plain = [statistic(c, fn, *rest).alias(out) for out, (c, fn, *rest) in spec.items() if fn not in EXACT]
     done = df.groupBy(*keys).agg(*(plain or [F.count(F.lit(1)).alias("__rows")]))
     exact: dict[str, dict[str, tuple[float, str]]] = {}

@@ -76,8 +76,13 @@ def one_hot_decode(df: DataFrame, columns: dict[str, Any], out: str) -> DataFram
     return df.withColumn(out, value).drop(*columns)
 
 
-def _number(x: float) -> str:
-    return f"{x:g}" if x == x and abs(x) < 1e6 else repr(x)
+def _numbers(edges: Sequence[float]) -> list[str]:
+    """Edges as text, with as many digits as it takes to tell them apart."""
+    for digits in range(6, 18):
+        out = [f"{x:.{digits}g}" if x == x and abs(x) < 1e6 else repr(x) for x in edges]
+        if len(set(out)) == len(set(edges)):
+            break
+    return out
 
 
 def cut(
@@ -86,10 +91,11 @@ def cut(
     """The bin a value falls in (C95): (a, b] by default, [a, b) with ``right=False``; else NULL."""
     c = F.col(c) if isinstance(c, str) else c
     out = None
+    names = _numbers(edges)
     for i, (a, b) in enumerate(zip(edges, edges[1:])):
         above = (c >= a) if not right or (include_lowest and i == 0) else (c > a)
         below = (c <= b) if right else (c < b)
-        text = f"({_number(a)}, {_number(b)}]" if right else f"[{_number(a)}, {_number(b)})"
+        text = f"({names[i]}, {names[i + 1]}]" if right else f"[{names[i]}, {names[i + 1]})"
         label = F.lit(labels[i] if labels is not None else text)
         out = F.when(above & below, label) if out is None else out.when(above & below, label)
     return out

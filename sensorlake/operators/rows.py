@@ -32,12 +32,16 @@ def evaluate(df: DataFrame, assignment: str) -> DataFrame:
 
 
 def modulo(a: Column, b: Column) -> Column:
-    """Remainder with the sign of the divisor."""
-    return a - F.floor(a / b) * b
+    """Remainder with the sign of the divisor (C21); whole numbers stay whole, so large ones are exact. NULL by zero."""
+    rest = F.try_mod(a, b)
+    return F.when((rest != 0) & ((rest < 0) != (b < 0)), rest + b).otherwise(rest)
 
 
 def floor_divide(a: Column, b: Column) -> Column:
-    return F.floor(a / b)
+    """Quotient rounded down (C21); whole numbers are divided as such, so large ones are exact. NULL by zero."""
+    x, y = a.try_cast("bigint"), F.nullif(b.try_cast("bigint"), F.lit(0))
+    whole = F.call_function("div", x, y) - F.when((x % y != 0) & ((x < 0) != (y < 0)), 1).otherwise(0)
+    return F.when((x == a) & (y == b), whole).otherwise(F.floor(F.try_divide(a, b)))
 
 
 def safe_cast(c: Column | str, kind: str, errors: str = "raise") -> Column:

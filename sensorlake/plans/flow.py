@@ -14,7 +14,7 @@ from sensorlake.operators.quality import ingest_summary, observed, quarantine, r
 from sensorlake.schemas import SchemaSpec
 from sensorlake.session import pin
 from sensorlake.sources.archives import land_members, list_members
-from sensorlake.sources.files import list_files, plain_path
+from sensorlake.sources.files import list_files, literal, plain_path
 from sensorlake.sources.landing import landing_manifest
 from sensorlake.sources.tables import read_stage, register_table, write_processed, write_stage
 from sensorlake.sources.text import CORRUPT, scan_csv, scan_log
@@ -47,28 +47,47 @@ def land_archives(
     spark: SparkSession, path: str, root: str, member_glob: str | None = None, layout: str = "tree", prefix: str = "raw/"
 ) -> dict[str, int]:
     """Unpack the zip archives below ``path`` to ``root``/raw/; says how many files and bytes were
-    landed and how many were hidden by another file of the same key."""
-    members = list_members(spark, path, member_glob)
+    landed, how many were hidden by another file of the same key, and how many archives could not be read."""
+    listed = pin(list_members(spark, path, member_glob, report=True))
+    failed = listed.where("error is not null").count()
+    members = listed.where("error is null").drop("error")
     files = members.withColumns({"path": F.concat_ws("/", "archive", "member"), "rel": F.col("member")})
     # Listed once: what is landed is what was counted.
     manifest = pin(landing_manifest(files, layout, prefix, keep=("archive", "member")))
     collisions = manifest.agg(F.coalesce(F.sum("n_collisions"), F.lit(0))).first()[0]
-    return {**land_members(spark, manifest, root), "collisions": collisions}
+    return {**land_members(spark, manifest, root), "collisions": collisions, "failed": failed}
 
 
 def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     """Raw files of ``cfg.raw`` to the registered table ``cfg.table``.
 
     With mode ``overwrite`` the table is made anew from all that is staged; with ``append`` the files
-    of this run are added to it.
+    that no run has handled are read and added to it. The bookmark, beside the stage, holds the paths
+    and times of what was handled. A handled file that has changed since is an error with ``append``:
+    its old rows are in the table, and ``overwrite`` replaces them.
 
     Every step up to the table is a scan and a projection: nothing is shuffled. The stage holds
     strings (and the raw text of rows of the wrong width); types come once, from the mapping.
     """
+    files = pin(list_files(spark, cfg.raw, cfg.glob).select("path", "mtime"))
+    bookmark, marks = f"{cfg.stage.rstrip('/')}/_handled", "path string, mtime timestamp"
+    source: str | list[str] = cfg.raw
+    if cfg.mode == "append":
+        spark.createDataFrame([], marks).write.mode("append").parquet(bookmark)
+        handled = spark.read.schema(marks).parquet(bookmark)
+        files = pin(files.join(handled, ["path", "mtime"], "left_anti"))
+        changed = files.join(handled, "path", "left_semi").select("path").first()
+        if changed is not None:
+            raise ValueError(f"changed since it was appended: {changed.path}")
+        # Spark's own file index holds every path of a scan on the driver, too.
+        source = [literal(r.path) for r in files.toLocalIterator()]
+        if not source:
+            none = spark.createDataFrame([], "source_file string")
+            return FlowResult(spark.table(cfg.table), ingest_summary(none, none, none), none)
     if cfg.fmt == "log":
-        raw = scan_log(spark, cfg.raw, cfg.spec.staged, cfg.sep, on_bad="quarantine", glob=cfg.glob, keep_source=True)
+        raw = scan_log(spark, source, cfg.spec.staged, cfg.sep, on_bad="quarantine", glob=cfg.glob, keep_source=True)
     else:
-        raw = scan_csv(spark, cfg.raw, on_bad="quarantine", sep=cfg.sep or ",", glob=cfg.glob, keep_source=True)
+        raw = scan_csv(spark, source, on_bad="quarantine", sep=cfg.sep or ",", glob=cfg.glob, keep_source=True)
     raw = raw.withColumnsRenamed({"source_file": "source file", CORRUPT: "corrupt record"})
     staged = normalize_columns(raw).withColumn("source_file", plain_path(F.col("source_file")))
     write_stage(staged, cfg.stage)
@@ -76,7 +95,7 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     staged = read_stage(spark, cfg.stage, staged.schema)
     if cfg.mode == "append":
         # What earlier runs staged is in the table already.
-        landed = list_files(spark, cfg.raw, cfg.glob).select(plain_path(F.col("path")).alias("source_file"))
+        landed = files.select(plain_path(F.col("path")).alias("source_file"))
         staged = staged.join(landed, "source_file", "left_semi")
     keep = [("source_file", "string", "source_file", "string"), ("corrupt_record", "string", CORRUPT, "string")]
     mapped = apply_mapping(staged, cfg.spec.mapping(cfg.sources) + keep, "quarantine", cfg.formats)
@@ -87,6 +106,7 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     if not seen.get["rejected"]:
         bad = spark.createDataFrame([], bad.schema)
     write_processed(bad, cfg.rejects, cfg.mode)
+    files.write.mode("append").parquet(bookmark)
 
     table = register_table(spark, cfg.table, cfg.processed, cfg.spec.struct)
     kept = spark.read.parquet(cfg.processed)

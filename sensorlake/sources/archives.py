@@ -25,24 +25,35 @@ def _names(archive: zipfile.ZipFile, glob: str | None) -> list[zipfile.ZipInfo]:
     return [m for m in archive.infolist() if not m.is_dir() and (glob is None or fnmatch.fnmatch(m.filename, glob))]
 
 
-def list_members(spark: SparkSession, path: str, member_glob: str | None = None, archive_glob: str = "*.zip") -> DataFrame:
-    """(archive, member, size, mtime) from the archives' directories."""
+def list_members(
+    spark: SparkSession, path: str, member_glob: str | None = None, archive_glob: str = "*.zip", report: bool = False
+) -> DataFrame:
+    """(archive, member, size, mtime) from the archives' directories.
+
+    An archive that cannot be read ends the run; with ``report`` it is a row without a member, and a
+    further column ``error`` says why.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with open_input(path) as raw, zipfile.ZipFile(raw) as archive:
-                    found = _names(archive, member_glob)
-                    yield pd.DataFrame(
-                        {
-                            "archive": path,
-                            "member": [m.filename for m in found],
-                            "size": [m.file_size for m in found],
-                            "mtime": pd.to_datetime([datetime(*m.date_time) for m in found]),
-                        }
-                    )
-
-    schema = "archive string, member string, size long, mtime timestamp_ntz"
+                try:
+                    with open_input(path) as raw, zipfile.ZipFile(raw) as archive:
+                        found = _names(archive, member_glob)
+                except (zipfile.BadZipFile, ValueError) as bad:  # a file shorter than any archive is a ValueError of its reader
+                    if not report:
+                        raise
+                    yield pd.DataFrame({"archive": [path], "member": [None], "size": pd.array([None], "Int64"), "mtime": [pd.NaT], "error": [str(bad)]})
+                    continue
+                rows = {
+                    "archive": path,
+                    "member": [m.filename for m in found],
+                    "size": [m.file_size for m in found],
+                    "mtime": pd.to_datetime([datetime(*m.date_time) for m in found]),
+                }
+                yield pd.DataFrame(rows | ({"error": None} if report else {}))
+
+    schema = "archive string, member string, size long, mtime timestamp_ntz" + (", error string" if report else "")
     return list_files(spark, path, archive_glob).select("path").mapInPandas(read, schema)
 
 
@@ -116,6 +127,8 @@ def land_members(spark: SparkSession, manifest: DataFrame, root: str, tasks: int
         for batch in batches:
             sizes = []
             for archive_path, member, key in zip(batch["archive"], batch["member"], batch["key"]):
+                if ".." in key.split("/"):
+                    raise ValueError(f"key leaves the landing area: {key}")
                 system, target = locate(f"{root.rstrip('/')}/{key}")
                 system.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 aside = f"{target.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"

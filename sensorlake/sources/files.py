@@ -23,6 +23,11 @@ def locate(path: str):
     return fs.FileSystem.from_uri(f"{scheme}://{match.group(2)}")
 
 
+def literal(path: str) -> str:
+    """The path with what Spark's readers would take for a pattern escaped."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def open_input(path: str):
     system, name = locate(path)
     return system.open_input_file(name)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorlake.sources.files import list_files, plain_path
+from sensorlake.sources.files import list_files, literal, plain_path
 
 # Fixed value: the shape of a file notification.
 NOTIFICATION = (
@@ -34,7 +34,9 @@ def landing_manifest(files: DataFrame, layout: str = "tree", prefix: str = "raw/
         name = F.regexp_extract("rel", r"([^/]*)$", 1)
     else:
         raise ValueError(f"layout: {layout}")
-    keyed = files.withColumn("key", F.concat(F.lit(prefix), name))
+    # Steps up, absolute paths and drive letters are taken out of the name, so that no key leaves the landing area.
+    inside = F.filter(F.split(F.regexp_replace(name, r"^[A-Za-z]:", ""), "/"), lambda part: ~part.isin("", ".", ".."))
+    keyed = files.withColumn("key", F.concat(F.lit(prefix), F.array_join(inside, "/"))).where(F.size(inside) > 0)
     last = F.max(F.struct("mtime", "path", "size", *keep)).alias("last")
     return keyed.groupBy("key").agg(last, (F.count(F.lit(1)) - 1).alias("n_collisions")).select(
         "key", "last.path", "last.size", "last.mtime", "n_collisions", *[f"last.{c}" for c in keep]
@@ -61,19 +63,13 @@ def scan_notified(
     root: str,
     body: str = "body",
     suffix: str = "",
-    driver_paths: int = 10_000,
 ) -> DataFrame:
     """Read only the files the notifications name, as ``root``/bucket/key (A5).
 
-    Up to ``driver_paths`` names go to the reader as its file list. Beyond that the reader is given
-    the root and rows are kept by joining on the file they came from, so the names stay distributed.
+    The names are the reader's file list, which Spark holds on the driver for any scan. Where no
+    name matches, the result is empty, with the columns that the reader finds below ``root``.
     """
     named = filter_objects(notified_objects(notifications, body), suffix=suffix)
     paths = named.select(F.concat_ws("/", F.lit(root.rstrip("/")), "bucket", "key").alias("path"))
-    listed = [r.path for r in paths.limit(driver_paths + 1).collect()]
-    if len(listed) <= driver_paths:
-        return reader(sorted(listed))
-    rows = reader([root])
-    tagged = rows.withColumn("_from", plain_path(F.col("_metadata.file_path")))
-    wanted = paths.select(plain_path(F.col("path")).alias("_from"))
-    return tagged.join(wanted, "_from", "left_semi").drop("_from")
+    listed = sorted(literal(r.path) for r in paths.toLocalIterator())
+    return reader(listed) if listed else reader([root]).limit(0)

@@ -9,7 +9,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sensorlake.sources.files import list_files, open_input
+from sensorlake.sources.files import list_files, literal, open_input
 
 # Field texts that mean "no value".
 NULL_TOKENS = (
@@ -154,7 +154,7 @@ def scan_csv(
     by_layout: dict[int, list[str]] = {}
     if len(layouts) > 1:
         for r in files.select("path", F.xxhash64(F.array_join("header", "\n")).alias("layout")).collect():
-            by_layout.setdefault(r.layout, []).append(r.path)
+            by_layout.setdefault(r.layout, []).append(literal(r.path))
     parts = []
     for names, layout in layouts:
         paths = by_layout.get(layout, path)

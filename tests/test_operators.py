@@ -241,3 +241,19 @@ def test_online_mean_goes_on(spark, tmp_path):
     pdf = pd.DataFrame(data, columns=["k", "t", "v"])
     pdf["want"] = pdf.groupby("k")["v"].transform(lambda s: s.ewm(alpha=0.4, adjust=False).mean())
     assert got == pytest.approx({(r.k, r.t): r.want for r in pdf.itertuples()})
+
+
+def test_exact_arithmetic_labels_and_times(spark):
+    from sensorlake.functions import nested, times
+    from sensorlake.operators import aggregates, reshape, rows
+
+    df = spark.createDataFrame([(2**60 + 1, 7), (-7, 2), (7, -2), (7, 0)], "a long, b long")
+    got = [tuple(r) for r in df.select(rows.modulo(F.col("a"), F.col("b")), rows.floor_divide(F.col("a"), F.col("b"))).collect()]
+    assert got == [((2**60 + 1) % 7, (2**60 + 1) // 7), (1, -4), (-1, -4), (None, None)]
+    bins = spark.range(1).select(reshape.cut(F.lit(1234.5615), [1234.561, 1234.562, 1234.563]).alias("a"), reshape.cut(F.lit(1234.5625), [1234.561, 1234.562, 1234.563]).alias("b")).first()
+    assert bins.a != bins.b
+    seen = spark.createDataFrame([("k", "2024-01-01", 1), ("k", "2024-01-02", 3), ("k", "2024-01-02", 2)], "k string, t string, n int").withColumn("t", F.to_timestamp("t"))
+    assert aggregates.aggregate(seen, ["k"], {"at": ("t", "argmax", {"of": "n"})}).first()["at"] == 2
+    clock = spark.createDataFrame([("2:30:15PM",), ("0230PM",), ("14:30",), ("143015",), ("2:30 PM",), ("nope",)], "s string")
+    assert [r[0] for r in clock.select(times.parse_time("s")).collect()] == [52215, 52200, 52200, 52215, 52200, None]
+    assert spark.range(1).select(nested.json_avg(F.lit("[]"))).first()[0] is None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from sensorlake.operators.mapping import apply_mapping, normalize_columns, stage_key, to_ts
 from sensorlake.operators.quality import quarantine
-from sensorlake.plans.flow import FlowConfig, run_flow
+from sensorlake.plans.flow import FlowConfig, land_archives, run_flow
 from sensorlake.schemas import SCHEMAS, conform
 from sensorlake.sources.archives import land_members, list_members, scan_archive_lines, scan_archives
 from sensorlake.sources.formats import path_partitions, read_dialect, read_fixed_width
@@ -139,15 +139,40 @@ def test_landing(spark, tmp_path):
     assert {r.key for r in filter_objects(keys, "raw/d1", ".csv").collect()} == {"raw/d1/x.csv"}
 
 
-@pytest.mark.parametrize("driver_paths", [10, 0])
-def test_notified(spark, tmp_path, driver_paths):
+def test_notified(spark, tmp_path):
     for i in range(4):
         put(tmp_path / "lake" / "raw" / f"f {i}.csv", f"{i}\n")
     body = json.dumps({"Records": [{"s3": {"bucket": {"name": "lake"}, "object": {"key": f"raw/{k}"}}} for k in ("f 1.csv", "f 3.csv", "no.txt")]})
     notes = spark.createDataFrame([(body,), (body,)], "body string")
     reader = lambda paths: spark.read.option("recursiveFileLookup", "true").text(paths)
-    got = scan_notified(spark, notes, reader, str(tmp_path), suffix=".csv", driver_paths=driver_paths)
+    got = scan_notified(spark, notes, reader, str(tmp_path), suffix=".csv")
     assert sorted(r.value for r in got.collect()) == ["1", "3"]
+    assert scan_notified(spark, notes, reader, str(tmp_path), suffix=".none").collect() == []
+
+
+def test_names_stay_inside_and_bad_archives_are_counted(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with zipfile.ZipFile(tmp_path / "in" / "a.zip", "w") as z:
+        z.writestr("../../escape.csv", "a\n1\n")
+        z.writestr("x[1].csv", "b\n2\n")
+    (tmp_path / "in" / "b.zip").write_bytes(b"junk")
+    got = land_archives(spark, str(tmp_path / "in"), str(tmp_path / "deep" / "lake"))
+    assert (got["files"], got["failed"]) == (2, 1)
+    assert sorted(p.name for p in tmp_path.rglob("*.csv")) == ["escape.csv", "x[1].csv"]
+    assert (tmp_path / "deep" / "lake" / "raw" / "escape.csv").exists()
+    assert scan_csv(spark, str(tmp_path / "deep" / "lake" / "raw")).count() == 2
+
+
+def test_flow_append_twice(spark, tmp_path):
+    dirs = [str(tmp_path / d) for d in ("raw", "stage", "processed", "rejects")]
+    head = "id,timestamp,accel_x,accel_y,accel_z\n"
+    put(tmp_path / "raw" / "x.csv", head + "1,2024-01-01,1,2,3\n")
+    cfg = FlowConfig(*dirs, "twice_table", SCHEMAS["accel5"], mode="append")
+    assert run_flow(spark, cfg).table.count() == 1
+    again = run_flow(spark, cfg)
+    assert again.table.count() == 1 and again.summary.count() == 0
+    put(tmp_path / "raw" / "y[1].csv", head + "2,2024-01-01,1,2,3\n")
+    assert sorted(r.id for r in run_flow(spark, cfg).table.collect()) == ["1", "2"]
 
 
 def test_stage_replaces_per_source(spark, tmp_path):
