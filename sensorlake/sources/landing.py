@@ -34,9 +34,9 @@ def landing_manifest(files: DataFrame, layout: str = "tree", prefix: str = "raw/
         name = F.regexp_extract("rel", r"([^/]*)$", 1)
     else:
         raise ValueError(f"layout: {layout}")
-    # Steps up, absolute paths and drive letters are taken out of the name, so that no key leaves the landing area.
-    inside = F.filter(F.split(F.regexp_replace(name, r"^[A-Za-z]:", ""), "/"), lambda part: ~part.isin("", ".", ".."))
-    keyed = files.withColumn("key", F.concat(F.lit(prefix), F.array_join(inside, "/"))).where(F.size(inside) > 0)
+    # Steps up are taken out of the name, so that no key leaves the landing area.
+    inside = F.array_join(F.array_remove(F.split(name, "/", -1), ".."), "/")
+    keyed = files.withColumn("key", F.concat(F.lit(prefix), inside))
     last = F.max(F.struct("mtime", "path", "size", *keep)).alias("last")
     return keyed.groupBy("key").agg(last, (F.count(F.lit(1)) - 1).alias("n_collisions")).select(
         "key", "last.path", "last.size", "last.mtime", "n_collisions", *[f"last.{c}" for c in keep]
