@@ -10,6 +10,7 @@ name wins; repeated rows are scanned one by one.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,29 @@ TEMPLATES = {
         "(the Software), to deal in the Software without restriction"
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    # Short notices, one line that names the licence. Windows find them behind other words ('This work is licensed ...').
+    "AGPL-3.0-short": "Licensed under the GNU Affero General Public License, version 3",
+    "Apache-2.0-short": "Licensed under the Apache License 2.0",
+    "BSD-2-Clause-short": "Licensed under the BSD 2-Clause License",
+    "BSD-2-Clause-released": "Released under the BSD 2-Clause License",
+    "BSD-3-Clause-short": "Licensed under the BSD 3-Clause License",
+    "BSD-3-Clause-released": "Released under the BSD 3-Clause License",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-NC-4.0-short": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0",
+    "GPL-2.0-short": "Licensed under the GNU General Public License, version 2",
+    "GPL-3.0-short": "Licensed under the GNU General Public License, version 3",
+    "ISC-short": "Licensed under the ISC License",
+    "ISC-released": "Released under the ISC License",
+    "LGPL-2.1-short": "Licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0-short": "Licensed under the GNU Lesser General Public License, version 3",
+    "MIT-short": "Licensed under the MIT License",
+    "MIT-released": "Released under the MIT License",
+    "MPL-2.0-short": "Licensed under the Mozilla Public License 2.0",
 }
 
 
@@ -52,44 +76,62 @@ def template_words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
 
+def template_bigrams(text: str) -> list[str]:
+    words = template_words(text)
+    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+
+
 def bigrams(words: Column) -> Column:
     """Bigrams in order; `words` has to be a column, which is read per element."""
     pairs = F.transform(words, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
     return F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
 
 
-def _dice(found: Column, size: int, wanted: Column) -> Column:
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, also where it is read per element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _dice(found: Column, size: Column, wanted: Column) -> Column:
     """Dice of a list of bigrams with a template, or 0 where sizes rule it out."""
     have = F.size(F.array_distinct(found))
-    bound = 2.0 * F.least(have, F.lit(size)) / (have + size)
+    bound = 2.0 * F.least(have, size) / (have + size)
     return F.when(bound >= THRESHOLD, 2.0 * F.size(F.array_intersect(found, wanted)) / (have + size)).otherwise(0.0)
 
 
-def _window_score(pairs: Column, length: int, size: int, wanted: Column):
-    return lambda start: _dice(F.slice(pairs, start + 1, F.lit(length)), size, wanted)
+def _template(name: str, text: str) -> Column:
+    """A template as a constant: its bigrams, its length in bigrams, and how many of them a text has to share to reach the threshold."""
+    grams = template_bigrams(text)
+    need = math.ceil(THRESHOLD * len(grams) / (2 - THRESHOLD) - 1e-9)
+    return F.struct(
+        F.lit(name).alias("name"), F.array(*[F.lit(g) for g in grams]).alias("grams"), F.lit(len(grams)).alias("size"),
+        F.lit(len(template_words(text)) - 1).alias("length"), F.lit(need).alias("need"),
+    )
+
+
+def _best(pairs: Column, t: Column) -> Column:
+    """The best score of the whole text and of its windows with template ``t``."""
+    length = t["length"]
+    last = F.greatest(F.size(pairs) - length, F.lit(0))
+    starts = F.concat(F.sequence(F.lit(0), last, F.greatest(F.floor(length / 8).cast("int"), F.lit(1))), F.array(last))
+    windows = F.transform(starts, lambda start: _dice(F.slice(pairs, start + 1, length), t["size"], t["grams"]))
+    return F.greatest(F.array_max(windows), _dice(pairs, t["size"], t["grams"]))
 
 
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Add ``licenses``: (name, score) of every template that the text, or a window of it, reaches with ``THRESHOLD``."""
-    names = docs.columns
-    df = docs.withColumn("__words", F.filter(F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9]+"), lambda w: w != ""))
-    df = df.withColumn("__pairs", bigrams(F.col("__words")))
-    hits = []
-    for name in sorted(templates):
-        words = template_words(templates[name])
-        grams = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
-        wanted = F.array(*[F.lit(g) for g in grams])
-        length, step = len(words) - 1, max((len(words) - 1) // 8, 1)
+    known = F.array(*[_template(name, templates[name]) for name in sorted(templates)])
+    grams = F.array(*[F.lit(g) for g in sorted({g for t in templates.values() for g in template_bigrams(t)})])
+
+    def reached(pairs: Column, seen: Column) -> Column:
         # A window can only reach the threshold if the text shares enough bigrams with the template at all: most texts stop here.
-        enough = F.size(F.array_intersect("__pairs", wanted)) >= int(THRESHOLD * len(grams) / (2 - THRESHOLD))
-        last = F.greatest(F.size("__pairs") - length, F.lit(0))
-        starts = F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last))
-        windows = F.transform(starts, _window_score(F.col("__pairs"), length, len(grams), wanted))
-        score = F.greatest(F.array_max(windows), _dice(F.col("__pairs"), len(grams), wanted))
-        df = df.withColumn(f"__s_{len(hits)}", F.when(enough, score).otherwise(0.0))
-        hits.append(F.struct(F.lit(name).alias("name"), F.round(F.col(f"__s_{len(hits)}"), 6).alias("score")))
-    found = F.filter(F.array(*hits), lambda h: h["score"] >= THRESHOLD)
-    return df.select(*[F.col(f"`{c}`") for c in names], found.alias("licenses"))
+        near = F.filter(known, lambda t: F.size(F.array_intersect(seen, t["grams"])) >= t["need"])
+        hits = F.transform(near, lambda t: F.struct(t["name"].alias("name"), F.round(_best(pairs, t), 6).alias("score")))
+        return F.filter(hits, lambda h: h["score"] >= THRESHOLD)
+
+    words = F.filter(F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
+    found = _once(_once(words, bigrams), lambda pairs: _once(F.array_intersect(pairs, grams), lambda seen: reached(pairs, seen)))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], found.alias("licenses"))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

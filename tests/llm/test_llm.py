@@ -285,6 +285,19 @@ def test_licenses(spark):
     assert got == {1: ["Apache-2.0"], 2: [], 3: [], 4: ["MIT"], 5: []}
 
 
+def test_short_license_notices(spark):
+    lines = {
+        "GPL-3.0-short": "This work is licensed under the GNU General Public License, version 3.", "CC-BY-NC-4.0-short": "This text is licensed under CC BY-NC 4.0!",
+        "MIT-released": "It was released under the MIT license (see above).", "Apache-2.0": "The code is Licensed under the Apache License, Version 2.0.",
+        "GPL-2.0-short": "You find it licensed under the GNU General Public License version 2 only", "CC-BY-SA-4.0-short": "(licensed under: cc-by-sa 4.0)",
+        "MIT-short": "All files are licensed under the MIT License", "LGPL-3.0-short": "a library licensed under the GNU Lesser General Public License (version 3)",
+    }
+    rows = [(name, f"{before} {line} {LONG}") for name, line in lines.items() for before in ("", "some words before it.")]
+    rows += [("", "The licence is given under the terms of the university, and the public library released 3 books under 4.0 of them")]
+    out = licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert [max([(h["score"], h["name"]) for h in r["licenses"]], default=(0, ""))[1] for r in out] == [r["name"] for r in out]
+
+
 # URLs
 
 
