@@ -1,7 +1,8 @@
 """Licence scans: normalised texts against licence templates by the Dice coefficient over distinct word bigrams.
 
-A text and a template with m and n bigrams cannot score above 2 * min(m, n) / (m + n), so sizes alone rule templates out. Texts are
-cut into windows as long as the template, half a window apart, beside the whole text, so a licence inside a longer text is found.
+A text and a template with m and n bigrams cannot score above 2 * min(m, n) / (m + n), so sizes alone rule templates out. Every
+window as long as the template counts, beside the whole text, so a licence inside a longer text is found wherever it stands; windows
+that hold too few bigrams of the template to reach the threshold are left out before they are scored.
 Everything is an expression over one row: templates are a short list of constants, so nothing is joined or shuffled.
 
 Defined results: a null or empty text, or one word, has no bigrams and no licence; of equal scores the first template in order of
@@ -109,12 +110,23 @@ def _template(name: str, text: str) -> Column:
     )
 
 
+def _starts(pairs: Column, t: Column, hits: Column) -> Column:
+    """All starts of windows that hold enough bigrams of the template; any other window is below the threshold. ``hits``: their places."""
+    last = F.greatest(F.size(pairs) - t["length"], F.lit(0))
+
+    def around(first: Column, j: Column) -> Column:
+        end = F.get(hits, j + t["need"] - 1)
+        starts = F.sequence(F.greatest(end - t["length"] + 1, F.lit(0)), F.least(first, last))
+        return F.when(end - first < t["length"], starts).otherwise(F.array().cast("array<int>"))
+
+    return F.array_distinct(F.flatten(F.transform(hits, around)))
+
+
 def _best(pairs: Column, t: Column) -> Column:
     """The best score of the whole text and of its windows with template ``t``."""
-    length = t["length"]
-    last = F.greatest(F.size(pairs) - length, F.lit(0))
-    starts = F.concat(F.sequence(F.lit(0), last, F.greatest(F.floor(length / 8).cast("int"), F.lit(1))), F.array(last))
-    windows = F.transform(starts, lambda start: _dice(F.slice(pairs, start + 1, length), t["size"], t["grams"]))
+    places = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.array_contains(t["grams"], F.get(pairs, i)))
+    starts = _once(places, lambda hits: _starts(pairs, t, hits))
+    windows = F.transform(starts, lambda start: _dice(F.slice(pairs, start + 1, t["length"]), t["size"], t["grams"]))
     return F.greatest(F.array_max(windows), _dice(pairs, t["size"], t["grams"]))
 
 

@@ -298,6 +298,29 @@ def test_short_license_notices(spark):
     assert [max([(h["score"], h["name"]) for h in r["licenses"]], default=(0, ""))[1] for r in out] == [r["name"] for r in out]
 
 
+def test_license_windows_start_anywhere(spark):
+    import random
+
+    def best(words, grams, length):
+        pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        cuts = [pairs[i : i + length] for i in range(max(len(pairs) - length, 0) + 1)] + [pairs]
+        return max(2 * len(set(c) & grams) / (len(set(c)) + len(grams)) for c in cuts)
+
+    rng, rows, want = random.Random(5), [], []
+    for name in ("GPL-3.0-or-later", "MIT", "BSD-3-Clause", "MIT-short"):
+        words = licenses.template_words(licenses.TEMPLATES[name])
+        for k in range(120):
+            lost = rng.sample(range(len(words)), k % 5)
+            changed = [f"x{i}" if i in lost else w for i, w in enumerate(words)]
+            text = [f"a{i}" for i in range(rng.randrange(40))] + changed + [f"b{i}" for i in range(rng.randrange(60))]
+            rows.append((len(rows), name, " ".join(text)))
+            score = best(text, set(licenses.template_bigrams(licenses.TEMPLATES[name])), len(words) - 1)
+            want.append(round(score, 6) if score >= licenses.THRESHOLD else None)
+    out = licenses.scan(spark.createDataFrame(rows, "id int, name string, text string")).collect()
+    got = {r["id"]: next((h["score"] for h in r["licenses"] if h["name"] == r["name"]), None) for r in out}
+    assert [got[i] for i in range(len(rows))] == want and any(want) and None in want
+
+
 # URLs
 
 
