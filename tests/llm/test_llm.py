@@ -241,6 +241,30 @@ def test_mixing_keeps_all_rows(spark, odd):
     assert len({(r["slot"], r["place"]) for r in out}) == len(ODD)
 
 
+def test_schedule_holds_given_weights_over_periods(spark):
+    from fractions import Fraction
+
+    assert mixing.shares({"a": 0.9, "b": 0.1}) == {"a": 9, "b": 1}
+    assert mixing.shares({"a": 0.9999, "b": 0.0001}) == {"a": 9999, "b": 1}
+    assert set(mixing.shares({str(i): 1.0 for i in range(21)}).values()) == {1}
+    for weights, n in (({"a": 0.9, "b": 0.1}, 3000), ({"a": 2 / 3, "b": 1 / 3}, 3000), ({"a": 0.9997, "b": 0.0003}, 30_000)):
+        rows = [(s, i) for s, w in weights.items() for i in range(int(w * n))]
+        got = mixing.mix(spark.createDataFrame(rows, "source string, i int"), weights, block_rows=1).filter("on_target").collect()
+        total, taken = sum(Fraction(str(w)) for w in weights.values()), Counter()
+        assert len(got) >= 0.99 * n - 1
+        for at, r in enumerate(sorted(got, key=lambda r: r["slot"])):
+            taken[r["mix_source"]] += 1
+            assert r["slot"] == at and r["release"] <= at < r["deadline"]
+            assert all(abs(taken[s] - (at + 1) * Fraction(str(w)) / total) < 1 for s, w in weights.items())
+
+
+def test_mixing_long_plans_are_written_in_parts(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"src{i % 20}" if i % 7 else None, i) for i in range(2000)], "source string, i int")
+    want = sorted(map(str, mixing.mix(rows, mixing.WEIGHTS, block_rows=3).collect()))
+    monkeypatch.setattr(mixing, "PART", 50)
+    assert sorted(map(str, mixing.mix(rows, mixing.WEIGHTS, block_rows=3).collect())) == want and len(want) == 2000
+
+
 # Models
 
 
