@@ -6,7 +6,8 @@ does not exhaust the stack. A look-behind starts each run once: where a run fail
 later one.
 
 Defined results: a null or empty text has no spans; offsets are code points, ends exclusive; a row's result depends on its text
-alone, so repeated rows and clashing names do not matter; ``redacted`` replaces each confirmed span by its kind in brackets.
+alone, so repeated rows and clashing names do not matter; ``redacted`` replaces each stretch of overlapping confirmed spans by
+its first kind in brackets.
 """
 
 from __future__ import annotations
@@ -136,28 +137,33 @@ def _valid(k: Kind, m: Column) -> Column:
     return F.lit(True) if k.valid is None else F.coalesce(k.valid(m), F.lit(False))
 
 
-def _running(lengths: Column, n: Column) -> Column:
-    """Running sums of a list."""
+def _running(lengths: Column, n: Column, op=lambda a, x: a + x) -> Column:
+    """Running sums of a list, or its running values of ``op``."""
     zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
-    step = lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["all"], F.array(a["sum"] + x)).alias("all"))
+    step = lambda a, x: F.struct(op(a["sum"], x).alias("sum"), F.concat(a["all"], F.array(op(a["sum"], x))).alias("all"))
     return F.when(n > 0, F.aggregate(lengths, zero, step)["all"]).otherwise(F.array().cast("array<int>"))
 
 
 def redacted(df: DataFrame, text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
-    """Replace ``text`` in place, one kind after the other."""
+    """Replace ``text`` in place. Spans of the original text that overlap are one stretch, named by the first of them."""
     names = df.columns
-    df = df.withColumn("__text", F.col(text))
-    for k in kinds:
-        df = df.withColumn("__gaps", _gaps(k, F.col("__text"))).withColumn("__matches", _matches(k, F.col("__text")))
-        df = df.withColumn("__text", F.when(F.size("__matches") > 0, _rejoined(k)).otherwise(F.col("__text"))).drop("__gaps", "__matches")
-    return df.select(*[F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in names])
-
-
-def _rejoined(k: Kind) -> Column:
-    gaps, matches = F.col("__gaps"), F.col("__matches")
-    ok = lambda m, i: _valid(k, m) & (F.lit(True) if k in BASE else _score(k, gaps, i) >= ACCEPT)
-    pieces = F.transform(matches, lambda m, i: F.concat(F.get(gaps, i), F.when(ok(m, i), F.lit(f"[{k.name}]")).otherwise(m)))
-    return F.concat(F.array_join(pieces, ""), F.element_at(gaps, -1))
+    df = add_spans(df.withColumn("__original", F.col(text)), "__original", "__spans", kinds)
+    old, spans = F.col("__original"), F.col("__spans")
+    ends = _running(F.transform(spans, lambda s: s["end"]), F.size(spans), F.greatest)
+    df = df.withColumn("__ends", F.when(F.size(spans) > 0, ends))
+    # A span that starts behind all before it starts a stretch, and the one before ends there.
+    heads = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (F.get(F.col("__ends"), i - 1) <= F.get(spans, i)["start"]))
+    df = df.withColumn("__heads", F.when(F.size(spans) > 0, heads))
+    heads = F.col("__heads")
+
+    def piece(i: Column, k: Column) -> Column:
+        """The text between the stretch before and this one, and its kind."""
+        at = F.when(k > 0, F.get(F.col("__ends"), i - 1)).otherwise(0)
+        return F.concat(F.substring(old, at + 1, F.get(spans, i)["start"] - at), F.lit("["), F.get(spans, i)["kind"], F.lit("]"))
+
+    rest = F.substring(old, F.element_at(F.col("__ends"), -1) + 1, F.length(old))
+    new = F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(heads, piece), ""), rest)).otherwise(old)
+    return df.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in names])
 
 
 def _joined(spans: Column) -> Column:

@@ -189,6 +189,19 @@ def test_added_kinds_and_redaction(spark):
     assert got[0]["text"].endswith("mail [email]") and "[ssn]" in got[0]["text"]
 
 
+def test_redaction_of_overlapping_spans(spark):
+    texts = {
+        "tel +33.1.42.68.53.00 now": "tel [phone] now", "é +33.1.42.68.53.00 and 10.0.0.1, a@b.cc😀": "é [phone] and [ip], [email]😀",
+        "4111 1111 1111 1111@x.y": "[card]", "x 1.2.3.4.5.6.7.8": "x [ip].[ip]", "": "", "no data": "no data",
+    }
+    rows = [(t, t, 1) for t in texts] + [(t, t, 2) for t in SPANS]
+    for r in personal.redacted(spark.createDataFrame(rows, "original string, text string, n int")).collect():
+        if r["n"] == 1:
+            assert r["text"] == texts[r["original"]]
+        held = {i for start, _, _, end in base_spans(r["original"]) for i in range(start, end)}
+        assert "".join(c for i, c in enumerate(r["original"]) if i not in held) == re.sub(r"\[(email|ip|card|phone)\]", "", r["text"])
+
+
 # Near duplicates
 
 
