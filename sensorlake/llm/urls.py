@@ -1,8 +1,9 @@
 """URL filters: host and path rules first, then association rules of URL tokens, mined with FP-growth.
 
 Pages that a list already judges are the labels: those under a block rule, and those with a seed word in the host, are bad, all others
-are not. FP-growth finds the token sets that come with a bad label often enough; a set becomes a rule if its confidence is high and no
-smaller rule inside it does as well. An inverted index finds the rules of a page: each rule is filed under its rarest token.
+are not. FP-growth finds the token sets that at least ``MIN_COUNT`` bad pages share, however many pages there are; they are counted over
+all pages, and a set becomes a rule if its confidence is high and no smaller rule inside it does as well. An inverted index finds the
+sets of a page: each is filed under its rarest token. A page that no list rule judges is blocked by a seed word in its own host, too.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no tokens, and is allowed; of host and path rules that
 fit, the longest wins, of equal length the first in order of text; ties in rarity go to the first token; repeated rows are judged one by
@@ -17,10 +18,9 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.shared import ascii_lower, kept, table
 
-MIN_SUPPORT = 0.001
+MIN_COUNT = 5
 MIN_CONFIDENCE = 0.8
 MAX_TOKENS = 4
-BAD = "=bad"
 
 # Fixed by the contract of the query: host, path, verdict.
 LIST = [
@@ -30,7 +30,8 @@ LIST = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-SEED_WORDS = ["casino", "bets", "pills"]
+# Words of host names that mark a page as bad by themselves; a parameter of the method.
+SEED_WORDS = ["casino", "bets", "betting", "poker", "pills", "viagra", "ads", "track", "tracking", "spam", "farm", "adult", "porn", "xxx", "warez"]
 
 
 def host(url: Column) -> Column:
@@ -60,14 +61,19 @@ def tokens(h: Column, p: Column) -> Column:
     return F.when(h != "", F.array_distinct(F.concat(words, top, parts))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(tokens, confidence, support) from rows of ``tokens`` and ``bad``: frequent sets with the bad label, over the sets without it."""
-    items = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
-    frequent = kept(FPGrowth(itemsCol="items", minSupport=min_support).fit(items).freqItemsets, "url-itemsets")
-    sets = frequent.select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.array_contains("items", BAD).alias("bad"), "freq")
-    sets = sets.filter(F.size("tokens").between(1, MAX_TOKENS))
-    both = sets.groupBy("tokens").agg(F.max(F.when(F.col("bad"), F.col("freq"))).alias("support"), F.max(F.when(~F.col("bad"), F.col("freq"))).alias("seen"))
-    rules = both.filter("support is not null").withColumn("confidence", F.col("support") / F.col("seen")).filter(F.col("confidence") >= min_confidence)
+def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(tokens, confidence, support) from rows of ``tokens`` and ``bad``: sets frequent among the bad rows, counted over all rows."""
+    # Rows with equal tokens count together: a host with very many pages has few different ones.
+    pages = labelled.groupBy(F.array_sort("tokens").alias("tokens")).agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
+    pages = kept(pages, "url-tokens")
+    n_bad = pages.agg(F.coalesce(F.sum("n_bad"), F.lit(0))).first()[0]
+    model = FPGrowth(itemsCol="tokens", minSupport=min(1.0, (min_count - 0.5) / max(n_bad, 1)))
+    frequent = model.fit(labelled.filter("bad").select("tokens")).freqItemsets.filter(F.size("items") <= MAX_TOKENS)
+    sets = kept(frequent.filter(F.col("freq") >= min_count).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("support")), "url-itemsets")
+    good = pages.select(F.col("tokens").alias("key"), "tokens", (F.col("n") - F.col("n_bad")).alias("n")).filter("n > 0")
+    clean = _fits(good, sets.select("tokens")).groupBy(F.col("wanted").alias("tokens")).agg(F.sum("n").alias("clean"))
+    seen = F.col("support") + F.coalesce("clean", F.lit(0))
+    rules = sets.join(clean, "tokens", "left").withColumn("confidence", F.col("support") / seen).filter(F.col("confidence") >= min_confidence)
     rules = kept(rules.select("tokens", "support", "confidence"), "url-rules")
     # A rule goes if one inside it is as sure. Its smaller sets are found by key: a set has at most 2 ** MAX_TOKENS of them.
     inside = rules.select("tokens", "confidence", F.explode(_subsets(F.col("tokens"))).alias("part"))
@@ -85,15 +91,21 @@ def _subsets(items: Column) -> Column:
     return F.when(F.size(items) > 1, every).otherwise(F.array().cast("array<array<string>>"))
 
 
+def _fits(pages: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of ``pages`` with every set (as ``wanted``) that their tokens hold: the index gives sets by their rarest token."""
+    seen = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("uses"))
+    ranked = sets.withColumn("token", F.explode("tokens")).join(seen, "token")
+    others = [c for c in sets.columns if c != "tokens"]
+    filed = ranked.groupBy("tokens", *others).agg(F.min_by("token", F.struct("uses", "token")).alias("token"))
+    index = filed.select("token", F.col("tokens").alias("wanted"), *others)
+    # Spark broadcasts the sets if their measured size is small, and shuffles them otherwise.
+    found = pages.withColumn("token", F.explode("tokens")).join(index, "token")
+    return found.filter(F.size(F.array_intersect("tokens", "wanted")) == F.size("wanted")).drop("token")
+
+
 def match(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows of ``key`` and ``tokens`` with the number of rules that fit: the index gives rules by their rarest token."""
-    seen = rules.select(F.explode("tokens").alias("token"), "tokens").groupBy("token").agg(F.count("*").alias("uses"))
-    ranked = rules.select(F.explode("tokens").alias("token"), "tokens", "confidence").join(seen, "token")
-    filed = ranked.groupBy("tokens", "confidence").agg(F.min_by("token", F.struct("uses", "token")).alias("token"))
-    index = filed.select("token", F.col("tokens").alias("wanted"), "confidence")
-    # Spark broadcasts the rules if their measured size is small, and shuffles them otherwise.
-    found = pages.select("key", "tokens", F.explode("tokens").alias("token")).join(index, "token")
-    fits = found.filter(F.size(F.array_intersect("tokens", "wanted")) == F.size("wanted"))
+    """Rows of ``key`` and ``tokens`` with the number of rules that fit."""
+    fits = _fits(pages.select("key", "tokens"), rules.select("tokens", "confidence"))
     return fits.groupBy("key").agg(F.count("*").alias("n_rules"), F.max("confidence").alias("confidence"))
 
 
@@ -110,7 +122,7 @@ def judge(pages: DataFrame, rules_list: list[tuple[str, str, str]] = LIST, seeds
     out = urls.join(found.select("key.host", "key.path", "n_rules", "confidence"), ["host", "path"], "left")
     return out.select(
         "page_id", "host", "path", F.col("hit.rule").alias("rule"),
-        F.coalesce("hit.verdict", F.when(F.col("n_rules") > 0, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("hit.verdict", F.when((F.col("n_rules") > 0) | F.col("bad"), "block").otherwise("allow")).alias("verdict"),
         F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules"), "confidence",
     )
 
