@@ -229,9 +229,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold any window of the benchmark. The ids left out are few; a null id is matched as such."""
-    bad = kept(contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.alias("d").join(bad.alias("b"), F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")), "left_anti").select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    """Drop rows that hold any window of the benchmark. A row is judged by its text (a 64-bit hash), whatever its id."""
+    key = F.xxhash64("text")
+    texts = docs.select(key.alias("doc_id"), "text")
+    bad = contamination(texts, table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("__key")).distinct()
+    return docs.join(kept(bad, "contaminated"), key == F.col("__key"), "left_anti")
 
 
 ORACLE = r"""

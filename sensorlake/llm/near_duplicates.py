@@ -228,6 +228,17 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id in each class; rows without an id stay. Of rows that repeat an id all stay or go."""
-    gone = kept(near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "near-duplicates")
-    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.doc_id"), "left_anti").select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    """Keep one row of each class, that of the smallest id (null ids last), whatever ids repeat. Rows without words stay."""
+    # A row is named by the hash of all its columns, so equal rows share a name and one of them is kept at the end.
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text")).filter("n_shingles > 0")
+    rows = found.groupBy(F.col("doc_id").alias("__key")).agg(F.first("component_id").alias("class"), F.count("*").alias("n"))
+    named = rows.join(docs.select(key.alias("__key"), F.col("doc_id").alias("id")).distinct(), "__key")
+    order = F.struct(F.col("id").isNull(), "id", "__key")
+    best = named.groupBy("class").agg(F.min_by("__key", order).alias("best"))
+    judged = named.join(best, "class").select("__key", (F.col("__key") != F.col("best")).alias("gone"), "n")
+    judged = kept(judged.filter("gone or n > 1").select("__key", "gone").distinct(), "near-duplicates")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    alone = docs.join(judged, key == F.col("__key"), "left_anti")
+    again = docs.join(judged.filter("not gone"), key == F.col("__key")).groupBy("__key").agg(F.first(F.struct(*cols)).alias("row"))
+    return alone.unionByName(again.select("row.*"))

@@ -235,6 +235,24 @@ def test_near_duplicates_against_all_pairs(spark, documents):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == classes(rows, 4, 80)
 
 
+def test_stages_decide_by_row(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string"
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "ZERO " + passage, "a"), (None, "clean without an id", "a"), (1, passage, "a"), (1, "clean with the id", "a"), (2, None, "b")]
+    got = decontamination.stage_decontaminate(spark, spark.createDataFrame(rows, schema), str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, (rows[1], rows[3], rows[4])))
+
+    near = COPY + " more"
+    other = " ".join(f"other{i}" for i in range(60))
+    third = " ".join(f"third{i}" for i in range(60))
+    rows = [(None, COPY, "a"), (None, COPY, "b"), (9, near, "a"), (5, COPY, "a"), (5, COPY, "a"), (5, other, "a"), (None, third, "a"), (None, third, "a")]
+    rows += [(None, None, "a"), (None, None, "a"), (7, "", "a"), (8, " ", "a")]
+    out = near_duplicates.stage_near_duplicates(spark, spark.createDataFrame(rows, schema), str(tmp_path))
+    assert out.columns == ["doc_id", "text", "lang"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [rows[4], rows[5], rows[7], *rows[8:]]))
+
+
 # Mixing
 
 
