@@ -1,4 +1,4 @@
-"""The ten queries by name, and the SQL of those that SQL can express."""
+"""The queries by name, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -13,12 +13,13 @@ from sensorlake.llm.quality import op3_quality_rules
 from sensorlake.llm.toxicity import op1_toxicity
 from sensorlake.llm.urls import op2_url_filter
 from sensorlake.llm.warc import op10_warc
+from sensorlake.llm.whitening import op11_whitening
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_url_filter, op3_quality_rules, op4_decontamination, op5_licenses,
-        op6_personal_data, op7_near_duplicates, op8_mixing, op9_language, op10_warc,
+        op6_personal_data, op7_near_duplicates, op8_mixing, op9_language, op10_warc, op11_whitening,
     )
 }
 ORACLES = {"op4_decontamination": DECONTAMINATION_SQL}
