@@ -4,7 +4,7 @@ First pass: every task makes a count-min sketch of its own documents, as sorted
 block of cells, counts held at two. A window is counted under a signature, the least hash among the stretches of 26 words inside
 it, once per document. Equal windows have equal signatures, so the merged count is never below the number of documents that
 hold the window, and neighbouring windows share a signature, so there are about thirteen times fewer of them than windows. The sketch has a
-fixed size, ``ROWS`` x ``CELLS`` bits once merged (64 MB), at any size of the corpus: a fuller one only estimates more windows as
+fixed size, ``ROWS`` x ``CELLS`` bits once merged (32 MB), at any size of the corpus: a fuller one only estimates more windows as
 repeated, and loses none.
 
 Second pass: windows estimated repeated, and no others, are grouped by a 128-bit hash of their words, which gives the
@@ -32,9 +32,10 @@ from pyspark.sql import types as T
 from sensorlake.llm.shared import kept, table
 
 WINDOW, STRETCH = 50, 26
-ROWS, CELLS, BLOCK = 2, 1 << 28, 1 << 20
-HELD = 4_000_000  # signatures a task holds before it hands on a part of its sketch
-CACHED_WORDS = 400_000
+ROWS, CELLS, BLOCK = 2, 1 << 27, 1 << 20
+HELD = 1_000_000  # signatures a task holds before it hands on a part of its sketch
+CACHED_WORDS = 100_000
+PART = 500  # rows of a batch worked on at a time
 U = np.uint64
 # Odd multipliers; one row each for the two halves of a hash.
 TURNS = np.array([[0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9], [0xC2B2AE3D27D4EB4F, 0x94D049BB133111EB]], np.uint64)
@@ -166,6 +167,12 @@ class Sketch:
         return found
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, PART):
+            yield batch.slice(i, PART)
+
+
 def suspects(words: list[bytes], known: Words, sketch: Sketch) -> tuple[np.ndarray, np.ndarray]:
     """Places of the windows estimated repeated, and their hashes in two columns."""
     if len(words) < WINDOW:
@@ -195,7 +202,7 @@ def owned_windows(docs: DataFrame, blocks: list[tuple[int, int, bytes]], doc_id:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, known = Sketch(shared.value), Words()
-        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
+        for batch in _parts(batches):
             hashes, counts = [np.empty((0, 2), np.int64)], []
             for text in batch.column("text"):
                 hashes.append(suspects(text.as_py().split(), known, sketch)[1])
@@ -211,7 +218,7 @@ def owned_windows(docs: DataFrame, blocks: list[tuple[int, int, bytes]], doc_id:
 def _cleaner(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, known = Sketch(shared.value), Words()
-        for batch in batches:
+        for batch in _parts(batches):
             totals, removed, texts = [], [], []
             for text, named, own in zip(batch.column("text"), batch.column("named"), batch.column("windows")):
                 words = (text.as_py() or b"").split()
