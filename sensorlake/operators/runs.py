@@ -64,6 +64,7 @@ class Runs:
         rows_per_run = ROWS_PER_RUN if rows_per_run is None else rows_per_run
         if rows_per_run and within is not None and by and self._large(within, rows_per_run).isEmpty():
             rows_per_run = 0
+        self.rows_per_run = rows_per_run
         self.edges = self._find_edges(df, rows_per_run) if rows_per_run else None
         self.df = self._place(df) if self.split else df.withColumn(RUN, F.lit(None).cast("int"))
         # Carries are worked out from here, so that a chain of methods does not nest them.

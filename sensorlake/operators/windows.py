@@ -6,7 +6,6 @@ All take ``by`` (may be empty) and ``order``, a total order inside a group, and
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
@@ -16,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sensorlake.operators import runs as runs_module
+from sensorlake.operators.growing import growing
 from sensorlake.operators.runs import RUN, Runs, same
 
 
@@ -298,8 +298,8 @@ def expanding(
 ) -> DataFrame:
     """A statistic, or several as ``{out: fn}``, over all rows of the group up to this one.
 
-    Counts, sums, extremes and moments (and ``cov``/``corr`` with ``other``) merge across cut runs.
-    Median, quantile and rank do not: for them a group stays in one task, its values kept sorted.
+    Counts, sums, extremes and moments (and ``cov``/``corr`` with ``other``) merge across cut runs;
+    median, quantile and rank go by run and bucket of values (see ``growing``).
     """
     fns = {out or f"expanding_{fn}": fn} if isinstance(fn, str) else dict(fn)
     runs = Runs(df, by, order, **kw)
@@ -319,46 +319,13 @@ def expanding(
         elif f in ("cov", "corr"):
             runs = _expanding_pair(runs, col, other, f, min_periods, name)
     rows = runs.rows().drop("__n")
-    ordered = {name: f for name, f in fns.items() if f in ("median", "quantile", "rank")}
-    return _expanding_order(rows, col, ordered, by, order, q, min_periods) if ordered else rows
-
-
-def _expanding_order(
-    df: DataFrame, col: str, fns: Mapping[str, str], by: Sequence[str], order: Sequence[str], q: float, min_periods: int
-) -> DataFrame:
-    """Median, quantile and average rank among the values so far, kept sorted in one pass per group."""
-    schema = T.StructType([*df.schema, *[T.StructField(name, T.DoubleType()) for name in fns]])
-
-    def at(seen: list[float], share: float) -> float:
-        spot = share * (len(seen) - 1)
-        low = int(spot)
-        value = seen[low]
-        return value + (seen[low + 1] - value) * (spot - low) if spot > low else value
-
-    def place(seen: list[float], v: float) -> float:
-        return (bisect_left(seen, v) + bisect_right(seen, v) + 1) / 2
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in order], null_placement="at_start"))
-        values = _doubles(table[col])
-        found = {name: np.full(len(values), np.nan) for name in fns}
-        seen: list[float] = []
-        for i, v in enumerate(values):
-            if v == v:
-                insort(seen, v)
-            if len(seen) < max(min_periods, 1):
-                continue
-            for name, f in fns.items():
-                if f != "rank":
-                    found[name][i] = at(seen, 0.5 if f == "median" else q)
-                elif v == v:
-                    found[name][i] = place(seen, v)
-        for name, column in found.items():
-            table = table.append_column(name, pa.array(column, pa.float64(), from_pandas=True))
-        return table
-
-    keys = [F.col(c) for c in by] or [F.lit(0)]
-    return df.groupBy(*keys).applyInArrow(run, schema)
+    kinds = {"median": ("quantile", 0.5), "quantile": ("quantile", q), "rank": ("rank", q)}
+    ordered = {name: kinds[f] for name, f in fns.items() if f in kinds}
+    if not ordered:
+        return rows
+    # These work on Arrow tables in Python workers, so runs are shorter.
+    kw.setdefault("rows_per_run", min(runs_module.ROWS_PER_RUN, 1_000_000))
+    return growing(rows, col, ordered, by, order, min_periods, **kw)
 
 
 def _expanding_moments(runs: Runs, col: str, fns: Mapping[str, str], min_periods: int) -> Runs:
