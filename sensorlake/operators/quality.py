@@ -44,6 +44,12 @@ def ingest_summary(df_in: DataFrame, df_out: DataFrame, rejects: DataFrame, sour
     )
 
 
+def file_counts(files: DataFrame) -> DataFrame:
+    """One row: files landed, and how many of them were converted, skipped (handled before) and failed."""
+    statuses = [F.count_if(F.col("status") == s).alias(f"files_{s}") for s in ("converted", "skipped", "failed")]
+    return files.agg(F.count(F.lit(1)).alias("files_landed"), *statuses)
+
+
 def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
     """Count while the rows pass on to a sink: no second scan for the summary."""
     obs = Observation(name)

@@ -11,12 +11,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorlake.operators.mapping import apply_mapping, normalize_columns, select_fields, stage_key, to_ts
-from sensorlake.operators.quality import ingest_summary, quarantine
-from sensorlake.plans.flow import FlowConfig, land_archives, run_flow
+from sensorlake.operators.quality import file_counts, ingest_summary, quarantine
+from sensorlake.plans.flow import FlowConfig, land_archives, land_errors, run_flow
 from sensorlake.plans.registry import SENSORS, query, sensors, table
 from sensorlake.schemas import SCHEMAS, conform
-from sensorlake.session import scratch_dir
+from sensorlake.session import pin, scratch_dir
 from sensorlake.sources.archives import scan_archive_lines, scan_archives
+from sensorlake.sources.batches import BATCH, new_batch, read_batches, write_batch
 from sensorlake.sources.files import locate, plain_path
 from sensorlake.sources.formats import write_table
 from sensorlake.sources.landing import filter_objects, landing_manifest, scan_landing, scan_notified
@@ -333,6 +334,91 @@ def archives_to_table(spark: SparkSession, sf: str) -> DataFrame:
     return run_flow(spark, flow_config(root, new_table("readings"), fmt="log", sep=",")).table
 
 
+def land_files(spark: SparkSession, sf: str, root: str, where: str = "true", shift: float = 0.0) -> None:
+    """The readings as CSV files of 250 events, ``file`` numbering them; each is written by a task."""
+    file = F.floor(F.col("event_id") / 250).alias("file")
+    rows = table(spark, sf, "events").select(
+        file, F.col("user_id").cast("string").alias("id"), F.col("ts").cast("string").alias("timestamp"), (F.col("value") + shift).alias("accel_x"),
+        F.get_json_object("props", "$.k").cast("double").alias("accel_y"), (F.col("event_id") % 100).cast("double").alias("accel_z"),
+    )
+
+    def put(pdf: pd.DataFrame) -> pd.DataFrame:
+        system, name = locate(f"{root}/raw/f{pdf['file'].iloc[0]}.csv")
+        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(name) as out:
+            out.write(pdf[list(ACCEL)].to_csv(index=False).encode())
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    rows.where(where).groupBy("file").applyInPandas(put, "n long").agg(F.sum("n")).collect()
+
+
+@query("a20_run_twice", f'SELECT id, "timestamp", accel_x, accel_y, accel_z FROM {SENSORS}')
+def run_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Appended in two days, each run twice, with what a run leaves in between that died before its commit."""
+    root, name = scratch_dir(spark, "flow"), new_table("readings")
+    cfg = flow_config(root, name, mode="append")
+    land_files(spark, sf, root, "file % 2 = 0")
+    run_flow(spark, cfg)
+    run_flow(spark, cfg)
+    land_files(spark, sf, root, "file % 2 = 1")
+    half = spark.table(name).drop(BATCH).withColumn("source_file", F.lit("half"))
+    write_batch(half, cfg.processed, new_batch())
+    run_flow(spark, cfg)
+    return run_flow(spark, cfg).table
+
+
+SHIFTED = "value + CASE WHEN event_id // 250 % 2 = 0 THEN 1 ELSE 0 END AS accel_x"
+
+
+@query(
+    "a20_changed_file",
+    f"""SELECT CAST(user_id AS VARCHAR) AS id, ts AS "timestamp", {SHIFTED},
+    CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS accel_y, CAST(event_id % 100 AS DOUBLE) AS accel_z FROM events""",
+)
+def changed_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that come again with other readings replace their old rows, and only those."""
+    root = scratch_dir(spark, "flow")
+    cfg = flow_config(root, new_table("readings"), mode="append")
+    land_files(spark, sf, root)
+    run_flow(spark, cfg)
+    land_files(spark, sf, root, "file % 2 = 0", shift=1.0)
+    return run_flow(spark, cfg).table
+
+
+@query(
+    "a21_files",
+    """SELECT count(DISTINCT f) AS files_landed, count(DISTINCT f) FILTER (WHERE f % 2 = 1) AS files_converted,
+    count(DISTINCT f) FILTER (WHERE f % 2 = 0) AS files_skipped, 0 AS files_failed FROM (SELECT event_id // 250 AS f FROM events)""",
+)
+def files_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Files landed, converted and skipped by the second of two runs."""
+    root = scratch_dir(spark, "flow")
+    cfg = flow_config(root, new_table("readings"), mode="append")
+    for where in ("file % 2 = 0", "file % 2 = 1"):
+        land_files(spark, sf, root, where)
+        result = run_flow(spark, cfg)
+    return file_counts(result.files)
+
+
+@query("a22_bad_archive", f'SELECT activity || \'.zip\' AS archive, count(*) AS rows FROM {SENSORS} WHERE activity IN (\'click\', \'view\') GROUP BY 1')
+def bad_archives(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives that are none (the text of an activity's rows under a zip's name) are named with the reason; the good ones land."""
+    root = scratch_dir(spark, "archives")
+    zips = land_zips(spark, sf, ACCEL)
+    rows = sensors(spark, sf).where("activity IN ('click', 'view')").select("activity", F.to_csv(F.struct(*ACCEL)).alias("line"))
+
+    def spoil(pdf: pd.DataFrame) -> pd.DataFrame:
+        system, name = locate(f"{zips}/{pdf['activity'].iloc[0]}.zip")
+        with system.open_output_stream(name) as out:
+            out.write("\n".join(pdf["line"]).encode())
+        return pd.DataFrame({"archive": [f"{pdf['activity'].iloc[0]}.zip"], "rows": [len(pdf)]})
+
+    sizes = pin(rows.groupBy("activity").applyInPandas(spoil, "archive string, rows long"))
+    land_archives(spark, zips, root, "*.csv")
+    named = land_errors(spark, root).where("error <> ''").select(F.regexp_extract("source_file", r"([^/]*)$", 1).alias("archive"))
+    return named.join(sizes, "archive")
+
+
 def spoiled(spark: SparkSession, sf: str) -> DataFrame:
     """Sensor rows as text, some with a bad time or a bad reading; one source per activity."""
     s = sensors(spark, sf)

@@ -35,19 +35,34 @@ def mangle(names: Sequence[str]) -> list[str]:
     return out
 
 
-def headers(spark: SparkSession, path: str | list[str], glob: str = "*.csv", sep: str = ",", quote: str = '"') -> DataFrame:
-    """(path, header) with the first record of every file; tasks read just that record."""
+def headers(
+    spark: SparkSession, path: str | list[str], glob: str = "*.csv", sep: str = ",", quote: str = '"', report: bool = False
+) -> DataFrame:
+    """(path, header) with the first record of every file; tasks read just that record.
+
+    A file that has none is left out and one that cannot be read ends the run; with ``report`` both are rows
+    without a header, and a further column ``error`` says why.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch["path"]:
-                with open_input(name) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                    first = next((r for r in csv.reader(text, delimiter=sep, quotechar=quote) if r), None)
+                first, error = None, None
+                try:
+                    with open_input(name) as raw:
+                        text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
+                        first = next((r for r in csv.reader(text, delimiter=sep, quotechar=quote) if r), None)
+                except (UnicodeDecodeError, csv.Error) as bad:
+                    if not report:
+                        raise
+                    error = str(bad)
                 if first is not None:
-                    yield pd.DataFrame({"path": [name], "header": [mangle(first)]})
+                    yield pd.DataFrame({"path": [name], "header": [mangle(first)]} | ({"error": [None]} if report else {}))
+                elif report:
+                    yield pd.DataFrame({"path": [name], "header": [None], "error": [error or "no header"]})
 
-    return list_files(spark, path, glob).select("path").mapInPandas(read, "path string, header array<string>")
+    schema = "path string, header array<string>" + (", error string" if report else "")
+    return list_files(spark, path, glob).select("path").mapInPandas(read, schema)
 
 
 def no_value(col: Column, null_tokens: Sequence[str]) -> Column:
@@ -135,9 +150,12 @@ def scan_csv(
     multiline: bool = False,
     glob: str = "*.csv",
     keep_source: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """CSV files with a header row, each read by its own header.
 
+    ``known`` (path, header), where it is at hand, saves reading the headers.
+
     Fields are strings unless ``schema`` casts them (by name) or ``infer`` finds their types. A row
     with fewer fields than the header has NULL in the rest. A row with more is an error: ``fail``
     raises, ``quarantine`` keeps the raw text of every row of the wrong width in
@@ -145,7 +163,7 @@ def scan_csv(
     """
     if on_bad not in ("null", "fail", "quarantine"):
         raise ValueError(f"on_bad: {on_bad}")
-    files = headers(spark, path, glob, sep)
+    files = headers(spark, path, glob, sep) if known is None else known
     # Layouts are few; a layout's file names are collected only where layouts differ.
     found = files.groupBy("header").agg(F.min("path").alias("first")).orderBy("first")
     layouts = [tuple(r) for r in found.select("header", F.xxhash64(F.array_join("header", "\n"))).collect()]

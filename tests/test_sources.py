@@ -9,11 +9,14 @@ from pyspark.sql import functions as F, types as T
 
 from sensorlake.operators.mapping import apply_mapping, normalize_columns, stage_key, to_ts
 from sensorlake.operators.quality import quarantine
-from sensorlake.plans.flow import FlowConfig, land_archives, run_flow
+from sensorlake.operators.quality import file_counts
+from sensorlake.plans import flow
+from sensorlake.plans.flow import FlowConfig, land_archives, land_errors, run_flow
 from sensorlake.schemas import SCHEMAS, conform
 from sensorlake.sources.archives import land_members, list_members, scan_archive_lines, scan_archives
 from sensorlake.sources.formats import path_partitions, read_dialect, read_fixed_width
 from sensorlake.sources.landing import filter_objects, landing_manifest, scan_landing, scan_notified
+from sensorlake.sources.batches import BatchLog, read_batches, vacuum, write_batch
 from sensorlake.sources.tables import read_stage, register_table, write_processed, write_stage
 from sensorlake.sources.text import CORRUPT, NULL_TOKENS, scan_csv, scan_log
 from sensorlake.streaming.incremental import run_incremental
@@ -158,6 +161,8 @@ def test_names_stay_inside_and_bad_archives_are_counted(spark, tmp_path):
     (tmp_path / "in" / "b.zip").write_bytes(b"junk")
     got = land_archives(spark, str(tmp_path / "in"), str(tmp_path / "deep" / "lake"))
     assert (got["files"], got["failed"]) == (2, 1)
+    errors = land_errors(spark, str(tmp_path / "deep" / "lake")).collect()
+    assert [(r.source_file.rsplit("/", 1)[1], bool(r.error)) for r in errors] == [("b.zip", True)]
     assert sorted(p.name for p in tmp_path.rglob("*.csv")) == ["escape.csv", "x[1].csv"]
     assert (tmp_path / "deep" / "lake" / "raw" / "escape.csv").exists()
     assert scan_csv(spark, str(tmp_path / "deep" / "lake" / "raw")).count() == 2
@@ -175,6 +180,92 @@ def test_flow_append_twice(spark, tmp_path):
     assert sorted(r.id for r in run_flow(spark, cfg).table.collect()) == ["1", "2"]
 
 
+HEAD = "id,timestamp,accel_x,accel_y,accel_z\n"
+
+
+def append_config(tmp_path, name):
+    dirs = [str(tmp_path / d) for d in ("raw", "stage", "processed", "rejects")]
+    return FlowConfig(*dirs, name, SCHEMAS["accel5"], mode="append")
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+@pytest.mark.parametrize("dies", ["write_batch", "put_sources", "commit", "sync_table"])
+def test_a_run_that_dies_adds_nothing_twice(spark, tmp_path, monkeypatch, dies):
+    cfg = append_config(tmp_path, f"died_{dies}")
+    put(tmp_path / "raw" / "x.csv", HEAD + "1,2024-01-01,1,2,3\n2,nope,1,2,3\n")
+    run_flow(spark, cfg)
+    put(tmp_path / "raw" / "y.csv", HEAD + "3,2024-01-01,1,2,3\n4,nope,1,2,3\n")
+    put(tmp_path / "raw" / "x.csv", HEAD + "5,2024-01-01,1,2,3\n1,2024-01-01,1,2,3\n")
+    owner = BatchLog if dies in ("put_sources", "commit") else flow
+    real, calls = getattr(owner, dies), []
+
+    def killed(*args, **kw):
+        calls.append(dies)
+        # Half-way: the first batch is written, the second is not.
+        if dies == "write_batch" and len(calls) < 3:
+            return real(*args, **kw)
+        raise KeyboardInterrupt(dies)
+
+    monkeypatch.setattr(owner, dies, killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_flow(spark, cfg)
+    monkeypatch.setattr(owner, dies, real)
+    if dies != "sync_table":
+        assert ids(spark.table(cfg.table)) == ["1"]  # readers follow the log
+    result = run_flow(spark, cfg)
+    assert ids(result.table) == ["1", "3", "5"] == ids(spark.table(cfg.table))
+    assert ids(run_flow(spark, cfg).table) == ["1", "3", "5"]
+    (live,) = BatchLog(spark, cfg.stage).live("table")
+    assert ids(read_batches(spark, cfg.rejects, live, T.StructType.fromDDL("id string"))) == ["4"]
+
+
+def test_changed_file_replaces_its_rows(spark, tmp_path):
+    cfg = append_config(tmp_path, "changed_table")
+    put(tmp_path / "raw" / "a.csv", HEAD + "1,2024-01-01,1,2,3\n2,2024-01-01,1,2,3\n")
+    put(tmp_path / "raw" / "b.csv", HEAD + "3,2024-01-01,1,2,3\n")
+    run_flow(spark, cfg)
+    put(tmp_path / "raw" / "a.csv", HEAD + "7,2024-01-01,1,2,3\n8,bad,1,2,3\n")
+    put(tmp_path / "raw" / "c.csv", "timestamp,id,extra\n2024-01-01,9,x\n")
+    result = run_flow(spark, cfg)
+    assert ids(result.table) == ["3", "7", "9"]
+    counts = {r.source_file.rsplit("/", 1)[1]: (r.rows_in, r.rows_out, r.rows_rejected) for r in result.summary.collect()}
+    assert counts == {"a.csv": (2, 1, 1), "c.csv": (1, 1, 0)}
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in read_stage(spark, cfg.stage, part="stage").collect()) == ["a.csv", "a.csv", "b.csv", "c.csv"]
+    # From all that is staged, whatever the order of the runs.
+    put(tmp_path / "other" / "b.csv", HEAD + "4,2024-01-01,1,2,3\n")
+    again = run_flow(spark, FlowConfig(str(tmp_path / "other"), cfg.stage, cfg.processed, cfg.rejects, cfg.table, cfg.spec))
+    assert ids(again.table) == ["3", "4", "7", "9"] and ids(again.rejects) == ["8"]
+    put(tmp_path / "raw" / "b.csv", HEAD + "5,2024-01-01,1,2,3\n")
+    assert ids(run_flow(spark, cfg).table) == ["4", "5", "7", "9"]
+
+
+def test_files_that_cannot_be_read(spark, tmp_path):
+    cfg = append_config(tmp_path, "unreadable_table")
+    put(tmp_path / "raw" / "a.csv", HEAD + "1,2024-01-01,1,2,3\n")
+    (tmp_path / "raw" / "b.csv").write_bytes(b"\xff\xfe\x00\x81,x\n1,2\n")
+    put(tmp_path / "raw" / "c.csv", "\n\n")
+    result = run_flow(spark, cfg)
+    assert ids(result.table) == ["1"]
+    errors = {r.source_file.rsplit("/", 1)[1]: (r.status, bool(r.error)) for r in result.files.collect()}
+    assert errors == {"a.csv": ("converted", False), "b.csv": ("failed", True), "c.csv": ("failed", True)}
+    assert file_counts(result.files).first().asDict() == {"files_landed": 3, "files_converted": 1, "files_skipped": 0, "files_failed": 2}
+    put(tmp_path / "raw" / "b.csv", HEAD + "2,2024-01-01,1,2,3\n")
+    assert ids(run_flow(spark, cfg).table) == ["1", "2"]
+
+
+def test_vacuum(spark, tmp_path):
+    cfg = append_config(tmp_path, "vacuumed_table")
+    for i in (1, 2):
+        put(tmp_path / "raw" / "a.csv", HEAD + f"{i},2024-01-01,1,2,3\n")
+        run_flow(spark, cfg)
+    write_batch(spark.range(1), cfg.processed, "litter")
+    assert len(vacuum(spark, cfg.processed, BatchLog(spark, cfg.stage), "table")) == 2
+    assert ids(spark.table(cfg.table)) == ["2"]
+
+
 def test_stage_replaces_per_source(spark, tmp_path):
     path = str(tmp_path / "stage")
     df = spark.createDataFrame([("a", 1), ("b", 2)], "source_file string, v int")
