@@ -34,25 +34,54 @@ from sensorlake.llm.shared import kept, table
 WINDOW, STRETCH = 50, 26
 ROWS, CELLS, BLOCK = 2, 1 << 27, 1 << 20
 HELD = 1_000_000  # signatures a task holds before it hands on a part of its sketch
-CACHED_WORDS = 100_000
+SEGMENT = 1 << 18  # bytes of text hashed at a time
+LONG_WORD = 64  # longer words have a cryptographic hash
 PART = 500  # rows of a batch worked on at a time
 U = np.uint64
 # Odd multipliers; one row each for the two halves of a hash.
 TURNS = np.array([[0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9], [0xC2B2AE3D27D4EB4F, 0x94D049BB133111EB]], np.uint64)
 
 
-class Words(dict):
-    """128-bit hashes of words, kept for the next time."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        self[word] = found = hashlib.blake2b(word, digest_size=16).digest()
-        return found
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        """Two rows of 64-bit numbers, one column per word."""
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u8").reshape(-1, 2).T
+class Bytes:
+    """What word hashes are made with: a number per byte, and powers of an odd base with their inverses, for both halves."""
+
+    BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+    VALUES = np.array([[int.from_bytes(hashlib.blake2b(bytes([half, b]), digest_size=8).digest()) for b in range(256)] for half in (0, 1)], np.uint64)
+
+    def __init__(self) -> None:
+        bases = [int(t[0]) for t in TURNS]
+        self.powers, self.inverses = (
+            [np.cumprod(np.concatenate([[U(1)], np.full(SEGMENT - 1, x, np.uint64)])) for x in xs] for xs in (bases, [pow(x, -1, 1 << 64) for x in bases])
+        )
+
+    def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of a text, and where its words start and end."""
+        data = np.frombuffer(text, np.uint8)
+        blank = np.ones(len(data) + 2, bool)
+        blank[1:-1] = self.BLANK[data]
+        edges = np.flatnonzero(blank[1:] != blank[:-1])
+        return data, edges[::2], edges[1::2]
+
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, half: int) -> np.ndarray:
+        """A 64-bit hash of every word: the polynomial of its bytes, from sums over the text, then mixed."""
+        found = np.zeros(len(starts), np.uint64)
+        first = 0
+        while first < len(starts):
+            # So many words as fit a segment; one longer than that is hashed below.
+            begin = starts[first]
+            last = max(first + 1, int(np.searchsorted(ends, begin + SEGMENT - 1, side="right")))
+            s, e = starts[first:last] - begin, ends[first:last] - begin
+            if e[-1] < SEGMENT:
+                part = self.VALUES[half][data[begin : begin + e[-1]]]
+                part *= self.powers[half][: len(part)]
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(part, out=sums[1:])
+                found[first:last] = (sums[e] - sums[s]) * self.inverses[half][s]
+            first = last
+        length = ends - starts
+        for i in np.flatnonzero(length > LONG_WORD):
+            found[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=bytes([half])).digest())
+        return _join(found, length.astype(np.uint64), TURNS[1 - half])
 
 
 def _join(a: np.ndarray, b: np.ndarray, turn: np.ndarray) -> np.ndarray:
@@ -95,7 +124,7 @@ def least(values: np.ndarray, size: int) -> np.ndarray:
 
 def signatures(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every window: its signature, and the first half of its hash."""
-    short, whole = stretches(hashes[0], TURNS[0], (STRETCH, WINDOW))
+    short, whole = stretches(hashes, TURNS[0], (STRETCH, WINDOW))
     return least(short, WINDOW - STRETCH + 1), whole
 
 
@@ -108,7 +137,7 @@ def cells(signature: np.ndarray, row: int) -> np.ndarray:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts of a sketch: per row and block, the cells counted once or more, and those counted more than once."""
-    known, held, size = Words(), [], 0
+    known, held, size = Bytes(), [], 0
 
     def parts() -> pa.RecordBatch:
         rows, blocks, ones, more = [], [], [], []
@@ -126,9 +155,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text in batch.column("text"):
-            words = text.as_py().split()
-            if len(words) >= WINDOW:
-                held.append(np.unique(signatures(known.hashes(words))[0]))
+            data, starts, ends = known.words(text.as_py())
+            if len(starts) >= WINDOW:
+                held.append(np.unique(signatures(known.hashes(data, starts, ends, 0))[0]))
                 size += len(held[-1])
                 if size >= HELD:
                     yield parts()
@@ -173,16 +202,17 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(i, PART)
 
 
-def suspects(words: list[bytes], known: Words, sketch: Sketch) -> tuple[np.ndarray, np.ndarray]:
+def suspects(text: bytes, known: Bytes, sketch: Sketch) -> tuple[np.ndarray, np.ndarray]:
     """Places of the windows estimated repeated, and their hashes in two columns."""
-    if len(words) < WINDOW:
-        return np.empty(0, np.int64), np.empty((0, 2), np.int64)
-    hashes = known.hashes(words)
-    signature, first = signatures(hashes)
+    none = np.empty(0, np.int64), np.empty((0, 2), np.int64)
+    data, starts, ends = known.words(text)
+    if len(starts) < WINDOW:
+        return none
+    signature, first = signatures(known.hashes(data, starts, ends, 0))
     at = np.flatnonzero(sketch.repeated(signature))
     if not len(at):
-        return at, np.empty((0, 2), np.int64)
-    second = stretches(hashes[1], TURNS[1], (WINDOW,))[0]
+        return none
+    second = stretches(known.hashes(data, starts, ends, 1), TURNS[1], (WINDOW,))[0]
     return at, np.stack([first[at], second[at]], 1).view(np.int64)
 
 
@@ -201,11 +231,11 @@ def owned_windows(docs: DataFrame, blocks: list[tuple[int, int, bytes]], doc_id:
     schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), rows.schema["doc_id"]])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, known = Sketch(shared.value), Words()
+        sketch, known = Sketch(shared.value), Bytes()
         for batch in _parts(batches):
             hashes, counts = [np.empty((0, 2), np.int64)], []
             for text in batch.column("text"):
-                hashes.append(suspects(text.as_py().split(), known, sketch)[1])
+                hashes.append(suspects(text.as_py(), known, sketch)[1])
                 counts.append(len(hashes[-1]))
             h = np.concatenate(hashes)
             ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
@@ -217,12 +247,13 @@ def owned_windows(docs: DataFrame, blocks: list[tuple[int, int, bytes]], doc_id:
 
 def _cleaner(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, known = Sketch(shared.value), Words()
+        sketch, known = Sketch(shared.value), Bytes()
         for batch in _parts(batches):
             totals, removed, texts = [], [], []
             for text, named, own in zip(batch.column("text"), batch.column("named"), batch.column("windows")):
-                words = (text.as_py() or b"").split()
-                at, hashes = suspects(words, known, sketch) if named.as_py() else ((), None)
+                whole = text.as_py() or b""
+                words = whole.split()
+                at, hashes = suspects(whole, known, sketch) if named.as_py() else ((), None)
                 if len(at):
                     if own.is_valid:
                         pairs = np.stack([own.values.field(k).to_numpy() for k in (0, 1)], 1)

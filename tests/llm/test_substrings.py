@@ -105,7 +105,7 @@ def test_stretches_and_least():
 
 def test_the_sketch_never_underestimates(spark):
     rows = planted()
-    sketch, known = substrings.Sketch(substrings.sketch_of(frame(spark, rows))), substrings.Words()
+    sketch, known = substrings.Sketch(substrings.sketch_of(frame(spark, rows))), substrings.Bytes()
     holders = {}
     for d, t in rows:
         w = (t or "").encode().split()
@@ -115,5 +115,19 @@ def test_the_sketch_never_underestimates(spark):
     for window, docs in holders.items():
         if len(docs) > 1:
             seen += 1
-            assert len(substrings.suspects(list(window), known, sketch)[0]) == 1
+            assert len(substrings.suspects(b" ".join(window), known, sketch)[0]) == 1
     assert seen
+
+
+def test_word_hashes():
+    rng = random.Random(6)
+    known = substrings.Bytes()
+    text = "\x0b".join([" é ", "a\t\t" + "b" * 64, "c" * 65, "c" * 65, "d" * 300_000, *(rng.choice(["x", "yy", "zzz"]) for _ in range(200_000)), "a"]).encode()
+    data, starts, ends = known.words(text)
+    words = text.split()
+    assert [text[s:e] for s, e in zip(starts.tolist(), ends.tolist())] == words
+    for half in (0, 1):
+        hashes = known.hashes(data, starts, ends, half)
+        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+        alone = known.words(b"zzz")
+        assert known.hashes(*alone, half)[0] in hashes
