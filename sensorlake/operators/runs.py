@@ -297,14 +297,16 @@ class Runs:
         df = df.withColumns(exprs(self.window().rowsBetween(-(rows - 1), 0)))
         return self.with_df(df.where(~F.col("__extra")).drop("__extra"))
 
-    def rolling_range(self, width: int, position: Column, columns: Sequence[str], exprs: Callable[[Window], dict[str, Column]], later: Column) -> Runs:
+    def rolling_range(
+        self, width: int, position: Column, columns: Sequence[str], exprs: Callable[[Window], dict[str, Column]], later: Column, place: bool = True
+    ) -> Runs:
         """Window expressions over rows whose ``position`` is in (here - width, here].
 
         ``later`` is the first order column moved on by ``width``. A row of a cut group is also
-        given to the runs that begin within ``width`` after it.
+        given to the runs that begin within ``width`` after it; without ``place`` no group is cut.
         """
         df = self.df.withColumn("__pos", position)
-        if self.split:
+        if self.split and place:
             ahead = self._search(lambda edge: edge["o0"] <= later)
             df = self._place(df, __to=ahead)
             df = df.withColumn("__own", F.col(RUN))

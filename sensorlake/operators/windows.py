@@ -15,8 +15,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sensorlake.operators import runs as runs_module
+from sensorlake.operators.decay import exponential
 from sensorlake.operators.growing import growing
 from sensorlake.operators.runs import RUN, Runs, same
+from sensorlake.operators.sliding import fits, sliding
 
 
 def cumulative(df: DataFrame, col: str, fn: str, by: Sequence[str], order: Sequence[str], out: str | None = None, **kw) -> DataFrame:
@@ -224,8 +226,8 @@ def rolling(
             columns[name] = F.when(seen.over(w) >= least, frame_statistic(f, col, q)(w))
         return columns
 
-    runs = Runs(df, by, order, **kw)
     if rows is not None:
+        runs = Runs(df, by, order, **kw)
         if forward:
             return runs.reversed().rolling(rows, [col], exprs).rows()
         return runs.rolling(rows, [col], exprs).rows()
@@ -234,7 +236,20 @@ def rolling(
     time = order[0]
     width = int(pd.Timedelta(period).total_seconds() * 1_000_000)
     later = F.col(time) + F.make_dt_interval(secs=F.lit(width / 1_000_000))
-    return runs.rolling_range(width, micros(df, time), [col], exprs, later).rows()
+    if not fits(df, col, fns):
+        # Medians and quantiles are not put together from parts: rows go to every run within the period.
+        return Runs(df, by, [time], **kw).rolling_range(width, micros(df, time), [col], exprs, later).rows()
+    kw.setdefault("rows_per_run", min(runs_module.ROWS_PER_RUN, 1_000_000))
+    # Rows with equal times have equal windows and stay together.
+    runs = Runs(df, by, [time], **kw)
+    plain = runs.with_df(runs.df.where(F.col(RUN).isNull()) if runs.split else runs.df)
+    whole = plain.rolling_range(width, micros(df, time), [col], exprs, later, place=False)
+    if not runs.split:
+        return whole.rows()
+    least = {name: min_periods if min_periods is not None else (0 if f == "count" else 1) for name, f in fns.items()}
+    results = T.StructType([whole.df.schema[name] for name in fns])
+    cut = sliding(runs, col, fns, width, micros(df, time), later, least, results)
+    return runs.with_df(whole.df.unionByName(cut)).rows()
 
 
 def micros(df: DataFrame, col: str) -> Column:
@@ -429,124 +444,13 @@ def weighted(
 
 
 def ewm(
-    df: DataFrame, col: str, alpha: float, by: Sequence[str], order: Sequence[str], adjust: bool = True, out: str = "ewm", **kw
-) -> DataFrame:
-    """Exponentially weighted mean; a NULL value ages the weights and repeats the mean.
+    df: DataFrame, col: str, alpha: float, by: Sequence[str], order: Sequence[str], adjust: bool = True, out: str = "ewm", fn: str = "mean",
+    other: str | None = None, ignore_na: bool = False, bias: bool = False, min_periods: int = 0, **kw,
+) -> DataFrame:
+    """Exponentially weighted mean, variance, standard deviation, or covariance and correlation with ``other``.
 
-    With ``adjust`` the mean is a quotient of decaying sums, without it a recurrence. Either way a
-    run acts on what came before it by a handful of numbers, so a cut group needs one summary row
-    per run, chained in order.
+    A NULL value repeats the result and ages the weights, or does not with ``ignore_na``. See ``decay.exponential``.
     """
     # A run is one Arrow table in a Python worker, so runs are shorter here.
     kw.setdefault("rows_per_run", min(runs_module.ROWS_PER_RUN, 1_000_000))
-    runs = Runs(df, by, order, **kw)
-    keys = [*runs.by, RUN]
-    direction = "descending" if runs.descending else "ascending"
-    columns = [*keys, *[c for c in [*order, col] if c not in keys]]
-    step = Ewm(alpha, adjust)
-
-    def ordered(table: pa.Table) -> pa.Table:
-        at = "at_end" if direction == "descending" else "at_start"
-        return table.take(pc.sort_indices(table, sort_keys=[(c, direction) for c in order], null_placement=at))
-
-    rows = runs.df.withColumns({"__num": F.lit(0.0), "__den": F.lit(0.0)})
-    if runs.split:
-        part = T.StructType([runs.df.schema[c] for c in keys] + [T.StructField(n, T.DoubleType()) for n in Ewm.SUMMARY])
-
-        def summarise(table: pa.Table) -> pa.Table:
-            numbers = step.summary(_doubles(ordered(table)[col]))
-            head = table.select(keys).slice(0, 1)
-            for name, value in zip(Ewm.SUMMARY, numbers):
-                head = head.append_column(name, pa.array([value], pa.float64()))
-            return head
-
-        cut = runs.df.where(F.col(RUN).isNotNull()).select(*columns)
-        summary = cut.groupBy(*keys).applyInArrow(summarise, part)
-        state = T.StructType([runs.df.schema[c] for c in keys] + [T.StructField(n, T.DoubleType()) for n in ("__num", "__den")])
-
-        def chain(table: pa.Table) -> pa.Table:
-            table = table.take(pc.sort_indices(table, sort_keys=[(RUN, direction)]))
-            states, now = [], (0.0, 0.0)
-            for numbers in zip(*[_doubles(table[n]) for n in Ewm.SUMMARY]):
-                states.append(now)
-                now = step.after(now, numbers)
-            out = table.select(keys)
-            for i, name in enumerate(("__num", "__den")):
-                out = out.append_column(name, pa.array([s[i] for s in states], pa.float64()))
-            return out
-
-        rows = runs.attach(runs.df, summary.groupBy(*runs.by).applyInArrow(chain, state))
-        rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("__num", "__den")})
-
-    kept = [c for c in rows.columns if c not in ("__num", "__den")]
-    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(out, T.DoubleType())])
-
-    def smooth(table: pa.Table) -> pa.Table:
-        table = ordered(table)
-        start = (table["__num"][0].as_py(), table["__den"][0].as_py())
-        means = step.means(_doubles(table[col]), start)
-        return table.select(kept).append_column(out, pa.array(means, pa.float64(), from_pandas=True))
-
-    return runs.with_df(rows.groupBy(*keys).applyInArrow(smooth, schema)).rows()
-
-
-def _doubles(values: pa.ChunkedArray) -> np.ndarray:
-    return values.cast(pa.float64()).to_numpy()
-
-
-class Ewm:
-    """One pass of the mean, and what a run of values does to the state (num, den) before it."""
-
-    SUMMARY = ("n", "lead", "first", "a", "b", "den")
-
-    def __init__(self, alpha: float, adjust: bool):
-        self.alpha, self.adjust, self.decay = alpha, adjust, 1.0 - alpha
-
-    def next(self, state: tuple[float, float], v: float) -> tuple[float, float]:
-        num, den = state[0] * self.decay, state[1] * self.decay
-        if v == v:
-            if self.adjust:
-                num, den = num + v, den + 1.0
-            elif den == 0:
-                num, den = v, 1.0
-            else:
-                num, den = (num + self.alpha * v) / (den + self.alpha), 1.0
-        return num, den
-
-    def means(self, values: np.ndarray, state: tuple[float, float]) -> np.ndarray:
-        out = np.full(len(values), np.nan)
-        for i, v in enumerate(values):
-            state = self.next(state, v)
-            if state[1]:
-                out[i] = state[0] / state[1]
-        return out
-
-    def summary(self, values: np.ndarray) -> tuple[float, ...]:
-        """With ``adjust``: the sums of the run alone. Without: NULLs before the first value, that
-        value, and the line a*mean + b from the mean there to the mean at the end."""
-        n, present = float(len(values)), np.flatnonzero(values == values)
-        if self.adjust:
-            state = (0.0, 0.0)
-            for v in values:
-                state = self.next(state, v)
-            return n, 0.0, 0.0, 0.0, state[0], state[1]
-        if not len(present):
-            return n, n, 0.0, 1.0, 0.0, 0.0
-        a, b, den = 1.0, 0.0, 1.0
-        for v in values[present[0] + 1 :]:
-            den *= self.decay
-            if v == v:
-                share = den / (den + self.alpha)
-                a, b, den = a * share, b * share + (1 - share) * v, 1.0
-        return n, float(present[0]), float(values[present[0]]), a, b, den
-
-    def after(self, state: tuple[float, float], numbers: tuple[float, ...]) -> tuple[float, float]:
-        n, lead, first, a, b, den = numbers
-        aged = self.decay**n
-        if self.adjust:
-            return state[0] * aged + b, state[1] * aged + den
-        if lead == n:
-            return state[0] * aged, state[1] * aged
-        num, before = state[0] * self.decay**lead, state[1] * self.decay**lead
-        num, _ = self.next((num, before), first)
-        return (a * num + b) * den, den
+    return exponential(df, col, alpha, by, order, fn, other, adjust, ignore_na, bias, min_periods, out, **kw)

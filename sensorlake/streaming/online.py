@@ -1,4 +1,10 @@
-"""Exponentially weighted mean kept up between batches (C129)."""
+"""Exponentially weighted mean kept up between batches (C129).
+
+Rows are packed into chunks where they are read: a key's rows of an Arrow batch, in order, with the chunk's effect on any state
+in a few numbers (see ``decay``). The stateful step chains the chunks of a key by these numbers, without looking into them, and
+notes for each the state it starts from; only chunks that overlap in order are opened and merged. The means of the rows
+are worked out afterwards, by all tasks. So a key that holds most of a batch costs its one task a line per chunk.
+"""
 
 from __future__ import annotations
 
@@ -6,36 +12,180 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor
+
+from sensorlake.operators.decay import Decay, State, numbers_of
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = ", ".join(f"{f} double" for f in State.FIELDS)
+
+
+def _sorted(table: pa.Table, columns: Sequence[str]) -> pa.Table:
+    return table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in columns], null_placement="at_start")) if columns else table
+
+
+def _packed(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def _opened(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+class Chunks:
+    """Rows to chunks and back, inside tasks."""
+
+    def __init__(self, by: Sequence[str], order: Sequence[str], col: str, time: str | None, keep: Sequence[str], decay: Decay):
+        self.by, self.order, self.col, self.time, self.keep, self.decay = list(by), list(order), col, time, list(keep), decay
+
+    def summary(self, table: pa.Table) -> list[float]:
+        x = numbers_of(table[self.col])
+        return list(self.decay.summary(x, x))
+
+    def pack(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = _sorted(pa.Table.from_batches([batch]), [*self.by, *self.order])
+            places = table.append_column("__i", pa.array(np.arange(table.num_rows)))
+            ends = places.group_by(self.by).aggregate([("__i", "min"), ("__i", "max")]) if self.by else places.group_by([]).aggregate([("__i", "min"), ("__i", "max")])
+            first, last = ends["__i_min"].to_pylist(), ends["__i_max"].to_pylist()
+            parts = [table.slice(a, b - a + 1) for a, b in zip(first, last)]
+            columns = {c: table[c].take(pa.array(first)) for c in self.by}
+            columns |= {f"chunk_lo{i}": table[c].take(pa.array(first)) for i, c in enumerate(self.order)}
+            columns |= {f"chunk_hi{i}": table[c].take(pa.array(last)) for i, c in enumerate(self.order)}
+            if self.time:
+                columns["chunk_at"] = pa.array([pc.max(p["__at"]).as_py() for p in parts], table["__at"].type)
+            columns["chunk_rows"] = pa.array([_packed(p.select([*self.keep, *(["__at"] if self.time else [])])) for p in parts], pa.binary())
+            columns["chunk_line"] = pa.array([self.summary(p) for p in parts], pa.list_(pa.float64()))
+            yield from pa.table(columns).to_batches()
+
+    def unpack(self, out: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows, state in zip(batch.column("rows"), batch.column("state")):
+                    table = _opened(rows.as_py()).select(self.keep)
+                    means = self.decay.means(numbers_of(table[self.col]), State(*state.as_py()))
+                    yield from table.append_column(out, pa.array(means, pa.float64(), from_pandas=True)).to_batches()
+
+        return run
+
+
+class MeanOfKey(StatefulProcessor):
+    """Chains the chunks of a key; the state goes when the key has been idle long enough."""
+
+    def __init__(self, chunks: Chunks, idle_ms: int | None, ttl_ms: int | None):
+        self.chunks, self.idle_ms, self.ttl_ms = chunks, idle_ms, ttl_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("mean", STATE, self.ttl_ms) if self.ttl_ms else handle.getValueState("mean", STATE)
+
+    def close(self) -> None:
+        pass
+
+    def _ordered(self, chunks: list[tuple]) -> Iterator[tuple[bytes, list[float]]]:
+        """(rows, line) in order; chunks that overlap become one."""
+        chunks.sort(key=lambda c: c[0])
+        i = 0
+        while i < len(chunks):
+            high, k = chunks[i][1], i + 1
+            while k < len(chunks) and chunks[k][0] <= high:
+                high, k = max(high, chunks[k][1]), k + 1
+            if k == i + 1:
+                yield chunks[i][2], chunks[i][3]
+            else:
+                table = _sorted(pa.concat_tables([_opened(c[2]) for c in chunks[i:k]]), self.chunks.order)
+                yield _packed(table), self.chunks.summary(table)
+            i = k
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        def point(r: dict, side: str) -> tuple:
+            values = [r[f"{side}{i}"] for i in range(len(self.chunks.order))]
+            return tuple((0, 0) if pd.isna(v) else (1, v) for v in values)
+
+        chunks, latest = [], None
+        watermark = timerValues.getCurrentWatermarkInMs() if self.idle_ms is not None else None
+        for pdf in rows:
+            # Spark hands rows over as named tuples, so no name begins with an underscore.
+            for r in pdf.to_dict("records"):
+                data, line, lo, hi = bytes(r["chunk_rows"]), list(r["chunk_line"]), point(r, "chunk_lo"), point(r, "chunk_hi")
+                if self.idle_ms is not None:
+                    table = _opened(data)
+                    due = pa.scalar(max(watermark, 0) * 1000, pa.int64()).cast(table["__at"].type)
+                    fresh = table.filter(pc.greater_equal(table["__at"], due))
+                    # Rows later than the watermark are dropped one by one, not by the chunk.
+                    if fresh.num_rows < table.num_rows:
+                        if not fresh.num_rows:
+                            continue
+                        data, line = _packed(fresh), self.chunks.summary(fresh)
+                    newest = pc.max(fresh["__at"]).cast(pa.int64()).as_py() // 1000
+                    latest = newest if latest is None else max(latest, newest)
+                chunks.append((lo, hi, data, line))
+        if not chunks:
+            return
+        held = self.state.get() if self.state.exists() else None
+        now, out = State(*[float(v) for v in held]) if held is not None else State(), []
+        for data, line in self._ordered(chunks):
+            out.append((data, list(now.numbers())))
+            now = self.chunks.decay.after(now, line)
+        self.state.update(now.numbers())
+        if latest is not None:
+            for timer in list(self.handle.listTimers()):
+                latest = max(latest, timer - self.idle_ms)
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(latest + self.idle_ms)
+        yield pd.DataFrame(out, columns=["rows", "state"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield pd.DataFrame({"rows": pd.Series([], dtype=object), "state": pd.Series([], dtype=object)})
+
 
-from sensorlake.operators.windows import Ewm
+def _milliseconds(text: str | None) -> int | None:
+    return None if text is None else int(pd.Timedelta(text).total_seconds() * 1000)
 
 
 def online_ewm(
-    stream: DataFrame, col: str, alpha: float, by: Sequence[str], order: Sequence[str], adjust: bool = True, out: str = "ewm"
-) -> DataFrame:
+    stream: DataFrame, col: str, alpha: float, by: Sequence[str], order: Sequence[str], adjust: bool = True, out: str = "ewm", ignore_na: bool = False,
+    time: str | None = None, lateness: str = "1 hour", idle: str | None = None, ttl: str | None = None,
+) -> DataFrame:
     """The mean after every row, per key, going on from the batch before.
 
-    The state of a key is two numbers. Rows of a batch are put in ``order``; over batches they are
-    taken as they come. Bound a batch with ``maxFilesPerTrigger``: one key's share of a batch is
-    sorted in one task.
+    Rows of a batch are put in ``order``; over batches they are taken as they come. The state of a key is seven numbers and
+    goes, so that the key starts anew, either ``idle`` after its newest ``time`` (by the watermark, which follows the newest time
+    seen by ``lateness``; rows behind it are dropped) or ``ttl`` after its last batch by the clock. Without both it stays. By the
+    clock Spark also runs batches without rows, for ever: with the trigger ``availableNow`` turn
+    ``spark.sql.streaming.noDataMicroBatches.enabled`` off.
     """
+    if (time is None) != (idle is None) or (idle and ttl):
+        raise ValueError("give time with idle, or ttl, or neither")
     by, order = list(by), list(order)
     keep = list(dict.fromkeys([*by, *order, col]))
-    schema = T.StructType([stream.schema[c] for c in keep] + [T.StructField(out, T.DoubleType())])
-    state_schema = T.StructType([T.StructField("num", T.DoubleType()), T.StructField("den", T.DoubleType())])
-    step = Ewm(alpha, adjust)
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get if state.exists else (0.0, 0.0)
-        rows = pd.concat(list(batches)).sort_values(order)
-        means = np.full(len(rows), np.nan)
-        for i, v in enumerate(rows[col].to_numpy("float64")):
-            now = step.next(now, v)
-            if now[1]:
-                means[i] = now[0] / now[1]
-        state.update((float(now[0]), float(now[1])))
-        yield rows.assign(**{out: means})[[*keep, out]]
-
-    return stream.select(*keep).groupBy(*by).applyInPandasWithState(update, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    spark, schema = stream.sparkSession, stream.schema
+    # Timers and expiry need a store that keeps them.
+    spark.conf.set(PROVIDER, ROCKSDB)
+    chunks = Chunks(by, order, col, time, keep, Decay(alpha, adjust, ignore_na))
+    rows = stream.select(*keep, F.col(time).cast("timestamp").alias("__at")).where(F.col("__at").isNotNull()) if time else stream.select(*keep)
+    fields = [schema[c] for c in by]
+    fields += [T.StructField(f"chunk_{side}{i}", schema[c].dataType) for side in ("lo", "hi") for i, c in enumerate(order)]
+    fields += [T.StructField("chunk_at", T.TimestampType())] if time else []
+    fields += [T.StructField("chunk_rows", T.BinaryType()), T.StructField("chunk_line", T.ArrayType(T.DoubleType()))]
+    packed = rows.mapInArrow(chunks.pack, T.StructType(fields))
+    if time:
+        packed = packed.withWatermark("chunk_at", lateness)
+    keyed = packed if by else packed.withColumn("chunk_all", F.lit(0))
+    processor = MeanOfKey(chunks, _milliseconds(idle), _milliseconds(ttl))
+    mode = "eventTime" if idle else "processingTime" if ttl else "none"
+    chained = keyed.groupBy(*(by or ["chunk_all"])).transformWithStateInPandas(processor, "rows binary, state array<double>", "append", mode)
+    # Chunks are dealt out again, those of one key to many tasks.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    result = T.StructType([*[schema[c] for c in keep], T.StructField(out, T.DoubleType())])
+    return chained.repartition(parts).mapInArrow(chunks.unpack(out), result)

@@ -13,7 +13,7 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 ORDERED = """b07_window_functions b14_sessions c31_take_positions c39_asof_tolerance c39_asof_without_keys c40_asof_forward c40_asof_nearest
 c41_ordered_merge c55_quantiles c55_quantile_interpolation c63_describe_numbers c64_spearman c69_cumulative c70_shift c72_rank c74_fill
 c76_rolling_rows c77_rolling_time c78_rolling_forward c79_expanding c79_expanding_shape c79_expanding_pairs c81_exponential_mean
-c81_exponential_recurrence c89_duplicated c114_winsorize c120_resample_filled c122_interpolate c128_rolling_apply""".split()
+c81_exponential_recurrence c81_exponential_covariance c89_duplicated c114_winsorize c120_resample_filled c122_interpolate c128_rolling_apply""".split()
 
 
 @pytest.fixture(scope="module")
