@@ -90,16 +90,30 @@ def json_numbers(c) -> Column:
     return F.from_json(_c(c), "array<double>")
 
 
-def json_sort(c) -> Column:
-    return F.array_sort(json_numbers(c))
+def json_texts(c) -> Column:
+    """The elements of an array that holds texts only; NULL for any other."""
+    elements = F.try_variant_get(F.try_parse_json(_c(c)), "$", "array<variant>")
+    texts = F.transform(elements, lambda e: F.try_variant_get(e, "$", "string"))
+    return F.when(F.forall(elements, lambda e: F.schema_of_variant(e) == "STRING"), texts)
 
 
-def json_min(c) -> Column:
-    return F.array_min(json_numbers(c))
+def _json_elements(c, kind: str) -> Column:
+    if kind not in ("number", "text"):
+        raise ValueError(f"kind: {kind}")
+    return json_numbers(c) if kind == "number" else json_texts(c)
 
 
-def json_max(c) -> Column:
-    return F.array_max(json_numbers(c))
+def json_sort(c, kind: str = "number") -> Column:
+    """The elements of an array of numbers, or of texts, in order."""
+    return F.array_sort(_json_elements(c, kind))
+
+
+def json_min(c, kind: str = "number") -> Column:
+    return F.array_min(_json_elements(c, kind))
+
+
+def json_max(c, kind: str = "number") -> Column:
+    return F.array_max(_json_elements(c, kind))
 
 
 def json_sum(c) -> Column:

@@ -29,6 +29,7 @@ def statistic(col: str | None, fn: str, opts: Mapping[str, Any] = {}) -> Column:
     c = F.col(col) if col else F.lit(1)
     order = ordering(opts["order"]) if "order" in opts else None
     ddof = opts.get("ddof", 0)
+    there = c.isNotNull() & ~F.isnan(c.cast("double")) if opts.get("float") else c.isNotNull()
 
     def moment(pop: Column, samp: Column) -> Column:
         return pop if ddof == 0 else samp
@@ -55,8 +56,9 @@ def statistic(col: str | None, fn: str, opts: Mapping[str, Any] = {}) -> Column:
         "approx_quantile": lambda: F.percentile_approx(c, F.lit(opts.get("q", 0.5)), F.lit(opts.get("accuracy", 10_000))),
         "nunique": lambda: F.count_distinct(c),
         "approx_nunique": lambda: F.approx_count_distinct(c),
-        "argmin": lambda: F.min_by(F.col(opts["of"]), F.when(c.isNotNull(), F.struct(c, F.col(opts["of"])))),
-        "argmax": lambda: F.min_by(F.col(opts["of"]), F.when(c.isNotNull(), F.struct(-(F.unix_micros(c.cast("timestamp")) if opts.get("time") else c), F.col(opts["of"])))),
+        "argmin": lambda: F.min_by(F.col(opts["of"]), F.when(there, F.struct(c, F.col(opts["of"])))),
+        # Of equal greatest values the smallest ``of`` counts, as for the least ones.
+        "argmax": lambda: F.max_by(F.col(opts["of"]), F.when(there, F.struct(c, -_number(opts["of"], opts.get("of_time"))))),
     }
     if fn not in table:
         raise ValueError(f"aggregate: {fn}")
@@ -68,13 +70,25 @@ def statistic(col: str | None, fn: str, opts: Mapping[str, Any] = {}) -> Column:
     return agg
 
 
+def _number(col: str, time: bool | None) -> Column:
+    return F.unix_micros(F.col(col).cast("timestamp")) if time else F.col(col)
+
+
 EXACT = ("quantile", "median")
+TIMES, FLOATS = ("date", "timestamp", "timestamp_ntz"), ("float", "double")
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, tuple]) -> DataFrame:
     """``{out: (col, fn, opts)}`` per group, or over the whole table without keys."""
-    times = {f.name for f in df.schema if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")}
-    spec = {out: (c, fn, {**(rest[0] if rest else {}), "time": True}) if fn == "argmax" and c in times else (c, fn, *rest) for out, (c, fn, *rest) in spec.items()}
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    late: dict[str, tuple[str, str]] = {}
+    for out, (c, fn, *rest) in list(spec.items()):
+        if fn in ("argmin", "argmax"):
+            opts = {**rest[0], "float": kinds.get(c) in FLOATS, "of_time": kinds.get(rest[0]["of"]) in TIMES}
+            spec = {**spec, out: (c, fn, opts)}
+            if fn == "argmax" and kinds.get(opts["of"]) in ("string", "binary", "boolean"):
+                late[out] = (c, opts["of"])
+    names, spec = list(spec), {out: how for out, how in spec.items() if out not in late}
     plain = [statistic(c, fn, *rest).alias(out) for out, (c, fn, *rest) in spec.items() if fn not in EXACT]
     done = df.groupBy(*keys).agg(*(plain or [F.count(F.lit(1)).alias("__rows")]))
     exact: dict[str, dict[str, tuple[float, str]]] = {}
@@ -84,7 +98,12 @@ def aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, tuple]) ->
             exact.setdefault(col, {})[out] = (0.5 if fn == "median" else opts.get("q", 0.5), opts.get("interpolation", "linear"))
     for col, qs in exact.items():
         done = on_keys(done, quantiles(df, keys, col, qs), keys)
-    return done.select(*keys, *spec)
+    for out, (c, of) in late.items():
+        # What has no opposite: first the smallest of each value, then that of the greatest value.
+        there = F.col(c).isNotNull() & ~F.isnan(c) if kinds[c] in FLOATS else F.col(c).isNotNull()
+        each = df.where(there).groupBy(*keys, F.col(c).alias("__c")).agg(F.min(of).alias("__of"))
+        done = on_keys(done, each.groupBy(*keys).agg(F.max_by("__of", "__c").alias(out)), keys)
+    return done.select(*keys, *names)
 
 
 def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,14 +13,11 @@ Keys = Sequence[str | tuple[str, str]]
 
 
 def sort_columns(df: DataFrame, keys: Keys, nulls: str = "last") -> list[Column]:
-    """Sort expressions; NaN stands with the NULLs whichever way a key runs."""
+    """Sort expressions; NaN stands with the NULLs, and equals them, whichever way a key runs."""
     out = []
     for key in keys:
         name, way = (key, "asc") if isinstance(key, str) else key
-        c = F.col(name)
-        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            missing = c.isNull() | F.isnan(c)
-            out.append(missing.asc() if nulls == "last" else missing.desc())
+        c = present(df, name)
         if nulls == "last":
             out.append(c.asc_nulls_last() if way == "asc" else c.desc_nulls_last())
         else:
@@ -28,6 +25,12 @@ def sort_columns(df: DataFrame, keys: Keys, nulls: str = "last") -> list[Column]
     return out
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column, NULL where it is NaN."""
+    floats = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return F.when(~F.isnan(name), F.col(name)) if floats else F.col(name)
+
+
 def sort(df: DataFrame, keys: Keys, nulls: str = "last") -> DataFrame:
     """Whole-table order by several keys (C82): range partitions, sorted with spill."""
     return df.orderBy(*sort_columns(df, keys, nulls))
@@ -45,25 +48,20 @@ def top_k(df: DataFrame, k: int, keys: Keys, by: Sequence[str] = (), ties: str =
     if not by:
         last = df.orderBy(*order).limit(k)
         names = [key if isinstance(key, str) else key[0] for key in keys]
-        edge = last.select(F.struct(*names).alias("__edge"), *names)
         # The last of the k rows; every row not after it stays.
-        edge = edge.orderBy(*[_flip(key) for key in keys]).limit(1).select("__edge")
-        return df.join(F.broadcast(edge), _not_after(keys), "left_semi")
+        flipped = [(key, "desc") if isinstance(key, str) else (key[0], "asc" if key[1] == "desc" else "desc") for key in keys]
+        edge = last.orderBy(*sort_columns(last, flipped, "first")).limit(1).select(F.struct(*[present(last, n).alias(n) for n in names]).alias("__edge"))
+        return df.join(F.broadcast(edge), _not_after(df, keys), "left_semi")
     window = Window.partitionBy(*by).orderBy(*order)
     place = F.rank() if ties == "all" else F.row_number()
     return df.withColumn("__place", place.over(window)).where(F.col("__place") <= k).drop("__place")
 
 
-def _flip(key: str | tuple[str, str]) -> Column:
-    name, way = (key, "asc") if isinstance(key, str) else key
-    return F.col(name).desc_nulls_first() if way == "asc" else F.col(name).asc_nulls_first()
-
-
-def _not_after(keys: Keys) -> Column:
+def _not_after(df: DataFrame, keys: Keys) -> Column:
     cond: Column | None = None
     for key in reversed(list(keys)):
         name, way = (key, "asc") if isinstance(key, str) else key
-        mine, edge = F.col(name), F.col("__edge")[name]
+        mine, edge = present(df, name), F.col("__edge")[name]
         before = (mine < edge) if way == "asc" else (mine > edge)
         before = before | (mine.isNotNull() & edge.isNull())
         equal = mine.eqNullSafe(edge)

@@ -148,6 +148,17 @@ def extremes(spark: SparkSession, sf: str) -> DataFrame:
     return A.aggregate(table(spark, sf, "events"), ["user_id"], {"at_max": ("value", "argmax", of), "at_min": ("value", "argmin", of)})
 
 
+@query(
+    "c59_row_of_extreme_text",
+    """SELECT c_mktsegment, arg_max(c_custkey, c_name) AS last_name_of, min(c_name) FILTER (WHERE c_acctbal = top) AS richest, arg_min(c_name, c_acctbal) AS poorest
+    FROM (SELECT *, max(c_acctbal) OVER (PARTITION BY c_mktsegment) AS top FROM customer) GROUP BY 1""",
+)
+def text_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """The greatest of a text, and texts reported for the greatest and the least number."""
+    spec = {"last_name_of": ("c_name", "argmax", {"of": "c_custkey"}), "richest": ("c_acctbal", "argmax", {"of": "c_name"}), "poorest": ("c_acctbal", "argmin", {"of": "c_name"})}
+    return A.aggregate(table(spark, sf, "customer"), ["c_mktsegment"], spec)
+
+
 @query(
     "c60_null_skipping_min_count",
     f"""SELECT user_id, round(CASE WHEN count(v) >= 50 THEN sum(v) END, 6) AS enough, CASE WHEN count(v) = count(*) THEN max(v) END AS strict

@@ -125,3 +125,16 @@ def json_paths(spark: SparkSession, sf: str) -> DataFrame:
         r(N.json_sum("numbers"), 4).alias("total"),
         F.get(N.json_sort("numbers"), F.lit(1)).alias("middle"),
     )
+
+
+@query(
+    "c118_json_texts",
+    """SELECT p_partkey, array_to_string(list_sort([p_type, p_name, p_brand]), '|') AS ordered, least(p_type, p_name, p_brand) AS first_text,
+    greatest(p_type, p_name, p_brand) AS last_text FROM part""",
+)
+def json_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays of texts in JSON, put in order."""
+    texts = table(spark, sf, "part").select("p_partkey", F.to_json(F.array("p_type", "p_name", "p_brand")).alias("texts"))
+    return texts.select(
+        "p_partkey", F.array_join(N.json_sort("texts", "text"), "|").alias("ordered"), N.json_min("texts", "text").alias("first_text"), N.json_max("texts", "text").alias("last_text")
+    )

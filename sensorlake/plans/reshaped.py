@@ -30,6 +30,18 @@ def largest_all(spark: SparkSession, sf: str) -> DataFrame:
     return S.top_k(items, 10, [("l_quantity", "desc")], ties="all")
 
 
+@query(
+    "c84_largest_among_nan",
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_linenumber % 3 > 0
+    AND l_quantity >= (SELECT min(l_quantity) FROM (SELECT l_quantity FROM lineitem WHERE l_linenumber % 3 > 0 ORDER BY l_quantity DESC LIMIT 10))""",
+)
+def largest_among_nan(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the quantities is NaN, which is no largest value."""
+    quantity = F.when(F.col("l_linenumber") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity"))
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", quantity.alias("l_quantity"))
+    return S.top_k(items, 10, [("l_quantity", "desc")], ties="all")
+
+
 @query(
     "c84_largest_per_group",
     "SELECT p_brand, p_size, p_partkey FROM (SELECT *, rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS n FROM part) AS p WHERE n <= 3",

@@ -31,7 +31,7 @@ def value(v) -> str:
         return str(v)
     if isinstance(v, float):
         if v != v:
-            return "NULL"
+            return "NaN"
         return f"{v:.6f}" if v != int(v) else f"{v:.6f}"
     if isinstance(v, int):
         return str(v)

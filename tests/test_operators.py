@@ -257,3 +257,27 @@ def test_exact_arithmetic_labels_and_times(spark):
     clock = spark.createDataFrame([("2:30:15PM",), ("0230PM",), ("14:30",), ("143015",), ("2:30 PM",), ("nope",)], "s string")
     assert [r[0] for r in clock.select(times.parse_time("s")).collect()] == [52215, 52200, 52200, 52215, 52200, None]
     assert spark.range(1).select(nested.json_avg(F.lit("[]"))).first()[0] is None
+
+
+def test_extremes_of_text_and_nan(spark):
+    from sensorlake.operators import aggregates, sets
+
+    nan = float("nan")
+    df = spark.createDataFrame([("k", "b", 2, 1.0), ("k", "c", 9, nan), ("k", "c", 4, 3.0), ("k", None, 1, 3.0)], "k string, t string, n int, v double")
+    spec = {"a": ("t", "argmax", {"of": "n"}), "b": ("v", "argmax", {"of": "t"}), "c": ("v", "argmax", {"of": "n"}), "d": ("t", "argmin", {"of": "n"})}
+    assert aggregates.aggregate(df, ["k"], spec).first().asDict() == {"k": "k", "a": 4, "b": "c", "c": 1, "d": 2}
+    assert aggregates.aggregate(df, [], {"b": ("v", "argmax", {"of": "t"})}).first()["b"] == "c"
+    rows = spark.createDataFrame([(1.0,), (2.0,), (nan,), (None,), (2.0,)], "v double")
+    top = [r.v for r in sets.top_k(rows, 1, [("v", "desc")], ties="all").collect()]
+    assert top == [2.0, 2.0]
+    assert [r.v for r in sets.top_k(rows, 2, ["v"], ties="all").collect()].count(2.0) == 2
+    assert sets.top_k(rows, 4, ["v"], ties="all").count() == 5  # NaN and NULL are equals, and last
+
+
+def test_json_texts(spark):
+    from sensorlake.functions import nested
+
+    df = spark.createDataFrame([('["b", "a", "é"]',), ('[3, 1]',), ('["b", 1]',), ('[]',), ('nope',), (None,), ('["b", null]',)], "j string")
+    got = [tuple(r) for r in df.select(nested.json_sort("j", "text"), nested.json_min("j", "text"), nested.json_max("j", "text")).collect()]
+    assert got == [(["a", "b", "é"], "a", "é"), (None, None, None), (None, None, None), ([], None, None), (None, None, None), (None, None, None), (None, None, None)]
+    assert df.select(nested.json_sort("j")).collect()[1][0] == [1.0, 3.0]
