@@ -2,9 +2,10 @@
 
 Identity terms in labelled sentences are swapped for other terms of their group; the fit punishes every change of the score that
 the swap makes, so naming a group does not count as toxic by itself. The model is fitted on at most ``SAMPLE_ROWS`` labelled texts per
-label (chosen by hash, whole texts) and has ``DIMENSIONS`` weights. Every text is scored whole.
+label (chosen by a hash of their ids, whole texts) and has ``DIMENSIONS`` weights. Every text is scored whole.
 
-Defined results: a null or empty text gets the score of no evidence; labels repeated for a document count once (toxic wins); without
+Defined results: a null or empty text gets the score of no evidence; labels repeated for a document count once (toxic wins), as
+do rows with the same id (the least text is learnt from); without
 labelled rows of both kinds every score is 0; repeated rows are scored one by one.
 """
 
@@ -17,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.shared import bounded_sample, fold, table
+from sensorlake.llm.shared import fold, table
 
 DIMENSIONS = 1 << 18
 SAMPLE_ROWS = 10_000
@@ -51,9 +52,15 @@ def slot(word: str) -> int:
 
 
 def distinct_words(text: str | None) -> set[str]:
+    """Words of a whole text, looked for in pieces that end between words."""
     out: set[str] = set()
-    for at in range(0, len(text or ""), CHUNK):
-        out.update(WORDS.findall(text[at : at + CHUNK].lower()))
+    text, at = text or "", 0
+    while at < len(text):
+        end = at + CHUNK
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        out.update(WORDS.findall(text[at:end].lower()))
+        at = end
     return out
 
 
@@ -116,9 +123,26 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
     return Model(w.astype(np.float32), bias)
 
 
-def fit(labelled: DataFrame) -> Model | None:
-    """``labelled``: text and toxic (0 or 1). Features of a bounded sample are computed in tasks and fitted on the driver."""
-    sample = bounded_sample(labelled.filter("toxic is not null").select("text", "toxic"), "toxic", SAMPLE_ROWS, ["text"])
+def chosen(marks: DataFrame) -> DataFrame:
+    """At most ``SAMPLE_ROWS`` (doc_id, toxic) of each label, the same ones on every run: those with the least hashes of their ids.
+
+    A bound on the hash, from the number of labels, leaves a few more than that; only those are ranked.
+    """
+    share = {r["toxic"]: min(1.0, 1.2 * SAMPLE_ROWS / r["count"]) for r in marks.groupBy("toxic").count().collect()}
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    bound = F.lit(0)
+    for label, part in share.items():
+        bound = F.when(F.col("toxic") == label, F.lit(int(part * (1 << 30)))).otherwise(bound)
+    near = marks.where(place < bound).withColumn("place", place)
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy("place", "doc_id"))
+    return near.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).select("doc_id", "toxic")
+
+
+def fit(docs: DataFrame, marks: DataFrame) -> Model | None:
+    """From texts of ``docs`` and ``marks`` (doc_id and toxic, 0 or 1). Features of the sample are computed in tasks and fitted on the driver."""
+    ids = chosen(marks).withColumnRenamed("doc_id", "chosen_id")
+    # At most 2 * SAMPLE_ROWS ids go to where the texts are.
+    sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen_id")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -147,6 +171,6 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marks = table(spark, sf_dir, "labels").filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = fit(docs.join(marks.filter(fold(F.col("doc_id"), 5) != 0), "doc_id").select("text", "toxic"))
+    model = fit(docs, marks.filter(fold(F.col("doc_id"), 5) != 0))
     out = score(docs, model)
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -47,13 +47,15 @@ def odd_dir(spark, odd, tmp_path_factory):
     spark.createDataFrame([(1, None), (2, ""), (3, "a b c")], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
     pages = [(1, None, None), (2, "http://X.org/a", "<p>"), (3, "no scheme", "<p>"), (3, "http://x.com/de/1", ""), (None, "http://casino.x.net", "é")]
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    vectors = [(1, [0.5, 1.0], 0), (2, None, 0), (3, [None, 1.0], 0), (4, [0.5, 1.0], None), (5, [2.0, -1.0], 0), (None, [1.0], 0)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
 @pytest.fixture(scope="module")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
@@ -68,7 +70,9 @@ def test_odd_and_empty_tables(spark, odd_dir, empty_dir, name):
         good = [i for i, t, *_ in ODD if (n := quality_counts(t))[0] >= 50 and 100 * n[4] <= 50 * n[0]]
         assert good == [5, 6, 7, 7] and [r["doc_id"] for r in rows] == [5]
     else:
-        assert len(rows) == (5 if name in ("op2_url_filter", "op10_warc") else len(ODD))
+        # Three vectors of one rank; one item with terms, and two documents that hold them.
+        counts = {"op2_url_filter": 5, "op10_warc": 5, "op11_whitening": 3, "op13_search": 2}
+        assert len(rows) == counts.get(name, len(ODD))
 
 
 # Quality rules
@@ -311,6 +315,24 @@ def test_language_on_held_out(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in test) >= 0.97 * len(test)
 
 
+def test_toxicity_sample_is_bounded_and_the_same(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 200)
+    marks = spark.range(9000).select(F.col("id").alias("doc_id"), (F.col("id") % 9 == 0).cast("int").alias("toxic"))
+    first = toxicity.chosen(marks).collect()
+    assert Counter(r["toxic"] for r in first) == {0: 200, 1: 200}
+    assert {r["doc_id"] for r in first} == {r["doc_id"] for r in toxicity.chosen(marks.repartition(7)).collect()}
+    few = toxicity.chosen(marks.where("doc_id < 100")).collect()
+    assert len(few) == 100
+    # The rows behind one id are learnt from once.
+    docs = spark.createDataFrame([(0, "bad words here")] * 50 + [(i, f"good words {i % 3}") for i in range(1, 9)], "doc_id long, text string")
+    assert toxicity.fit(docs, marks.where("doc_id < 9")) is not None
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 10)
+    assert toxicity.distinct_words("abc defghijklmnop qrs\ttuv  wxyz") == {"abc", "defghijklmnop", "qrs", "tuv", "wxyz"}
+
+
 def test_toxicity_on_held_out(spark):
     marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
     rows = toxicity.op1_toxicity(spark, "/root/testdata/sf0.1").join(marks, "doc_id").filter("held_out").collect()
