@@ -7,13 +7,15 @@ large: no task ever holds the values of a whole group.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorlake.operators.runs import Runs, same
 from sensorlake.operators.windows import value_ranks
+from sensorlake.session import pin
 
 
 def ordering(order: Sequence[str]) -> Column:
@@ -75,6 +77,9 @@ def _number(col: str, time: bool | None) -> Column:
 
 
 EXACT = ("quantile", "median")
+# A sketch is off by at most one row in so many.
+ACCURACY = 10_000
+NUMBERS = ("byte", "short", "integer", "long", "float", "double")
 TIMES, FLOATS = ("date", "timestamp", "timestamp_ntz"), ("float", "double")
 
 
@@ -123,32 +128,21 @@ def quantiles(
     Interpolation is linear, lower, higher, nearest or midpoint.
     """
     keys = list(keys)
+    if not keys and df.schema[col].dataType.typeName() in NUMBERS:
+        return bracketed_quantiles(df, {col: F.col(col)}, qs, interpolation, **kw).drop("column")
+    return _counted_quantiles(df, keys, col, qs, interpolation, **kw)
+
+
+def _counted_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: Mapping[str, float | tuple[float, str]], interpolation: str, **kw) -> DataFrame:
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     runs = Runs(counts, keys, ["__v"], within=df, **kw).cumulative("__n", "sum", "__upto")
     placed = runs.total(F.sum("__n"), ["__n"], "__total").rows()
-
-    def at(index: Column) -> Column:
-        here = (F.col("__upto") - F.col("__n") <= index) & (index < F.col("__upto"))
-        return F.max(F.when(here, F.col("__v")))
-
-    aggs, out = [], []
-    for i, (name, how) in enumerate(qs.items()):
+    out = []
+    for name, how in qs.items():
         q, kind = how if isinstance(how, tuple) else (how, interpolation)
         spot = F.lit(q) * (F.col("__total") - 1)
-        low, high = F.floor(spot), F.ceil(spot)
-        aggs += [at(low).alias(f"__lo{i}"), at(high).alias(f"__hi{i}"), F.max(spot - low).alias(f"__f{i}"), F.max(low).alias(f"__at{i}")]
-        lo, hi, part, spot_low = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}"), F.col(f"__at{i}")
-        value = {
-            "linear": lo + (hi - lo) * part,
-            "lower": lo,
-            "higher": hi,
-            "midpoint": (lo + hi) / 2,
-            # Half-way goes to the even position.
-            "nearest": F.when((part < 0.5) | ((part == 0.5) & (spot_low % 2 == 0)), lo).otherwise(hi),
-        }[kind]
-        # Equal neighbours need no arithmetic, so that infinities stay.
-        out.append(F.when(lo == hi, lo).otherwise(value).alias(name))
-    return placed.groupBy(*keys).agg(*aggs).select(*keys, *out)
+        out.append(_between(spot, F.col("__upto") - F.col("__n"), F.col("__upto"), F.col("__v"), kind).alias(name))
+    return placed.groupBy(*keys).agg(*out)
 
 
 def mode(df: DataFrame, keys: Sequence[str], col: str, n: int = 1) -> DataFrame:
@@ -180,14 +174,97 @@ def long_form(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
     return df.select(*[F.col(c).cast(kind) for c in cols]).unpivot([], list(cols), "column", "value")
 
 
-def describe(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+def bracketed_quantiles(
+    df: DataFrame, values: Mapping[str, Column], qs: Mapping[str, float | tuple[float, str]], interpolation: str = "linear", **kw
+) -> DataFrame:
+    """Exact quantiles of several columns over the whole table (C55, C63): (column, the quantiles), a row per column.
+
+    A sketch of each column brackets every quantile between two values that are a few ten-thousandths of the rows apart. A second
+    scan counts what is below each bracket, a third hands on only what lies inside, counted by value: nothing else is shuffled. A
+    bracket that misses its rank, which the sketch's bound rules out, is worked out without one.
+    """
+    names, slack = list(values), 1.5 / ACCURACY
+    wanted = [how if isinstance(how, tuple) else (how, interpolation) for how in qs.values()]
+    edges = F.array(*[F.lit(min(max(q + way * slack, 0.0), 1.0)) for q, _ in wanted for way in (-1, 1)])
+    sketch = [F.struct(F.count(c).alias("n"), F.percentile_approx(c, edges, F.lit(ACCURACY)).alias("at")).alias(f"c{i}") for i, c in enumerate(values.values())]
+    found = df.agg(*sketch).first()
+    inside, below, brackets = [], [], []
+    for i, c in enumerate(values.values()):
+        n, at = found[f"c{i}"]
+        for j, (q, _) in enumerate(wanted if n else ()):
+            # At the ends a bracket is open: the sketch's least value need not be the least.
+            lo = at[2 * j] if q > slack else None
+            hi = at[2 * j + 1] if q < 1 - slack else None
+            held = c.isNotNull()
+            if lo is not None:
+                held = held & (c >= F.lit(lo))
+            if hi is not None:
+                held = held & (c <= F.lit(hi))
+            inside.append(F.when(held, F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), c.alias("v"))))
+            below.append(F.count_if(c < F.lit(lo)) if lo is not None else F.count_if(F.lit(False)))
+            brackets.append((i, j, n))
+    spark = df.sparkSession
+    if not brackets:
+        kind = df.select(next(iter(values.values())).alias("v")).schema["v"].dataType
+        empty = [F.lit(None).cast("double" if how[1] in ("linear", "midpoint") else kind).alias(out) for out, how in zip(qs, wanted)]
+        return spark.createDataFrame([(n,) for n in names], "column string").select("column", *empty)
+    # Counted by a scan of its own: a count taken on the way would run double when a lost task is run again.
+    under = list(df.agg(*[b.alias(f"b{k}") for k, b in enumerate(below)]).first())
+    kept = df.select(F.explode(F.array_compact(F.array(*inside))).alias("r")).groupBy("r.i", "r.j", "r.v").agg(F.count(F.lit(1)).alias("n"))
+    kept = pin(kept)
+    held = {(r["i"], r["j"]): r["n"] for r in kept.groupBy("i", "j").agg(F.sum("n").alias("n")).collect()}
+    missed = set()
+    targets = []
+    for (i, j, n), low in zip(brackets, under):
+        spot = wanted[j][0] * (n - 1)
+        if not (low <= math.floor(spot) and math.ceil(spot) < low + held.get((i, j), 0)):
+            missed.add(i)
+        targets.append((i, j, spot, low))
+    runs = Runs(kept, ["i", "j"], ["v"], **kw).cumulative("n", "sum", "__upto").rows()
+    spots = spark.createDataFrame([t for t in targets if t[0] not in missed], "ti int, tj int, spot double, under long")
+    rows = runs.join(F.broadcast(spots), (F.col("i") == F.col("ti")) & (F.col("j") == F.col("tj")))
+    start, end = F.col("under") + F.col("__upto") - F.col("n"), F.col("under") + F.col("__upto")
+    made = [_between(F.when(F.col("j") == j, F.col("spot")), start, end, F.col("v"), kind).alias(out) for j, (out, (_, kind)) in enumerate(zip(qs, wanted))]
+    done = rows.groupBy("i").agg(*made)
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
+    out = done.select(label.alias("column"), *qs)
+    for i in sorted(missed):
+        out = out.unionByName(_counted_quantiles(df.select(values[names[i]].alias("v")), [], "v", dict(zip(qs, wanted)), interpolation).withColumn("column", F.lit(names[i])))
+    blank = [n for i, n in enumerate(names) if not found[f"c{i}"][0]]
+    if blank:
+        out = out.unionByName(spark.createDataFrame([(n,) for n in blank], "column string"), allowMissingColumns=True)
+    return out
+
+
+def _between(spot: Column, start: Column, end: Column, value: Column, kind: str) -> Column:
+    """The value at a place between two ranks, from values that hold the ranks [start, end)."""
+    low, high = F.floor(spot), F.ceil(spot)
+    lo = F.max(F.when((start <= low) & (low < end), value))
+    hi = F.max(F.when((start <= high) & (high < end), value))
+    part, at = F.max(spot - low), F.max(low)
+    found = {
+        "linear": lo + (hi - lo) * part,
+        "lower": lo,
+        "higher": hi,
+        "midpoint": (lo + hi) / 2,
+        # Half-way goes to the even position.
+        "nearest": F.when((part < 0.5) | ((part == 0.5) & (at % 2 == 0)), lo).otherwise(hi),
+    }[kind]
+    # Equal neighbours need no arithmetic, so that infinities stay.
+    return F.when(lo == hi, lo).otherwise(found)
+
+
+def _wide(df: DataFrame, values: Mapping[str, Column], stats: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """(column, statistics) from one aggregate over all columns side by side."""
+    made = [F.struct(F.lit(name).alias("column"), *[f(c).alias(out) for out, f in stats.items()]) for name, c in values.items()]
+    return df.agg(F.array(*made).alias("all")).select(F.inline("all"))
+
+
+def describe(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75), **kw) -> DataFrame:
     """Count, mean, std, min, percentiles and max of numeric columns, one row per column."""
-    rows = long_form(df, cols, "double")
-    stats = aggregate(rows, ["column"], {
-        "count": ("value", "count"), "mean": ("value", "mean"), "std": ("value", "std", {"ddof": 1}),
-        "min": ("value", "min"), "max": ("value", "max"),
-    })
-    return on_keys(stats, quantiles(rows, ["column"], "value", _percent_names(percentiles)), ["column"])
+    values = {c: F.col(c).cast("double") for c in cols}
+    stats = _wide(df, values, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
+    return on_keys(stats, bracketed_quantiles(df, values, _percent_names(percentiles), **kw), ["column"])
 
 
 def _percent_names(percentiles: Sequence[float]) -> dict[str, float]:
@@ -203,17 +280,15 @@ def describe_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def describe_times(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+def describe_times(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75), **kw) -> DataFrame:
     """Count, mean, min, percentiles and max of timestamps, to the microsecond."""
     from sensorlake.operators.windows import micros
 
-    numbers = df.select(*[micros(df, c).alias(c) for c in cols])
-    rows = numbers.unpivot([], list(cols), "column", "value")
+    values = {c: micros(df, c) for c in cols}
     # A mean of microseconds needs more digits than a double sum keeps.
-    rows = rows.withColumn("exact", F.col("value").cast("decimal(20,0)"))
-    stats = aggregate(rows, ["column"], {"count": ("value", "count"), "mean": ("exact", "mean"), "min": ("value", "min"), "max": ("value", "max")})
+    stats = _wide(df, values, {"count": F.count, "mean": lambda c: F.avg(c.cast("decimal(20,0)")), "min": F.min, "max": F.max})
     names = _percent_names(percentiles)
-    done = on_keys(stats, quantiles(rows, ["column"], "value", names), ["column"])
+    done = on_keys(stats, bracketed_quantiles(df, values, names, **kw), ["column"])
 
     def as_time(c: str) -> Column:
         return F.timestamp_micros(F.round(F.col(c)).cast("long")).cast("timestamp_ntz").alias(c)

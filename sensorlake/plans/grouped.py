@@ -124,6 +124,16 @@ def interpolations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(A.aggregate(df.where("v IS NOT NULL"), ["user_id"], {n: ("v", "quantile", {"q": 0.3, "interpolation": k}) for n, k in kinds.items()}), 6, "mid")
 
 
+@query(
+    "c55_quantiles_of_table",
+    f"""SELECT round(quantile_cont(v, 0), 6) AS least, round(quantile_cont(v, 0.001), 6) AS low, round(quantile_cont(v, 0.5), 6) AS mid,
+    round(quantile_cont(v, 0.9999), 6) AS high, round(quantile_cont(v, 1), 6) AS most FROM {GAPPY}""",
+)
+def quantiles_of_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Over all rows: what is shuffled lies in the brackets of a sketch."""
+    return rounded(A.quantiles(gappy(spark, sf), [], "v", {"least": 0.0, "low": 0.001, "mid": 0.5, "high": 0.9999, "most": 1.0}))
+
+
 @query("c56_approx_quantiles")
 def approx_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return A.aggregate(table(spark, sf, "events"), ["event_type"], {"p90": ("value", "approx_quantile", {"q": 0.9})})

@@ -1,6 +1,7 @@
 """Edge cases of operators and functions on literal rows."""
 
 import datetime as dt
+import math
 
 import pandas as pd
 import pytest
@@ -281,3 +282,38 @@ def test_json_texts(spark):
     got = [tuple(r) for r in df.select(nested.json_sort("j", "text"), nested.json_min("j", "text"), nested.json_max("j", "text")).collect()]
     assert got == [(["a", "b", "é"], "a", "é"), (None, None, None), (None, None, None), ([], None, None), (None, None, None), (None, None, None), (None, None, None)]
     assert df.select(nested.json_sort("j")).collect()[1][0] == [1.0, 3.0]
+
+
+@pytest.mark.parametrize("kind", ["normal", "ties", "one", "long", "few"])
+def test_bracketed_quantiles_are_exact(spark, kind, monkeypatch):
+    import numpy as np
+
+    from sensorlake.operators import aggregates as A
+
+    monkeypatch.setattr(A, "ACCURACY", 100)  # brackets of a few rows, at this size
+    rng = np.random.default_rng(5)
+    n = 4 if kind == "few" else 5000
+    x = {"normal": rng.normal(size=n), "ties": rng.integers(0, 5, n), "one": np.full(n, 3.0), "long": rng.integers(-(2**62), 2**62, n), "few": np.arange(n)}[kind]
+    whole = kind in ("long", "ties", "few")
+    df = spark.createDataFrame([(int(v) if whole else float(v), None if i % 3 else float(i)) for i, v in enumerate(x)], f"x {'long' if whole else 'double'}, y double")
+    qs = {f"q{i}": (q, k) for i, (q, k) in enumerate((q, k) for q in (0.0, 0.013, 0.5, 0.9, 1.0) for k in ("linear", "lower", "higher", "nearest", "midpoint"))}
+    got = {r["column"]: r for r in A.bracketed_quantiles(df, {"x": F.col("x").cast("double"), "y": F.col("y")}, qs).collect()}
+    y = np.arange(0, n, 3, dtype=float)
+    for col, values in (("x", x.astype(float)), ("y", y)):
+        for out, (q, k) in qs.items():
+            assert got[col][out] == pytest.approx(np.quantile(values, q, method=k), rel=1e-9), (col, out, q, k)
+    exact = A.quantiles(df, [], "x", {"lo": (0.3, "lower"), "hi": (0.3, "higher")}).first()
+    assert (exact["lo"], exact["hi"]) == tuple(np.sort(x)[[math.floor(0.3 * (n - 1)), math.ceil(0.3 * (n - 1))]])
+    # Little more than the brackets is left after the filter.
+    none = A.bracketed_quantiles(df.where("x is null"), {"x": F.col("x")}, {"m": 0.5}).collect()
+    assert [tuple(r) for r in none] == [("x", None)]
+
+
+def test_describe_in_one_pass(spark):
+    from sensorlake.operators import aggregates as A
+
+    df = spark.createDataFrame([(i, None if i % 2 else float(i), None) for i in range(10)], "a int, b double, c double")
+    got = {r["column"]: r.asDict() for r in A.describe(df, ["a", "b", "c"]).collect()}
+    assert got["a"] | {"std": 0} == {"column": "a", "count": 10, "mean": 4.5, "std": 0, "min": 0.0, "max": 9.0, "p25": 2.25, "p50": 4.5, "p75": 6.75}
+    assert got["b"]["p50"] == 4.0 and got["c"]["count"] == 0 and got["c"]["p50"] is None
+    assert "Unpivot" not in A.describe(df, ["a", "b"])._jdf.queryExecution().toString()
