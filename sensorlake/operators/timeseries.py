@@ -22,10 +22,33 @@ def bucket(ts: str, every: str) -> Column:
     return F.window(ts, every)["start"]
 
 
+# Steps of a stretch of the grid; no row ever holds more of them.
+STRETCH = 65_536
+
+
 def spine(df: DataFrame, ts: str, every: str, by: Sequence[str]) -> DataFrame:
-    """Every step from the first to the last of each group."""
-    ends = df.groupBy(*by).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
-    return ends.select(*by, F.explode(F.sequence("__lo", "__hi", step(every))).alias(ts))
+    """Every step from the first to the last of each group.
+
+    Made in two levels: first the stretches of the grid, dealt out over the tasks by group and number, then the steps of each. So
+    neither a row nor a task holds the grid of a long group.
+    """
+    width = int(pd.Timedelta(every).total_seconds() * 1_000_000)
+    kind = df.schema[ts].dataType.simpleString()
+    time = F.col(ts).cast("timestamp_ntz") if kind == "date" else F.col(ts)
+    ends = df.groupBy(*by).agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
+    steps = F.floor((micros(ends, "__hi") - micros(ends, "__lo")) / width).cast("long")
+    stretches = ends.withColumn("__steps", steps).select(*by, "__lo", "__steps", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("__steps") / STRETCH))).alias("__nth"))
+    tasks = df.sparkSession.sparkContext.defaultParallelism * 4
+    dealt = stretches.repartition(tasks, *by, "__nth")
+    first = F.col("__nth") * STRETCH
+    last = F.least(first + (STRETCH - 1), F.col("__steps"))
+    at = F.explode(F.sequence(first, last)).alias("__at")
+    # Microseconds are counted from the first step, whole, so no step drifts.
+    grid = dealt.select(*by, "__lo", at)
+    moved = F.col("__at") * width
+    days, rest = F.floor(moved / 86_400_000_000).cast("int"), F.pmod(moved, F.lit(86_400_000_000))
+    shift = F.make_dt_interval(days=days, secs=(rest / 1_000_000).cast("decimal(18,6)"))
+    return grid.select(*by, (F.col("__lo") + shift).cast(kind).alias(ts))
 
 
 def resample(df: DataFrame, ts: str, every: str, by: Sequence[str], aggs: Mapping[str, tuple], fill: str | None = None, **kw) -> DataFrame:

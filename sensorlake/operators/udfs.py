@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from sensorlake.operators.runs import Runs
 
 
 def register(spark: SparkSession, name: str, fn: Callable, kind: str = "scalar", returns: str | T.DataType = "double"):
     """Make ``fn`` callable from SQL (C124-C126).
 
-    ``scalar`` takes and returns pandas Series; ``agg`` takes Series and returns a number; ``table``
-    is a class with an ``eval`` that yields rows of the type ``returns``.
+    ``scalar`` takes and returns pandas Series; ``agg`` takes Series, a whole group in one worker, and returns
+    a number (``group_aggregate`` is for groups of any size); ``table`` is a class with an ``eval`` that yields rows of the type ``returns``.
     """
     if kind == "table":
         made = F.udtf(fn, returnType=returns)
@@ -94,6 +99,100 @@ def group_combine(
     return df.mapInPandas(shrink, schema).groupBy(*by).applyInPandas(finish, schema)
 
 
+class Aggregate:
+    """An aggregate of the user in three steps (C125), for groups of any size.
+
+    ``partial`` makes a state, a dict of plain values as ``state`` declares, from an Arrow table of some of a group's rows;
+    ``merge`` makes one state of two, in any order; ``finish`` makes the result, of type ``returns``, from the last state.
+    """
+
+    def __init__(self, partial: Callable, merge: Callable, finish: Callable, state: str, returns: str = "double"):
+        self.partial, self.merge, self.finish, self.state, self.returns = partial, merge, finish, state, returns
+
+    def fold(self, states: Iterable[dict]) -> dict:
+        return reduce(self.merge, states)
+
+    def check(self, table: pa.Table) -> None:
+        """Raises unless the parts of ``table`` give one result however they are merged."""
+        cuts = sorted({0, table.num_rows // 3, 2 * table.num_rows // 3, table.num_rows})
+        parts = [self.partial(table.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])]
+        if len(parts) < 3:
+            return
+        a, b, c = parts
+        m = self.merge
+        ways = [m(m(a, b), c), m(a, m(b, c)), m(m(c, a), b), m(c, m(b, a)), self.partial(table)]
+        first, *others = [self.finish(w) for w in ways]
+        if not all(_alike(first, x) for x in others):
+            raise ValueError(f"merge depends on how a group is cut: {first} and {others}")
+
+
+def _alike(a, b) -> bool:
+    if isinstance(a, float) and isinstance(b, float):
+        return math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12) or (a != a and b != b)
+    if isinstance(a, (list, tuple)) and isinstance(b, (list, tuple)):
+        return len(a) == len(b) and all(map(_alike, a, b))
+    return a == b
+
+
+def group_aggregate(df: DataFrame, by: Sequence[str], cols: Sequence[str], aggs: dict[str, Aggregate], salts: int = 64, held: int = 100_000) -> DataFrame:
+    """(by, ``{out: Aggregate}``) over ``cols`` (C125).
+
+    Tasks make partial states of the rows where they lie, one per group and batch, merged in the task. The states of a group are merged
+    by ``salts`` tasks and then by one: a group with all rows of the table is worked on by every task that reads it.
+    Every task first checks on rows of its own that merging does not depend on the cuts.
+    """
+    by, cols = list(by), list(cols)
+    keys = [df.schema[c] for c in by]
+    state = T.StructType([T.StructField(out, T.StructType.fromDDL(a.state)) for out, a in aggs.items()])
+    arrow = pa.schema([to_arrow_schema(T.StructType([f])).field(0) for f in (*keys, *state.fields)])
+    fields = T.StructType([*keys, *state.fields])
+
+    def table_of(groups: dict[tuple, dict[str, dict]]) -> pa.RecordBatch:
+        rows = [dict(zip(by, key)) | states for key, states in groups.items()]
+        return pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple, dict[str, dict]] = {}
+        checked = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if not checked and batch.num_rows >= 3:
+                for a in aggs.values():
+                    a.check(table.select(cols).slice(0, 3000))
+                checked = True
+            places = table.select(by).append_column("__i", pa.array(range(table.num_rows)))
+            for group in places.group_by(by).aggregate([("__i", "list")]).to_pylist():
+                key = tuple(group[c] for c in by)
+                part = table.select(cols).take(pa.array(group["__i_list"]))
+                new = {out: a.partial(part) for out, a in aggs.items()}
+                old = found.get(key)
+                found[key] = new if old is None else {out: a.merge(old[out], new[out]) for out, a in aggs.items()}
+            if len(found) > held:
+                yield table_of(found)
+                found = {}
+        if found:
+            yield table_of(found)
+
+    def merged(table: pa.Table) -> pa.Table:
+        states = table.to_pylist()
+        key = tuple(states[0][c] for c in by)
+        return pa.Table.from_batches([table_of({key: {out: a.fold(s[out] for s in states) for out, a in aggs.items()}})])
+
+    def finished(table: pa.Table) -> pa.Table:
+        row = merged(table).to_pylist()[0]
+        out = {c: row[c] for c in by} | {name: a.finish(row[name]) for name, a in aggs.items()}
+        return pa.Table.from_pylist([out], schema=results)
+
+    result = T.StructType([*keys, *[T.StructField(out, T._parse_datatype_string(a.returns)) for out, a in aggs.items()]])
+    results = to_arrow_schema(result)
+    states = df.select(*by, *[c for c in cols if c not in by]).mapInArrow(partial, fields)
+    salted = states.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    halves = salted.groupBy(*by, "__salt").applyInArrow(lambda t: merged(t.drop(["__salt"])), fields)
+    return halves.groupBy(*by).applyInArrow(lambda t: finished(t), result)
+
+
 def group_transform(df: DataFrame, by: Sequence[str], out: str, agg: Column) -> DataFrame:
     """An aggregate of its group on every row (C127), joined back so that a large group stays spread."""
     from sensorlake.operators.aggregates import on_keys

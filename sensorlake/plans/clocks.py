@@ -162,7 +162,7 @@ def resampled_filled(spark: SparkSession, sf: str) -> DataFrame:
     return Z.resample(table(spark, sf, "events"), "ts", "6 hours", ["user_id"], {"n": ("value", "count")}, fill="forward")
 
 
-DAYS = "(SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS ts, max(value) AS top FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2)"
+DAYS = "(SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS ts, max(value) AS top FROM events GROUP BY 1, 2)"
 
 
 @query(
@@ -172,8 +172,7 @@ DAYS = "(SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS ts, max(value) AS t
     WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)""",
 )
 def as_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").where("event_id % 3 = 0")
-    days = e.groupBy("user_id", F.col("ts").cast("date").cast("timestamp_ntz").alias("ts")).agg(F.max("value").alias("top"))
+    days = table(spark, sf, "events").groupBy("user_id", F.col("ts").cast("date").cast("timestamp_ntz").alias("ts")).agg(F.max("value").alias("top"))
     return Z.as_freq(days, "ts", "12 hours", ["user_id"], fill="forward")
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorlake.operators import udfs as U
@@ -30,6 +33,37 @@ def aggregate_function(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(f"SELECT user_id, event_type, round({name}(value), 6) AS spread FROM {{e}} GROUP BY 1, 2", e=table(spark, sf, "events"))
 
 
+@query(
+    "c125_aggregate_in_parts",
+    """SELECT event_type, round(exp(avg(ln(value + 1))), 6) AS geometric, round(max(value) - min(value), 6) AS spread, count(value) AS n FROM events GROUP BY 1""",
+)
+def aggregate_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Functions of the user over groups that no worker ever holds."""
+
+    def logs(table: pa.Table) -> dict:
+        v = table["value"].drop_null().to_numpy()
+        return {"total": float(np.log1p(v).sum()), "n": len(v)}
+
+    def ends(table: pa.Table) -> dict:
+        v = table["value"].drop_null().to_numpy()
+        return {"lo": float(v.min()), "hi": float(v.max())} if len(v) else {"lo": None, "hi": None}
+
+    def wider(a: dict, b: dict) -> dict:
+        both = [x for x in (a, b) if x["lo"] is not None]
+        return {"lo": min(x["lo"] for x in both), "hi": max(x["hi"] for x in both)} if both else a
+
+    def added(a: dict, b: dict) -> dict:
+        return {k: a[k] + b[k] for k in a}
+
+    aggs = {
+        "geometric": U.Aggregate(logs, added, lambda s: math.exp(s["total"] / s["n"]) if s["n"] else None, "total double, n long"),
+        "spread": U.Aggregate(ends, wider, lambda s: None if s["lo"] is None else s["hi"] - s["lo"], "lo double, hi double"),
+        "n": U.Aggregate(logs, added, lambda s: s["n"], "total double, n long", "long"),
+    }
+    out = U.group_aggregate(table(spark, sf, "events"), ["event_type"], ["value"], aggs)
+    return out.select("event_type", r("geometric").alias("geometric"), r("spread").alias("spread"), "n")
+
+
 class Words:
     def eval(self, text: str):
         for i, word in enumerate(text.split()):

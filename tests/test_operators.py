@@ -5,6 +5,7 @@ import math
 
 import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F, types as T
 
 from sensorlake.functions import strings as X, times as C
@@ -317,3 +318,55 @@ def test_describe_in_one_pass(spark):
     assert got["a"] | {"std": 0} == {"column": "a", "count": 10, "mean": 4.5, "std": 0, "min": 0.0, "max": 9.0, "p25": 2.25, "p50": 4.5, "p75": 6.75}
     assert got["b"]["p50"] == 4.0 and got["c"]["count"] == 0 and got["c"]["p50"] is None
     assert "Unpivot" not in A.describe(df, ["a", "b"])._jdf.queryExecution().toString()
+
+
+def test_spine_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(Z, "STRETCH", 7)
+    t = dt.datetime(2024, 2, 28, 23, 59, 59, 250_000)
+    rows = [("a", t), ("a", t + dt.timedelta(seconds=100.7)), ("b", t), (None, t + dt.timedelta(days=3)), (None, t), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+    got = Z.spine(df, "t", "900 milliseconds", ["k"]).collect()
+    want = {("a", t + dt.timedelta(seconds=0.9 * i)) for i in range(112)} | {("b", t)} | {(None, t + dt.timedelta(seconds=0.9 * i)) for i in range(288_001)}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    days = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 5),)], "d date")
+    assert sorted(r.d.day for r in Z.spine(days, "d", "1 day", []).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_twenty_four_years_by_the_second(spark):
+    # 757 million steps of one group: no row and no task holds them.
+    ends = spark.createDataFrame([(dt.datetime(2000, 1, 1),), (dt.datetime(2024, 1, 1),)], "t timestamp_ntz")
+    n, last = Z.spine(ends, "t", "1 second", []).agg(F.count(F.lit(1)), F.max("t")).first()
+    assert (n, last) == (24 * 365 * 86400 + 6 * 86400 + 1, dt.datetime(2024, 1, 1))
+
+
+def test_aggregate_in_parts(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    def part(table: pa.Table) -> dict:
+        v = table["v"].drop_null().to_numpy()
+        return {"n": len(v), "s": float(v.sum()), "tasks": [f"{len(v)}"]}
+
+    def merge(a: dict, b: dict) -> dict:
+        return {"n": a["n"] + b["n"], "s": a["s"] + b["s"], "tasks": sorted(a["tasks"] + b["tasks"])}
+
+    mean = U.Aggregate(part, merge, lambda s: s["s"] / s["n"] if s["n"] else None, "n long, s double, tasks array<string>")
+    parts = U.Aggregate(part, merge, lambda s: s["n"], "n long, s double, tasks array<string>", "long")
+    rows = [("hot" if i % 50 else None, None if i % 7 == 0 else float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(16)
+    got = {r.k: (r.mean, r.n) for r in U.group_aggregate(df, ["k"], ["v"], {"mean": mean, "n": parts}, salts=3).collect()}
+    for k in ("hot", None):
+        v = [x for key, x in rows if key == k and x is not None]
+        assert got[k] == (pytest.approx(np.mean(v)), len(v))
+    # A key with all rows is worked on in many tasks: every part of the table makes a state of its own.
+    by_task = lambda t: {"tasks": [str(TaskContext.get().partitionId())]}
+    found = U.Aggregate(by_task, lambda a, b: {"tasks": sorted({*a["tasks"], *b["tasks"]})}, lambda s: len(s["tasks"]), "tasks array<string>", "int")
+    assert U.group_aggregate(df.withColumn("k", F.lit("x")), ["k"], ["v"], {"tasks": found}).first()["tasks"] == 16
+    assert U.group_aggregate(df.limit(0), ["k"], ["v"], {"mean": mean}).collect() == []
+
+
+def test_merge_that_depends_on_the_cuts_is_refused(spark):
+    halves = U.Aggregate(lambda t: {"m": t["v"].to_numpy().mean()}, lambda a, b: {"m": (a["m"] + b["m"]) / 2}, lambda s: s["m"], "m double")
+    df = spark.createDataFrame([("x", float(i * i)) for i in range(100)], "k string, v double").coalesce(1)
+    with pytest.raises(Exception, match="merge depends on how a group is cut"):
+        U.group_aggregate(df, ["k"], ["v"], {"m": halves}).collect()
