@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sensorlake.operators.aggregates import on_keys
 from sensorlake.operators.runs import Runs
+from sensorlake.session import pin
 
 Keys = Sequence[str | tuple[str, str]]
 
@@ -36,17 +38,23 @@ def sort(df: DataFrame, keys: Keys, nulls: str = "last") -> DataFrame:
     return df.orderBy(*sort_columns(df, keys, nulls))
 
 
-def top_k(df: DataFrame, k: int, keys: Keys, by: Sequence[str] = (), ties: str = "first") -> DataFrame:
+# So many rows one task may put in order; beyond that the k-th row is found by sampled ranks.
+ONE_TASK = 100_000
+SAMPLE = 20_000
+
+
+def top_k(df: DataFrame, k: int, keys: Keys, by: Sequence[str] = (), ties: str = "first", one_task: int = ONE_TASK) -> DataFrame:
     """The first ``k`` rows in key order, overall or per group.
 
     ``ties="all"`` keeps every row equal to the last one kept. A bound on the rank lets each task
-    drop all but its own best rows before the shuffle.
+    drop all but its own best rows before the shuffle; for a ``k`` above ``one_task`` see ``smallest``.
     """
     order = sort_columns(df, keys)
-    if not by and ties == "first":
-        return df.orderBy(*order).limit(k)
     if not by:
-        last = df.orderBy(*order).limit(k)
+        large = k > one_task
+        last = smallest(df, k, keys, one_task) if large else df.orderBy(*order).limit(k)
+        if ties == "first":
+            return last.orderBy(*order) if large else last
         names = [key if isinstance(key, str) else key[0] for key in keys]
         # The last of the k rows; every row not after it stays.
         flipped = [(key, "desc") if isinstance(key, str) else (key[0], "asc" if key[1] == "desc" else "desc") for key in keys]
@@ -57,11 +65,52 @@ def top_k(df: DataFrame, k: int, keys: Keys, by: Sequence[str] = (), ties: str =
     return df.withColumn("__place", place.over(window)).where(F.col("__place") <= k).drop("__place")
 
 
-def _not_after(df: DataFrame, keys: Keys) -> Column:
+def smallest(df: DataFrame, k: int, keys: Keys, one_task: int = ONE_TASK) -> DataFrame:
+    """The first ``k`` rows in key order, in no order, for any ``k``.
+
+    Ranks in a sample of bounded size give two rows between which the k-th lies. One scan counts the rows up to each; those up to the
+    first are in, those after the second are out, and the same is done with what lies between until one task can put it
+    in order. Every step is a filter: no task holds ``k`` rows. Rows with equal keys are told apart by a hash of the
+    whole row; of rows that are equal in full any may stand for the others.
+    """
+    hashed = df.withColumn("__tie", F.xxhash64(*df.columns))
+    return _smallest(hashed, k, [*keys, "__tie"], one_task, hashed.count()).drop("__tie")
+
+
+def _smallest(df: DataFrame, k: int, keys: Keys, one_task: int, rows: int) -> DataFrame:
+    order = sort_columns(df, keys)
+    if k >= rows:
+        return df
+    if rows <= one_task:
+        return df.orderBy(*order).limit(k)
+    rate = min(1.0, SAMPLE / rows)
+    middle, spread = rate * k, 4 * math.sqrt(rate * k) + 4
+    places = [math.floor(middle - spread), math.ceil(middle + spread)]
+    names = [key if isinstance(key, str) else key[0] for key in keys]
+    drawn = (df.sample(rate, seed=3) if rate < 1 else df).select(*[present(df, n).alias(n) for n in names])
+    ranked = drawn.withColumn("__n", F.row_number().over(Window.orderBy(*sort_columns(drawn, keys)))).where(F.col("__n").isin(places)).collect()
+    edges = {r["__n"]: F.struct(*[F.lit(r[n]).cast(drawn.schema[n].dataType).alias(n) for n in names]) for r in ranked}
+    low, high = ((_not_after(df, keys, edges[p]) if p in edges else None) for p in places)
+    counts = df.agg(F.count_if(F.lit(False) if low is None else low), F.count_if(F.lit(True) if high is None else high)).first()
+    # Should the sample mislead, that side of the bracket is left open.
+    n_low, n_high = counts
+    if n_low > k:
+        low, n_low = None, 0
+    if n_high < k:
+        high, n_high = None, rows
+    between = df if low is None else df.where(~low)
+    between = between if high is None else between.where(high)
+    left = n_high - n_low
+    # Rows that are all equal do not part any further.
+    rest = between.limit(k - n_low) if left == rows else _smallest(between, k - n_low, keys, one_task, left)
+    return rest if low is None else df.where(low).unionByName(rest)
+
+
+def _not_after(df: DataFrame, keys: Keys, edge_row: Column | None = None) -> Column:
     cond: Column | None = None
     for key in reversed(list(keys)):
         name, way = (key, "asc") if isinstance(key, str) else key
-        mine, edge = present(df, name), F.col("__edge")[name]
+        mine, edge = present(df, name), (F.col("__edge") if edge_row is None else edge_row)[name]
         before = (mine < edge) if way == "asc" else (mine > edge)
         before = before | (mine.isNotNull() & edge.isNull())
         equal = mine.eqNullSafe(edge)
@@ -81,21 +130,35 @@ def tail(df: DataFrame, n: int, order: Keys) -> DataFrame:
 
 
 def sample(
-    df: DataFrame, fraction: float | None = None, n: int | None = None, weights: str | None = None, seed: int = 0
-) -> DataFrame:
-    """Random rows (C86): a fraction, or exactly ``n``, by weight if given (zero weight: never)."""
+    df: DataFrame, fraction: float | None = None, n: int | None = None, weights: str | None = None, seed: int = 0, key: Sequence[str] = (),
+    one_task: int = ONE_TASK,
+) -> DataFrame:
+    """Random rows (C86): a fraction, or exactly ``n``, by weight if given (zero weight: never).
+
+    With ``key``, columns that tell rows apart, the draw of a row depends on them and on the seed only: the same rows are
+    drawn however the table is laid out.
+    """
     if (fraction is None) == (n is None):
         raise ValueError("give fraction or n")
-    if fraction is not None and weights is None:
+    if fraction is not None and weights is None and not key:
         return df.sample(fraction=fraction, seed=seed)
-    draw = F.rand(seed)
+    draw = uniform(key, seed) if key else 1 - F.rand(seed)
     if weights is not None:
         # Smallest exponential waiting times, a row's rate being its weight.
         df = df.where(F.col(weights) > 0)
-        draw = -F.log(1 - draw) / F.col(weights)
+        draw = -F.log(draw) / F.col(weights)
     if n is None:
         n = round(fraction * df.count())
-    return df.withColumn("__draw", draw).orderBy("__draw").limit(n).drop("__draw")
+    drawn = df.withColumn("__draw", draw)
+    if n > one_task and not key:
+        drawn = pin(drawn)  # several scans must see the same draws
+    return top_k(drawn, n, ["__draw"], one_task=one_task).drop("__draw")
+
+
+def uniform(key: Sequence[str], seed: int) -> Column:
+    """A number in (0, 1) from 52 bits of a digest of the seed and the key."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    return (F.conv(F.substr(digest, F.lit(1), F.lit(13)), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
 def random_column(df: DataFrame, name: str = "random", seed: int = 0) -> DataFrame:

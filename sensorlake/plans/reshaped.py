@@ -68,6 +68,32 @@ def sample_weighted(spark: SparkSession, sf: str) -> DataFrame:
     return drawn.agg(F.count(F.lit(1)).alias("n"), (F.min("c_acctbal") > 0).alias("positive"))
 
 
+DRAW = "((CAST('0x' || substr(md5('7|' || CAST({0} AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496)"
+
+
+@query(
+    "c86_sample_weighted_by_key",
+    f"SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0 ORDER BY -ln({DRAW.format('c_custkey')}) / c_acctbal LIMIT 60",
+)
+def sample_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Who is drawn by weight follows from seed and key."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return S.sample(customers, n=60, weights="c_acctbal", seed=7, key=["c_custkey"])
+
+
+@query("c86_sample_large", f"SELECT event_id FROM events ORDER BY {DRAW.format('event_id')} LIMIT (SELECT CAST(round(0.4 * count(*)) AS BIGINT) FROM events)")
+def sample_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Two fifths of the rows, exactly, without bringing them to one task."""
+    return S.sample(table(spark, sf, "events").select("event_id"), fraction=0.4, seed=7, key=["event_id"], one_task=100)
+
+
+@query("c83_large_k", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 2500")
+def large_k(spark: SparkSession, sf: str) -> DataFrame:
+    """More rows than one task shall hold (set low here): the cut is found by sampled ranks."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return S.top_k(items, 2500, [("l_extendedprice", "desc"), "l_orderkey", "l_linenumber"], one_task=500)
+
+
 @query("c87_random_column", "SELECT count(*) AS n, true AS inside FROM events")
 def random_column(spark: SparkSession, sf: str) -> DataFrame:
     rows = S.random_column(table(spark, sf, "events"), "u", seed=5)

@@ -370,3 +370,37 @@ def test_merge_that_depends_on_the_cuts_is_refused(spark):
     df = spark.createDataFrame([("x", float(i * i)) for i in range(100)], "k string, v double").coalesce(1)
     with pytest.raises(Exception, match="merge depends on how a group is cut"):
         U.group_aggregate(df, ["k"], ["v"], {"m": halves}).collect()
+
+
+@pytest.mark.parametrize("k", [1, 700, 2999, 3000, 5000])
+def test_large_k(spark, k, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(S, "SAMPLE", 300)
+    rng = np.random.default_rng(3)
+    x = [None if i % 40 == 0 else float("nan") if i % 41 == 0 else float(v) for i, v in enumerate(rng.integers(0, 60, 3000))]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x double")
+    for way in ("asc", "desc"):
+        sign = 1 if way == "asc" else -1
+        order = sorted(range(3000), key=lambda i: (x[i] is None or x[i] != x[i], 0 if x[i] is None or x[i] != x[i] else sign * x[i], i))
+        got = [r.i for r in S.top_k(df, k, [("x", way), "i"], one_task=50).collect()]
+        assert got == order[:k]
+    ties = S.top_k(df, k, ["x"], ties="all", one_task=50).count()
+    edge = x[sorted(range(3000), key=lambda i: (x[i] is None or x[i] != x[i], x[i] if x[i] is not None and x[i] == x[i] else 0))[min(k, 3000) - 1]]
+    missing = edge is None or edge != edge
+    assert ties == (3000 if missing else sum(v is not None and v == v and v <= edge for v in x))
+
+
+def test_large_k_of_equal_rows(spark):
+    df = spark.range(2000).select(F.lit(1).alias("x"))
+    assert S.smallest(df, 900, ["x"], one_task=50).count() == 900
+
+
+def test_weights_decide_how_often_a_row_is_drawn(spark):
+    df = spark.createDataFrame([(i, float(1 + 9 * (i % 2))) for i in range(4000)], "i int, w double")
+    drawn = S.sample(df, n=400, weights="w", seed=5, key=["i"], one_task=100)
+    heavy = drawn.where("w = 10").count()
+    assert drawn.count() == 400 and 330 < heavy < 395  # ten times the weight: about 364 of 400
+    again = S.sample(df.repartition(7), n=400, weights="w", seed=5, key=["i"], one_task=100)
+    assert {r.i for r in again.collect()} == {r.i for r in drawn.collect()}
+    assert S.sample(df, n=150, seed=1, one_task=100).count() == 150
