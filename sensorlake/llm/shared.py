@@ -22,6 +22,30 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Steps of a job in the shared scratch folder, each removed once what needs it has been written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, df: DataFrame, label: str, *done: DataFrame | None) -> DataFrame:
+        """``kept``; then the steps ``done`` go."""
+        path = scratch_dir(self.spark, label)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        self.drop(*done)
+        return out
+
+    def drop(self, *done: DataFrame | None) -> None:
+        for df in done:
+            _, path = self.paths.pop(id(df), (None, None))
+            if path is not None:
+                where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -239,6 +240,58 @@ def test_near_duplicates_against_all_pairs(spark, documents):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == classes(rows, 4, 80)
 
 
+def test_prefix_join_loses_no_link(spark, monkeypatch):
+    # No centre rounds: everything comes from the join; then a bucket of many classes and one of no links.
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(150):
+        words = list(base[: rng.choice([60, 80, 100])])
+        for k in rng.sample(range(len(words)), rng.choice([0, 1, 2, 5])):
+            words[k] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    for centres in ((), (1,), near_duplicates.CENTRES):
+        monkeypatch.setattr(near_duplicates, "CENTRES", centres)
+        got = near_duplicates.near_duplicates(df, width=2)
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == classes(rows, 2, 80)
+    sets = [(i, near_duplicates.shingle_set(t.encode(), 2, near_duplicates.WordHashes()).view("int64").tolist()) for i, t in rows]
+    held = spark.createDataFrame([(i, len(s), s) for i, s in sets], "node bigint, n_shingles bigint, shingles array<bigint>")
+    own = spark.createDataFrame([(i, i) for i, _ in sets], "node bigint, comp bigint")
+    for percent in (50, 80, 95):
+        pairs = near_duplicates.similar_nodes(own, held, percent)
+        found = {(r["a"], r["b"]) for r in near_duplicates.confirmed(pairs, held, percent).collect()}
+        want = {(i, j) for i, a in sets for j, b in sets if i < j and 100 * len(set(a) & set(b)) >= percent * len(set(a) | set(b))}
+        # Equal sets are one node before the join is made.
+        assert found == want
+
+
+def test_steps_are_removed(spark, tmp_path):
+    from sensorlake.llm.shared import Scratch
+
+    scratch = Scratch(spark)
+    first = scratch.keep(spark.range(5), "first")
+    second = scratch.keep(first.withColumn("x", F.col("id") + 1), "second", first)
+    assert second.count() == 5 and first.inputFiles() and len(scratch.paths) == 1
+    with pytest.raises(Exception):
+        spark.read.parquet(*[f.rsplit("/", 1)[0] for f in first.inputFiles()]).count()
+
+
+def test_rows_with_nulls_in_other_places_are_two(spark, tmp_path):
+    rows = [(1, None, COPY), (1, COPY, None), (2, None, COPY), (3, "a", COPY + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").withColumns({"name": F.lit("n"), "row": F.lit("r"), "__key": F.lit("k")})
+    got = near_duplicates.stage_near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert sorted(map(str, [tuple(r)[:3] for r in got.collect()])) == sorted(map(str, rows[:2]))
+    assert {tuple(r)[3:] for r in got.collect()} == {("n", "r", "k")}
+
+
+def test_ids_of_text(spark):
+    rows = [("b", COPY), ("a", COPY), ("c", COPY + " more"), (None, COPY), ("d", None)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect() if r["doc_id"]) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d")]
+
+
 def test_stages_decide_by_row(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string"
     passage = "one two three four five six seven eight nine ten eleven twelve"
