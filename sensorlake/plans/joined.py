@@ -7,17 +7,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorlake.operators import joins as J
 from sensorlake.plans.registry import query, table
 
-# Two sides with keys the other has not.
-ORDERS = "(SELECT o_orderkey, o_custkey AS k, o_totalprice AS amount FROM orders WHERE o_custkey % 5 > 0) AS o"
-CUSTOMERS = "(SELECT c_custkey AS k, c_name, c_acctbal AS amount FROM customer WHERE c_custkey % 7 > 0) AS c"
+# Two sides, whole tables, with keys the other has not: some are moved out of its range.
+ORDERS = "(SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS k, o_totalprice AS amount FROM orders) AS o"
+CUSTOMERS = "(SELECT CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 10000000000 ELSE c_custkey END AS k, c_name, c_acctbal AS amount FROM customer) AS c"
 
 
 def orders(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").where("o_custkey % 5 > 0").selectExpr("o_orderkey", "o_custkey AS k", "o_totalprice AS amount")
+    k = "CASE WHEN o_custkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS k"
+    return table(spark, sf, "orders").selectExpr("o_orderkey", k, "o_totalprice AS amount")
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").where("c_custkey % 7 > 0").selectExpr("c_custkey AS k", "c_name", "c_acctbal AS amount")
+    k = "CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 10000000000 ELSE c_custkey END AS k"
+    return table(spark, sf, "customer").selectExpr(k, "c_name", "c_acctbal AS amount")
 
 
 def outer(kind: str) -> str:
@@ -143,17 +145,18 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
     return J.ordered_merge(per_day("click"), per_day("error"), "day", ["user_id"], fill="forward")
 
 
-# Two versions of the customer table: the second lacks some keys and has changed or no balances.
-OLD = "(SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 4 > 0) AS a"
-NEW = """(SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
-c_mktsegment FROM customer WHERE c_custkey % 6 > 0) AS b"""
+# Two versions of the customer table, each with keys of its own; the second has changed balances, or none.
+OLD = "(SELECT CASE WHEN c_custkey % 4 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_acctbal, c_mktsegment FROM customer) AS a"
+NEW = """(SELECT CASE WHEN c_custkey % 6 = 0 THEN c_custkey + 10000000000 ELSE c_custkey END AS c_custkey,
+CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer) AS b"""
 
 
 def versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     k = F.col("c_custkey")
     balance = F.when(k % 3 == 0, None).when(k % 3 == 1, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
-    return c.where(k % 4 > 0), c.where(k % 6 > 0).withColumn("c_acctbal", balance)
+    old = c.withColumn("c_custkey", F.when(k % 4 == 0, -k).otherwise(k))
+    return old, c.withColumns({"c_custkey": F.when(k % 6 == 0, k + 10_000_000_000).otherwise(k), "c_acctbal": balance})
 
 
 @query(

@@ -101,10 +101,12 @@ def window_functions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile(s: DataFrame) -> DataFrame:
-    return s.where("activity = 'click' AND id <> '3'").groupBy("id").agg(F.avg("accel_x").alias("usual"))
+    # All readings; one device goes by another name, so that a key is on either side alone.
+    named = F.when(F.col("id") == "3", "three").otherwise(F.col("id")).alias("id")
+    return s.groupBy(named).agg(F.avg("accel_x").alias("usual"))
 
 
-PROFILE = f"(SELECT id, avg(accel_x) AS usual FROM {SENSORS} WHERE activity = 'click' AND id <> '3' GROUP BY id) AS p"
+PROFILE = f"(SELECT CASE WHEN id = '3' THEN 'three' ELSE id END AS id, avg(accel_x) AS usual FROM {SENSORS} GROUP BY 1) AS p"
 
 
 @query("b08_join_inner", f'SELECT s.id, s."timestamp", round(accel_x - usual, 6) AS above FROM {SENSORS} JOIN {PROFILE} ON s.id = p.id')

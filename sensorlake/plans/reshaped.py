@@ -176,12 +176,14 @@ def grouped_reshape(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "c92_stack_unstack",
-    """SELECT user_id, max(total) FILTER (WHERE event_type = 'click') AS click, max(total) FILTER (WHERE event_type = 'view') AS view
+    """SELECT user_id, max(total) FILTER (WHERE event_type = 'click') AS click, max(total) FILTER (WHERE event_type = 'error') AS error,
+    max(total) FILTER (WHERE event_type = 'purchase') AS purchase, max(total) FILTER (WHERE event_type = 'signup') AS signup,
+    max(total) FILTER (WHERE event_type = 'view') AS view
     FROM (SELECT user_id, event_type, round(sum(value), 4) AS total FROM events GROUP BY 1, 2) AS t GROUP BY 1""",
 )
 def unstacked(spark: SparkSession, sf: str) -> DataFrame:
     totals = table(spark, sf, "events").groupBy("user_id", "event_type").agg(r(F.sum("value"), 4).alias("total"))
-    return H.unstack(totals, ["user_id"], "event_type", "total", ["click", "view"])
+    return H.unstack(totals, ["user_id"], "event_type", "total", ["click", "error", "purchase", "signup", "view"])
 
 
 @query("c93_explode", "SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings")
@@ -246,7 +248,14 @@ def quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
     return H.qcut(table(spark, sf, "customer"), "c_acctbal", 4).select("c_custkey", "bin")
 
 
-@query("c97_row_hash", "SELECT count(DISTINCT (l_orderkey, l_partkey, l_suppkey)) AS distinct_rows FROM lineitem")
+ALL_OF_A_LINE = """l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"""
+
+
+@query("c97_row_hash", f"SELECT count(DISTINCT ({ALL_OF_A_LINE})) AS distinct_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys, count(*) AS rows FROM lineitem")
 def row_hash(spark: SparkSession, sf: str) -> DataFrame:
-    hashed = H.row_hash(table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"])
-    return hashed.agg(F.count_distinct("hash").alias("distinct_rows"))
+    """Rows with equal hashes are equal in all columns, and the other way round."""
+    lines = table(spark, sf, "lineitem")
+    hashed = H.row_hash(lines, lines.columns)
+    key = H.row_hash(lines, ["l_orderkey", "l_linenumber"]).select("hash").distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))
+    counts = hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("distinct_rows"), F.sum("n").alias("rows"))
+    return counts.join(F.broadcast(key))

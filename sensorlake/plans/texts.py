@@ -190,13 +190,16 @@ def length_and_forms(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The words that names of parts are made of.
+NAME_WORDS = ("anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod", "small", "widget")
+
+
 @query(
     "c105_indicators",
-    """SELECT p_partkey, p_name, CAST(list_contains(string_split(p_name, ' '), 'red') AS INT) AS red, CAST(list_contains(string_split(p_name, ' '), 'small') AS INT) AS small
-    FROM part""",
+    "SELECT p_partkey, p_name, " + ", ".join(f"CAST(list_contains(string_split(p_name, ' '), '{w}') AS INT) AS {w}" for w in NAME_WORDS) + " FROM part",
 )
 def indicators(spark: SparkSession, sf: str) -> DataFrame:
-    return X.indicators(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", " ", ["red", "small"])
+    return X.indicators(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", " ", list(NAME_WORDS))
 
 
 @query(
