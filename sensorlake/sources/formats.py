@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import io
 import re
 from collections.abc import Iterator, Mapping, Sequence
-from itertools import islice
+from itertools import chain, groupby, islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from sensorlake.sources.files import list_files, open_input
+from sensorlake.session import pin
 from sensorlake.sources.text import no_value
 
 # Text keeps microseconds, blanks at the ends of values and doubled quotes.
@@ -107,15 +107,19 @@ def read_dialect(
 ) -> DataFrame:
     """CSV in other dialects (C6): tokens for NULL, true and false, a decimal comma, lines to skip.
 
-    ``skip_rows`` drops the first lines of every file. Only the start of a file tells which they
-    are, so each file is then streamed by one task, and values hold no line breaks.
+    ``skip_rows`` drops the first lines of every file. Whether a line begins a record depends on all before it, where lines are
+    skipped or values hold line breaks; such files are still read in parallel, see ``csv_records``.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    options = {"sep": delimiter, "quote": quote, "escape": escape, "multiLine": newlines_in_values}
+    options = {"sep": delimiter, "quote": quote, "escape": escape}
     if comment:
         options["comment"] = comment
-    if skip_rows:
-        df = _after_rows(spark, path, text, skip_rows + int(header), options)
+    if skip_rows or newlines_in_values:
+        records = csv_records(spark, path, delimiter, quote, escape, skip_rows, header, comment, newlines_in_values)
+        fields = ", ".join(f"`{name}` string" for name in text.fieldNames())
+        # A separator that no text holds: line breaks inside a record are part of its values.
+        parsed = F.from_csv("record", fields, {**options, "lineSep": "\x01"})
+        df = records.select(parsed.alias("r")).select("r.*")
     else:
         df = spark.read.schema(text).options(header=header, **options).csv(path)
     out = []
@@ -133,19 +137,120 @@ def read_dialect(
     return df.select(*out)
 
 
-def _after_rows(spark: SparkSession, path, schema: T.StructType, rows: int, options: Mapping[str, object]) -> DataFrame:
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name in batch["path"]:
-                with open_input(name) as raw:
-                    lines = islice(io.TextIOWrapper(raw, encoding="utf-8-sig"), rows, None)
-                    while some := list(islice(lines, 20_000)):
-                        yield pd.DataFrame({"line": [line.rstrip("\n") for line in some]})
+class Lines:
+    """Which lines of CSV text belong to one record: what a task knows of a stretch of a file.
 
-    lines = list_files(spark, path).select("path").mapInPandas(read, "line string").where("line <> ''")
-    fields = ", ".join(f"`{name}` string" for name in schema.fieldNames())
-    parsed = F.from_csv("line", fields, {k: str(v) for k, v in options.items() if k != "multiLine"})
-    return lines.select(parsed.alias("r")).select("r.*")
+    A quote opens a value only where a field begins, and closes it where it is neither doubled nor escaped.
+    """
+
+    def __init__(self, delimiter: str, quote: str, escape: str, skip: int, header: bool, comment: str | None, breaks: bool):
+        self.delimiter, self.quote, self.skip, self.header, self.comment, self.breaks = delimiter, quote, skip, header, comment, breaks
+        literal = re.escape(quote) * 2 if escape == quote else re.escape(escape) + "."
+        self.inside = re.compile(f"(?:{literal})|({re.escape(quote)})", re.DOTALL)
+
+    def after(self, line: str, inside: bool) -> bool:
+        """Whether the text behind a line is inside quotes."""
+        if not self.breaks or (not inside and (self.quote not in line or self.is_comment(line))):
+            return False
+        at = 0
+        while True:
+            if inside:
+                close = next((m for m in self.inside.finditer(line, at) if m.group(1)), None)
+                if close is None:
+                    return True
+                at, inside = close.end(), False
+            elif line.startswith(self.quote, at):
+                at, inside = at + len(self.quote), True
+                continue
+            at = line.find(self.delimiter, at)
+            if at < 0:
+                return False
+            at += len(self.delimiter)
+
+    def is_comment(self, line: str) -> bool:
+        return bool(self.comment) and line.startswith(self.comment)
+
+    def stretches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[str], dict]]:
+        """(file, start, lines, first row) per split of a file, as Spark reads them: one after the other, in order."""
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for (file, start), part in groupby(rows, key=lambda r: (r["file"], r["start"])):
+            first = next(part)
+            lines = (r["value"] for r in chain([first], part))
+            if start == 0:
+                lines = islice((line.removeprefix("\ufeff") if i == 0 else line for i, line in enumerate(lines)), self.skip, None)
+            yield file, start, lines, first
+
+    def summaries(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a stretch makes of being outside quotes, and of being inside."""
+        for file, start, lines, _ in self.stretches(batches):
+            out, within = False, True
+            for line in lines:
+                out, within = self.after(line, out), self.after(line, within)
+            yield pa.RecordBatch.from_pylist([{"file": file, "start": start, "out": out, "within": within}])
+
+    def chain(self, table: pa.Table) -> pa.Table:
+        """The state before each stretch of a file."""
+        rows, now = sorted(table.to_pylist(), key=lambda r: r["start"]), False
+        for r in rows:
+            r["inside"], now = now, r["within"] if now else r["out"]
+        return pa.Table.from_pylist([{k: r[k] for k in ("file", "start", "inside")} for r in rows], schema=STATES)
+
+    def records(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records, and at either end of a stretch what belongs to a record that begins or ends elsewhere."""
+        for file, start, lines, first in self.stretches(batches):
+            inside, held, rows = bool(first["inside"]), [], []
+            kind, header = "tail" if inside else "whole", self.header and start == 0
+            for line in lines:
+                if not held and kind == "whole" and self.is_comment(line):
+                    continue
+                held.append(line)
+                inside = self.after(line, inside)
+                if not inside:
+                    record = "\n".join(held)
+                    if not (header and record):
+                        rows.append((file, start, kind, record))
+                    header = header and not record
+                    held, kind = [], "whole"
+                if len(rows) >= 10_000:
+                    yield _batch(rows)
+                    rows = []
+            if held:
+                rows.append((file, start, "middle" if kind == "tail" else "head", "\n".join(held)))
+            yield _batch(rows)
+
+
+STATES = pa.schema([("file", pa.string()), ("start", pa.int64()), ("inside", pa.bool_())])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.string()))], names=["file", "start", "kind", "record"])
+
+
+def csv_records(
+    spark: SparkSession, path: str | list[str], delimiter: str, quote: str, escape: str, skip_rows: int = 0, header: bool = False,
+    comment: str | None = None, breaks: bool = True,
+) -> DataFrame:
+    """(record) of CSV files whose values may hold line breaks: the texts of whole records, less skipped lines and the header.
+
+    Spark splits files by bytes and lines. One pass finds what each split makes of either state, outside quotes or inside; these are
+    chained along the file, so every split knows its state; a second pass puts its lines together. A record that reaches over
+    splits comes in pieces, at most two of a split, which are joined.
+    """
+    steps = Lines(delimiter, quote, escape, skip_rows, header, comment, breaks)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), *place)
+    states = lines.mapInArrow(steps.summaries, "file string, start long, out boolean, within boolean")
+    states = pin(states.groupBy("file").applyInArrow(lambda t: steps.chain(t), "file string, start long, inside boolean"))
+    # One row per split, as many as the list of files that Spark holds for the scan.
+    placed = lines.join(F.broadcast(states), ["file", "start"])
+    pieces = placed.mapInArrow(steps.records, "file string, start long, kind string, record string")
+    whole = pieces.where("kind = 'whole'").select("record")
+    parts = pieces.where("kind <> 'whole'")
+    number = F.count_if(F.col("kind") == "head").over(Window.partitionBy("file").orderBy("start", F.col("kind") == "head"))
+    joined = parts.withColumn("nth", number).groupBy("file", "nth").agg(F.sort_array(F.collect_list(F.struct("start", "record"))).alias("p"))
+    joined = joined.select(F.array_join(F.col("p.record"), "\n").alias("record"))
+    return whole.unionByName(joined).where("record <> ''").select("record")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error", header: bool = True, delimiter: str = ",", quoting: str = "needed") -> None:
