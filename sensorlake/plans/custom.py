@@ -132,6 +132,15 @@ def rolling_apply(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", r("spread").alias("spread"))
 
 
+@query(
+    "c128_expanding_apply",
+    "SELECT event_id, round(max(value) OVER w - min(value) OVER w, 6) AS spread FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)",
+)
+def expanding_apply(spark: SparkSession, sf: str) -> DataFrame:
+    out = U.expanding_apply(events(spark, sf), "value", lambda v: v.max() - v.min(), BY, ORDER, out="spread")
+    return out.select("event_id", r("spread").alias("spread"))
+
+
 @query(
     "c129_online_exponential_mean",
     f"""SELECT a.event_id, round(sum(b.v * pow(0.7, a.n - b.n)) / sum(CASE WHEN b.v IS NOT NULL THEN pow(0.7, a.n - b.n) END), 6) AS ewm

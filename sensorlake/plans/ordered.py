@@ -221,6 +221,16 @@ def weighted(spark: SparkSession, sf: str) -> DataFrame:
 POSITIONS = f"(SELECT event_id, user_id, v, row_number() {OVER}) AS n FROM {GAPPY})"
 
 
+WVAR = f"""(0.25 * pow({L[3]} - {WSUM} / 2.25, 2) + 0.5 * pow({L[2]} - {WSUM} / 2.25, 2) + pow({L[1]} - {WSUM} / 2.25, 2)
+    + 0.5 * pow(value - {WSUM} / 2.25, 2)) * 4 / (3 * 2.25)"""
+
+
+@query("c80_rolling_weighted_variance", f"SELECT event_id, round({WVAR}, 4) AS var FROM events")
+def weighted_variance(spark: SparkSession, sf: str) -> DataFrame:
+    df = W.weighted(events(spark, sf), "value", [0.25, 0.5, 1.0, 0.5], BY, ORDER, "var", "var")
+    return df.select("event_id", r("var", 4).alias("var"))
+
+
 @query(
     "c81_exponential_mean",
     f"""SELECT a.event_id, round(sum(b.v * pow(0.7, a.n - b.n)) / sum(CASE WHEN b.v IS NOT NULL THEN pow(0.7, a.n - b.n) END), 6) AS ewm
