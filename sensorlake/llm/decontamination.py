@@ -229,11 +229,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows that hold any window of the benchmark. A row is judged by its text (a 64-bit hash), whatever its id."""
-    key = F.xxhash64("text")
-    texts = docs.select(key.alias("doc_id"), "text")
-    bad = contamination(texts, table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("__key")).distinct()
-    return docs.join(kept(bad, "contaminated"), key == F.col("__key"), "left_anti")
+    """Drop rows that hold any window of the benchmark. A row is judged by its text (a 64-bit hash), whatever its id; it is carried
+    as one struct, so no name can clash."""
+    name = F.xxhash64("text")
+    bad = contamination(docs.select(name.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).filter("contaminated")
+    rows = docs.select(name.alias("name"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(kept(bad.select(F.col("doc_id").alias("name")).distinct(), "contaminated"), "name", "left_anti").select("row.*")
 
 
 ORACLE = r"""

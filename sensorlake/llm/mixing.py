@@ -18,7 +18,7 @@ from fractions import Fraction
 from itertools import islice
 from math import lcm
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm.shared import kept, table
@@ -144,8 +144,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their slot and their place in it; order by both to read the mixture."""
+    """All documents with their slot and their place in it; order by both to read the mixture. Columns of the documents keep
+    their names; where they have one of the stage's, its own gets an underscore more."""
     out = mix(docs, WEIGHTS)
-    clash = {"mix_slot", "mix_place", "mix_on_target"} & set(docs.columns)
-    cols = [F.col("row")[c].alias(c) for c in docs.columns if c not in clash]
-    return out.select(*cols, F.col("slot").alias("mix_slot"), F.col("place").alias("mix_place"), F.col("on_target").alias("mix_on_target"))
+
+    def added(source: str, name: str) -> Column:
+        while name in docs.columns:
+            name += "_"
+        return F.col(source).alias(name)
+
+    cols = [F.col("row")[c].alias(c) for c in docs.columns]
+    return out.select(*cols, added("slot", "mix_slot"), added("place", "mix_place"), added("on_target", "mix_on_target"))

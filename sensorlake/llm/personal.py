@@ -180,5 +180,6 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in the text; no document leaves."""
-    return redacted(docs)
+    """Replace personal data in the text; no document leaves. The row is carried as one struct, so no name can clash."""
+    out = redacted(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
+    return out.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")

@@ -286,6 +286,20 @@ def test_rows_with_nulls_in_other_places_are_two(spark, tmp_path):
     assert {tuple(r)[3:] for r in got.collect()} == {("n", "r", "k")}
 
 
+def test_clashing_names_keep_their_columns(spark, tmp_path):
+    spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = ["name", "row", "__key", "__text", "__original", "__spans", "mix_slot", "mix_place", "key"]
+    docs = spark.createDataFrame([(1, "write to a.b@example.org now", "en", "s")], "doc_id bigint, text string, lang string, source string")
+    docs = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    for stage in (decontamination.stage_decontaminate, personal.stage_personal, mixing.stage_mix, near_duplicates.stage_near_duplicates):
+        out = stage(spark, docs, str(tmp_path))
+        got = out.first()
+        assert out.columns[: len(docs.columns)] == docs.columns
+        assert [got[n] for n in names] == [f"own {n}" for n in names]
+        assert ("example.org" in got["text"]) == (stage is not personal.stage_personal)
+    assert mixing.stage_mix(spark, docs, str(tmp_path)).columns[-3:] == ["mix_slot_", "mix_place_", "mix_on_target"]
+
+
 def test_ids_of_text(spark):
     rows = [("b", COPY), ("a", COPY), ("c", COPY + " more"), (None, COPY), ("d", None)]
     got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
