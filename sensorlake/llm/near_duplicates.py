@@ -2,7 +2,8 @@
 
 Each permutation gives two values of a signature, its minimum and its maximum over the shingles, so ``VALUES`` values take half
 as many hash evaluations. Documents with equal shingle sets form one node first, so copies never meet in a bucket. Inside a
-bucket nodes are compared with a few centres, not with each other: with one, and where classes stay apart with ever more. Nodes whose
+bucket nodes are compared with a few centres, not with each other: with the node that shares the most places in buckets, which a text that
+many others were made from does, and where classes stay apart with ever more. Nodes whose
 buckets are split even then go through an exact set-similarity join: shingles are put in an order, rare ones first, and two
 nodes meet only at a shingle among the first of both, as many as their sizes and the similarity call for, if sizes and places
 leave room for enough common ones and their classes differ. So a link is lost only if no band proposes it (at similarity 0.8
@@ -31,7 +32,7 @@ BANDS = 24
 ROWS = 4
 VALUES = BANDS * ROWS
 SEED = 20_240_607
-CENTRES = (1, 4, 16)
+CENTRES = (1, 4, 8)
 ORDER_SAMPLE = 2_000  # nodes whose shingles tell which are frequent
 CHUNK = 8192
 CACHE = 1 << 20
@@ -221,10 +222,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) of buckets that more than one node is in."""
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
-    return members.join(shared, "bucket").distinct()
+    """(bucket, node, places) of buckets that more than one node is in; ``places`` is how many nodes the node's buckets hold in all."""
+    members = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = members.join(shared, "bucket")
+    return members.join(members.groupBy("node").agg(F.sum("size").alias("places")), "node").select("bucket", "node", "places")
 
 
 def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -235,8 +237,9 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
         split = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
         open_ = scratch.keep(members.join(split, "bucket"), "open")
         if centres:
-            # The first members in an order that changes from turn to turn, but is the same in most buckets of a group.
-            order = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "comp") if turn else F.struct("node", "comp")
+            # First the member with the most places; then those in an order that changes from turn to turn, but is the same in most
+            # buckets of a group.
+            order = F.struct((F.xxhash64(F.lit(turn), "node") if turn else -F.col("places")).alias("h"), "node", "comp")
             heads = open_.select("bucket", order.alias("head"))
             chosen = _first(heads, centres).select("bucket", F.col("head.node").alias("centre"), F.col("head.comp").alias("main"))
             pairs = open_.join(chosen, "bucket").filter("comp <> main").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
@@ -250,7 +253,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
             named = members.select("node", "comp").distinct()
             between = new.join(named.toDF("a", "ca"), "a").join(named.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
             labels = components(between, scratch)
-            joined = members.join(labels.toDF("comp", "top"), "comp", "left").select("bucket", "node", F.coalesce("top", "comp").alias("comp"))
+            joined = members.join(labels.toDF("comp", "top"), "comp", "left").select("bucket", "node", "places", F.coalesce("top", "comp").alias("comp"))
             members = scratch.keep(joined, "buckets", members, labels)
     scratch.drop(members)
     return reduce(DataFrame.unionByName, found)
