@@ -86,17 +86,21 @@ def time_bucket(spark: SparkSession, sf: str) -> DataFrame:
 W = 'OVER (PARTITION BY id ORDER BY "timestamp"'
 
 
+# Readings of one time are told apart by their values, so that the order is total.
+W_TOTAL = 'OVER (PARTITION BY id ORDER BY "timestamp", accel_x, accel_z'
+
+
 @query(
     "b07_window_functions",
-    f"""SELECT id, "timestamp", accel_x, lag(accel_x) {W}) AS previous, round(avg(accel_x) {W}), 8) AS running_mean,
+    f"""SELECT id, "timestamp", accel_x, lag(accel_x) {W_TOTAL}) AS previous, round(avg(accel_x) {W_TOTAL} ROWS UNBOUNDED PRECEDING), 8) AS running_mean,
     CAST(rank() OVER (PARTITION BY id ORDER BY accel_x DESC) AS DOUBLE) AS place FROM {SENSORS}""",
 )
 def window_functions(spark: SparkSession, sf: str) -> DataFrame:
     """Previous reading, running mean and rank per id, an id of any size."""
-    s = sensors(spark, sf).select("id", "timestamp", "accel_x")
-    runs = Runs(s, ["id"], ["timestamp"]).shift("accel_x", 1, "previous")
+    s = sensors(spark, sf).select("id", "timestamp", "accel_x", "accel_z")
+    runs = Runs(s, ["id"], ["timestamp", "accel_x", "accel_z"]).shift("accel_x", 1, "previous")
     runs = runs.cumulative("accel_x", "sum", "__sum").row_number("__n")
-    rows = runs.rows().withColumn("running_mean", r(F.col("__sum") / F.col("__n"), 8)).drop("__sum", "__n")
+    rows = runs.rows().withColumn("running_mean", r(F.col("__sum") / F.col("__n"), 8)).drop("__sum", "__n", "accel_z")
     return rank(rows, "accel_x", ["id"], "min", descending=True, out="place")
 
 
