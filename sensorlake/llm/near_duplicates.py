@@ -2,11 +2,10 @@
 
 Each permutation gives two values of a signature, its minimum and its maximum over the shingles, so ``VALUES`` values take half
 as many hash evaluations. Documents with equal shingle sets form one node first, so copies never meet in a bucket. Inside a
-bucket nodes are compared with a few centres, not with each other: with the node that shares the most places in buckets, which a text that
-many others were made from does, and where classes stay apart with ever more. Nodes whose
+bucket nodes are compared with a few centres, not with each other: with one, and where classes stay apart with ever more. Nodes whose
 buckets are split even then go through an exact set-similarity join: shingles are put in an order, rare ones first, and two
 nodes meet only at a shingle among the first of both, as many as their sizes and the similarity call for, if sizes and places
-leave room for enough common ones and their classes differ. So a link is lost only if no band proposes it (at similarity 0.8
+leave room for enough common ones, their classes differ, and the shingle before it is not common to both as well. So a link is lost only if no band proposes it (at similarity 0.8
 about 3 in a million), and no bucket is ever paired with itself. The order comes from a sample; any order gives the same links.
 
 Defined results: a text without words, or null, has an empty set and no links; fewer words than a shingle make one shingle;
@@ -153,13 +152,13 @@ def similar_nodes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) among ``nodes`` (node, comp), of different classes, that may be similar enough: an exact join by prefixes."""
     held = sets.join(nodes, "node")
     often = held.sparkSession.sparkContext.broadcast(frequent_shingles(held))
-    schema = T.StructType([held.schema["node"], held.schema["comp"], *T.StructType.fromDDL("shingle bigint, place bigint, n bigint")])
+    schema = T.StructType([held.schema["node"], held.schema["comp"], *T.StructType.fromDDL("own bigint, shingle bigint, place bigint, n bigint")])
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.array(sorted(often.value), np.int64)
         numbers = np.array([often.value[int(k)] for k in known], np.int64)
         for batch in batches:
-            tokens, places, sizes, counts = [], [], [], []
+            owns, tokens, places, sizes, counts = [], [], [], [], []
             for shingles in batch.column("shingles"):
                 s = np.asarray(shingles.values, np.int64)
                 rank = np.zeros(len(s), np.int64)
@@ -169,28 +168,32 @@ def similar_nodes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 # A set that shares percent of the union shares one of so many first elements in any order.
                 first = len(s) - (percent * len(s) + 99) // 100 + 1
                 chosen = s[np.lexsort((s, rank))[:first]]
+                owns.append(np.full(len(chosen), xxhash.xxh3_64_intdigest(s.tobytes()), np.uint64).view(np.int64))
                 tokens.append(chosen)
                 places.append(np.arange(len(chosen)))
                 sizes.append(np.full(len(chosen), len(s)))
                 counts.append(len(chosen))
             if counts:
                 rows = pa.array(np.repeat(np.arange(len(counts)), counts))
-                columns = [batch.column(c).take(rows) for c in ("node", "comp")] + [pa.array(np.concatenate(x)) for x in (tokens, places, sizes)]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "comp", "shingle", "place", "n"])
+                columns = [batch.column(c).take(rows) for c in ("node", "comp")] + [pa.array(np.concatenate(x)) for x in (owns, tokens, places, sizes)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "comp", "own", "shingle", "place", "n"])
 
     index = held.select("node", "comp", "shingles").mapInArrow(prefixes, schema)
     # Only shingles of several classes bring pairs.
     several = index.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("shingle")
     index = index.join(several, "shingle")
+    # Where two sets have the same shingle before this one too, they have met there already.
+    index = index.withColumn("prior", F.lag("shingle").over(Window.partitionBy("node", "own").orderBy("place")))
     # Similar sets differ in size by a class of sizes at most, so a shingle of very many nodes is dealt out by size, and each
     # node also goes to the class above its own.
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) + 1e-6)).cast("int")
     left = index.withColumn("size", step)
     right = index.withColumn("size", F.explode(F.array(step, step + 1, step - 1)))
-    renamed = right.select("shingle", "size", *[F.col(c).alias(f"{c}2") for c in ("node", "comp", "place", "n")])
+    renamed = right.select("shingle", "size", *[F.col(c).alias(f"{c}2") for c in ("node", "comp", "place", "n", "prior")])
     needed = percent * (F.col("n") + F.col("n2"))
     room = (100 + percent) * F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
     fits = (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (room >= needed)
+    fits = fits & (F.col("prior").isNull() | F.col("prior2").isNull() | (F.col("prior") != F.col("prior2")))
     pairs = left.join(renamed, (left["shingle"] == renamed["shingle"]) & (left["size"] == renamed["size"]) & fits)
     return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
@@ -222,11 +225,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, places) of buckets that more than one node is in; ``places`` is how many nodes the node's buckets hold in all."""
-    members = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = members.join(shared, "bucket")
-    return members.join(members.groupBy("node").agg(F.sum("size").alias("places")), "node").select("bucket", "node", "places")
+    """(bucket, node) of buckets that more than one node is in."""
+    members = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
+    return members.join(shared, "bucket").distinct()
 
 
 def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -237,9 +239,8 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
         split = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
         open_ = scratch.keep(members.join(split, "bucket"), "open")
         if centres:
-            # First the member with the most places; then those in an order that changes from turn to turn, but is the same in most
-            # buckets of a group.
-            order = F.struct((F.xxhash64(F.lit(turn), "node") if turn else -F.col("places")).alias("h"), "node", "comp")
+            # The first members in an order that changes from turn to turn, but is the same in most buckets of a group.
+            order = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "comp") if turn else F.struct("node", "comp")
             heads = open_.select("bucket", order.alias("head"))
             chosen = _first(heads, centres).select("bucket", F.col("head.node").alias("centre"), F.col("head.comp").alias("main"))
             pairs = open_.join(chosen, "bucket").filter("comp <> main").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
@@ -253,7 +254,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
             named = members.select("node", "comp").distinct()
             between = new.join(named.toDF("a", "ca"), "a").join(named.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
             labels = components(between, scratch)
-            joined = members.join(labels.toDF("comp", "top"), "comp", "left").select("bucket", "node", "places", F.coalesce("top", "comp").alias("comp"))
+            joined = members.join(labels.toDF("comp", "top"), "comp", "left").select("bucket", "node", F.coalesce("top", "comp").alias("comp"))
             members = scratch.keep(joined, "buckets", members, labels)
     scratch.drop(members)
     return reduce(DataFrame.unionByName, found)
