@@ -254,14 +254,18 @@ def recurrence(spark: SparkSession, sf: str) -> DataFrame:
 SEEN = f"""(SELECT event_id, user_id, v, event_id % 100 AS z, row_number() {OVER}) AS n, count(v) {SO_FAR} AS m FROM {GAPPY})"""
 
 
+# Rounded, and without the sign of a zero.
+PLAIN = "CASE WHEN abs({0}) < 0.0005 THEN 0.0::DOUBLE ELSE round({0}, 3) END"
+
+
 @query(
     "c81_exponential_covariance",
-    f"""SELECT event_id, round(CASE WHEN n > 1 THEN c / (1 - ww / (w * w)) END, 3) AS cov, round(CASE WHEN n > 1 THEN c2 / (1 - uu / (u * u)) END, 3) AS cov_ignoring,
-    round(c, 3) AS biased, round(m, 6) AS mean_ignoring
-    FROM (SELECT event_id, count(x) AS n, sum(w) AS w, sum(w * w) AS ww, sum(u) AS u, sum(u * u) AS uu, sum(u * x) / sum(u) AS m,
+    f"""SELECT event_id, {PLAIN.format('cov')} AS cov, {PLAIN.format('cov_ignoring')} AS cov_ignoring, {PLAIN.format('biased')} AS biased, mean_ignoring
+    FROM (SELECT event_id, CASE WHEN n > 1 THEN c / (1 - ww / (w * w)) END AS cov, CASE WHEN n > 1 THEN c2 / (1 - uu / (u * u)) END AS cov_ignoring,
+    c AS biased, round(m, 6) AS mean_ignoring FROM (SELECT event_id, count(x) AS n, sum(w) AS w, sum(w * w) AS ww, sum(u) AS u, sum(u * u) AS uu, sum(u * x) / sum(u) AS m,
       sum(w * x * y) / sum(w) - sum(w * x) / sum(w) * sum(w * y) / sum(w) AS c, sum(u * x * y) / sum(u) - sum(u * x) / sum(u) * sum(u * y) / sum(u) AS c2
       FROM (SELECT a.event_id, b.v AS x, b.z AS y, pow(0.7, a.n - b.n) AS w, pow(0.7, a.m - b.m) AS u
-        FROM {SEEN} AS a LEFT JOIN {SEEN} AS b ON a.user_id = b.user_id AND b.n <= a.n AND b.v IS NOT NULL) GROUP BY 1)""",
+        FROM {SEEN} AS a LEFT JOIN {SEEN} AS b ON a.user_id = b.user_id AND b.n <= a.n AND b.v IS NOT NULL) GROUP BY 1))""",
 )
 def exponential_covariance(spark: SparkSession, sf: str) -> DataFrame:
     """Covariances with weights that fall by row or by value, with and without bias."""
@@ -269,4 +273,5 @@ def exponential_covariance(spark: SparkSession, sf: str) -> DataFrame:
     for out, kw in {"cov": {}, "cov_ignoring": {"ignore_na": True}, "biased": {"bias": True}}.items():
         df = W.ewm(df, "v", 0.3, BY, ORDER, out=out, fn="cov", other="z", **kw)
     df = W.ewm(df, "v", 0.3, BY, ORDER, out="mean_ignoring", ignore_na=True)
-    return df.select("event_id", *[r(c, 3).alias(c) for c in ("cov", "cov_ignoring", "biased")], r("mean_ignoring").alias("mean_ignoring"))
+    plain = [F.when(F.abs(c) < 0.0005, 0.0).otherwise(r(c, 3)).alias(c) for c in ("cov", "cov_ignoring", "biased")]
+    return df.select("event_id", *plain, r("mean_ignoring").alias("mean_ignoring"))
