@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorlake.operators import udfs as U
@@ -115,8 +116,9 @@ def transformed(spark: SparkSession, sf: str) -> DataFrame:
 def applied(spark: SparkSession, sf: str) -> DataFrame:
     """A whole customer at a time: few orders each."""
 
-    def below(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[["o_custkey", "o_orderkey"]].assign(below_best=pdf["o_totalprice"] - pdf["o_totalprice"].max())
+    def below(orders: pa.Table) -> pa.Table:
+        price = orders["o_totalprice"]
+        return orders.select(["o_custkey", "o_orderkey"]).append_column("below_best", pc.subtract(price, pc.max(price)))
 
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return U.group_apply(o, ["o_custkey"], below, "o_custkey long, o_orderkey long, below_best double")
