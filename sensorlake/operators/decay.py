@@ -9,7 +9,7 @@ are chained by those.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from sensorlake.operators.groups import marked, whole_groups
 from sensorlake.operators.runs import RUN, Runs
 from sensorlake.session import pin
 
@@ -239,15 +240,19 @@ class Steps:
             out = out.append_column(name, pa.array(column, pa.float64()))
         return out
 
-    def smooth(self, table: pa.Table) -> pa.Table:
-        table = self._ordered(table)
-        width = len(State.FIELDS)
-        first = [table[n][0].as_py() for n in self.states] if self.states[0] in table.column_names else [None] * len(self.states)
-        states = [State(*[v or 0.0 for v in first[i * width : (i + 1) * width]]) for i in range(self.pairs)]
-        (x, y), *_ = self._values(table)
-        found = statistic(self.decay, self.fn, x, y, states, self.bias, self.min_periods)
-        table = table.select([c for c in table.column_names if c not in self.states])
-        return table.append_column(self.out, pa.array(found, pa.float64(), from_pandas=True))
+    def smooth(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The statistic of whole runs, which come in batches and in order."""
+        for table, ends in whole_groups(batches):
+            width, cut = len(State.FIELDS), self.states[0] in table.column_names
+            before = [table[n].take(pa.array([a for a, _ in ends])).to_pylist() if cut else None for n in self.states]
+            (x, y), *_ = self._values(table)
+            found = np.empty(len(x))
+            for i, (a, b) in enumerate(ends):
+                first = [v[i] or 0.0 if cut else 0.0 for v in before]
+                states = [State(*first[k * width : (k + 1) * width]) for k in range(self.pairs)]
+                found[a:b] = statistic(self.decay, self.fn, x[a:b], y[a:b], states, self.bias, self.min_periods)
+            table = table.select([c for c in table.column_names if c not in self.states])
+            yield from table.append_column(self.out, pa.array(found, pa.float64(), from_pandas=True)).to_batches(max_chunksize=10_000)
 
 
 def exponential(
@@ -274,4 +279,5 @@ def exponential(
         states = pin(summaries.groupBy(*runs.by).applyInArrow(lambda t: steps.chain(t), state))
         rows = runs.attach(rows, states)
     schema = T.StructType([*runs.df.schema, T.StructField(out, T.DoubleType())])
-    return runs.with_df(rows.groupBy(*keys).applyInArrow(lambda t: steps.smooth(t), schema)).rows()
+    # Most groups are small: they go to the tasks many at a time.
+    return runs.with_df(marked(rows, keys, runs.order).mapInArrow(steps.smooth, schema)).rows()

@@ -269,9 +269,10 @@ PLAIN = "CASE WHEN abs({0}) < 0.0005 THEN 0.0::DOUBLE ELSE round({0}, 3) END"
 )
 def exponential_covariance(spark: SparkSession, sf: str) -> DataFrame:
     """Covariances with weights that fall by row or by value, with and without bias."""
-    df = gappy(spark, sf).withColumn("z", F.col("event_id") % 100).select("event_id", "user_id", "ts", "v", "z")
+    df = rows = gappy(spark, sf).withColumn("z", F.col("event_id") % 100).select("event_id", "user_id", "ts", "v", "z")
+    # The sizes of the groups are those of the table: no step is worked out again to count them.
     for out, kw in {"cov": {}, "cov_ignoring": {"ignore_na": True}, "biased": {"bias": True}}.items():
-        df = W.ewm(df, "v", 0.3, BY, ORDER, out=out, fn="cov", other="z", **kw)
-    df = W.ewm(df, "v", 0.3, BY, ORDER, out="mean_ignoring", ignore_na=True)
+        df = W.ewm(df, "v", 0.3, BY, ORDER, out=out, fn="cov", other="z", within=rows, **kw)
+    df = W.ewm(df, "v", 0.3, BY, ORDER, out="mean_ignoring", ignore_na=True, within=rows)
     plain = [F.when(F.abs(c) < 0.0005, 0.0).otherwise(r(c, 3)).alias(c) for c in ("cov", "cov_ignoring", "biased")]
     return df.select("event_id", *plain, r("mean_ignoring").alias("mean_ignoring"))

@@ -2,12 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.operators import udfs as U
+from sensorlake.operators import udfs as U, windows as W
 from sensorlake.operators.groups import FIRST, whole_groups
 
 
@@ -98,3 +99,24 @@ def test_groups_over_batches():
     for size in (1, 2, 5, 100):
         got = [part["g"].slice(a, b - a).to_pylist() for part, ends in whole_groups(iter(table.to_batches(size))) for a, b in ends]
         assert got == [[g] * n for g, n in enumerate(lengths)]
+
+
+@pytest.mark.parametrize("cut", [0, 25])
+@pytest.mark.parametrize("size", [10_000, 6])
+def test_exponential_of_small_groups(spark, size, cut):
+    """Groups of 1 to 60 rows, one with a NULL key, in batches that end inside them."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame([(k, t, None if rng.random() < 0.2 else float(rng.normal()), float(rng.normal())) for k in range(30) for t in range(1 + 2 * k)], columns=list("ktxy"))
+    want = pdf.groupby("k")[["x", "y"]].apply(lambda g: g["x"].ewm(alpha=0.3).cov(g["y"])).droplevel(0)
+    df = spark.createDataFrame(pdf).withColumn("x", F.when(~F.isnan("x"), F.col("x"))).withColumn("k", F.when(F.col("k") != 7, F.col("k"))).repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        made = W.ewm(df, "x", 0.3, ["k"], ["t"], out="c", fn="cov", other="y", rows_per_run=cut)
+        assert "FlatMapGroupsInArrow" not in made._jdf.queryExecution().toString().split("Checkpoint")[0]
+        got = made.toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got["k"] = got["k"].fillna(7).astype(int)
+    got = got.sort_values(["k", "t"], ignore_index=True)
+    assert len(got) == len(pdf)
+    np.testing.assert_allclose(got["c"].astype(float), want.to_numpy(), rtol=1e-9, atol=1e-12)
