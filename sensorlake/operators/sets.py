@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from sensorlake.operators.aggregates import on_keys
 from sensorlake.operators.runs import Runs
@@ -68,42 +68,70 @@ def top_k(df: DataFrame, k: int, keys: Keys, by: Sequence[str] = (), ties: str =
 def smallest(df: DataFrame, k: int, keys: Keys, one_task: int = ONE_TASK) -> DataFrame:
     """The first ``k`` rows in key order, in no order, for any ``k``.
 
-    Ranks in a sample of bounded size give two rows between which the k-th lies. One scan counts the rows up to each; those up to the
-    first are in, those after the second are out, and the same is done with what lies between until one task can put it
-    in order. Every step is a filter: no task holds ``k`` rows. Rows with equal keys are told apart by a hash of the
-    whole row; of rows that are equal in full any may stand for the others.
+    The k-th key is found first, then the rows up to it are one filter. Ranks in a sample of bounded size give two keys between which
+    the k-th lies; one scan counts the rows up to each, and the same is done with the keys between, which are kept: few of them, and
+    fewer each time, until one task can put them in order. No task holds ``k`` rows, and the keys are worked out once per row and scan.
+    Rows with equal keys are told apart by a hash of the whole row; of rows that are equal in full any may stand for the others.
     """
     hashed = df.withColumn("__tie", F.xxhash64(*df.columns))
-    return _smallest(hashed, k, [*keys, "__tie"], one_task, hashed.count()).drop("__tie")
-
-
-def _smallest(df: DataFrame, k: int, keys: Keys, one_task: int, rows: int) -> DataFrame:
-    order = sort_columns(df, keys)
+    ways = [key if isinstance(key, tuple) else (key, "asc") for key in [*keys, "__tie"]]
+    rows = df.count()
     if k >= rows:
         return df
     if rows <= one_task:
-        return df.orderBy(*order).limit(k)
-    rate = min(1.0, SAMPLE / rows)
-    middle, spread = rate * k, 4 * math.sqrt(rate * k) + 4
-    places = [math.floor(middle - spread), math.ceil(middle + spread)]
-    names = [key if isinstance(key, str) else key[0] for key in keys]
-    drawn = (df.sample(rate, seed=3) if rate < 1 else df).select(*[present(df, n).alias(n) for n in names])
-    ranked = drawn.withColumn("__n", F.row_number().over(Window.orderBy(*sort_columns(drawn, keys)))).where(F.col("__n").isin(places)).collect()
-    edges = {r["__n"]: F.struct(*[F.lit(r[n]).cast(drawn.schema[n].dataType).alias(n) for n in names]) for r in ranked}
-    low, high = ((_not_after(df, keys, edges[p]) if p in edges else None) for p in places)
-    counts = df.agg(F.count_if(F.lit(False) if low is None else low), F.count_if(F.lit(True) if high is None else high)).first()
-    # Should the sample mislead, that side of the bracket is left open.
-    n_low, n_high = counts
-    if n_low > k:
-        low, n_low = None, 0
-    if n_high < k:
-        high, n_high = None, rows
-    between = df if low is None else df.where(~low)
-    between = between if high is None else between.where(high)
-    left = n_high - n_low
-    # Rows that are all equal do not part any further.
-    rest = between.limit(k - n_low) if left == rows else _smallest(between, k - n_low, keys, one_task, left)
-    return rest if low is None else df.where(low).unionByName(rest)
+        return hashed.orderBy(*sort_columns(hashed, ways)).limit(k).drop("__tie")
+    fields = [present(hashed, name).alias(f"k{i}") for i, (name, _) in enumerate(ways)]
+    # A row made by a generator is not worked out again for every use of its fields.
+    keyed = hashed.withColumn("__key", F.explode(F.array(F.struct(*fields)))).drop("__tie")
+    edge, n_before, n_equal = _kth(keyed.select("__key"), k, [way for _, way in ways], one_task, rows)
+    before, equal = edge
+    if n_before + n_equal == k:
+        return keyed.where(before | equal).drop("__key")
+    return keyed.where(before).unionByName(keyed.where(equal).limit(k - n_before)).drop("__key")
+
+
+def _kth(points: DataFrame, k: int, ways: Sequence[str], one_task: int, rows: int) -> tuple[tuple[Column, Column], int, int]:
+    """Conditions for keys before the k-th and equal to it, and how many rows meet each."""
+    key, types = F.col("__key"), points.schema["__key"].dataType
+    order = [key[f"k{i}"].asc_nulls_last() if way == "asc" else key[f"k{i}"].desc_nulls_last() for i, way in enumerate(ways)]
+
+    def sides(edge: Row) -> tuple[Column, Column]:
+        before, equal = F.lit(False), F.lit(True)
+        for i, way in reversed(list(enumerate(ways))):
+            mine, there = key[f"k{i}"], F.lit(edge[i]).cast(types[i].dataType)
+            ahead = (mine < there) if way == "asc" else (mine > there)
+            ahead = F.coalesce(ahead, F.lit(False)) | (mine.isNotNull() & there.isNull())
+            same = mine.eqNullSafe(there)
+            before, equal = ahead | (same & before), same & equal
+        return before, equal
+
+    passed, sure = 0, False
+    while True:
+        # What one task may order is ordered; the rank is then exact.
+        whole = sure or rows <= max(one_task, SAMPLE)
+        rate = 1.0 if whole else SAMPLE / rows
+        middle, spread = rate * k, 4 * math.sqrt(rate * k) + 4
+        places = [k] if whole else [math.floor(middle - spread), math.ceil(middle + spread)]
+        drawn = points if whole else points.sample(rate, seed=3)
+        ranked = drawn.withColumn("__n", F.row_number().over(Window.orderBy(*order))).where(F.col("__n").isin(places)).orderBy("__n").collect()
+        sure = not ranked
+        if sure:
+            continue
+        edges = [sides(r["__key"]) for r in ranked]
+        counts = points.agg(*[F.count_if(c) for edge in edges for c in edge]).first()
+        low, n_low, high, n_high = None, 0, None, rows
+        for edge, n_before, n_equal in zip(edges, counts[::2], counts[1::2]):
+            if n_before < k <= n_before + n_equal:
+                return edge, passed + n_before, n_equal
+            if k <= n_before:
+                if high is None:
+                    high, n_high = edge, n_before
+            else:
+                low, n_low = edge, n_before + n_equal
+        # The edges themselves are out, so there are fewer rows each time.
+        between = points if low is None else points.where(~(low[0] | low[1]))
+        between = between if high is None else between.where(high[0])
+        points, rows, k, passed = pin(between), n_high - n_low, k - n_low, passed + n_low
 
 
 def _not_after(df: DataFrame, keys: Keys, edge_row: Column | None = None) -> Column:

@@ -396,6 +396,22 @@ def test_large_k_of_equal_rows(spark):
     assert S.smallest(df, 900, ["x"], one_task=50).count() == 900
 
 
+@pytest.mark.parametrize("k", [1, 200, 201, 1900, 2399])
+def test_large_k_among_many_equal_rows(spark, k, monkeypatch):
+    """Nine tenths of the rows are equal in full; those before and after them are not taken for them."""
+    monkeypatch.setattr(S, "SAMPLE", 100)
+    x = sorted([*range(200), *[500] * 2000, *range(600, 800)])
+    df = spark.createDataFrame([(v,) for v in x], "x int").repartition(4)
+    assert sorted(r.x for r in S.smallest(df, k, ["x"], one_task=50).collect()) == x[:k]
+
+
+def test_keys_are_worked_out_once_per_scan(spark):
+    """The filter of a large draw reads the draw from a column: digests are not repeated in every condition."""
+    drawn = S.sample(spark.range(3000), fraction=0.4, seed=7, key=["id"], one_task=100)
+    assert drawn.count() == 1200
+    assert drawn._jdf.queryExecution().optimizedPlan().toString().count("md5") <= 2
+
+
 def test_weights_decide_how_often_a_row_is_drawn(spark):
     df = spark.createDataFrame([(i, float(1 + 9 * (i % 2))) for i in range(4000)], "i int, w double")
     drawn = S.sample(df, n=400, weights="w", seed=5, key=["i"], one_task=100)
