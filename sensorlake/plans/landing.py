@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorlake.operators.mapping import apply_mapping, normalize_columns, select_fields, stage_key, to_ts
 from sensorlake.operators.quality import file_counts, ingest_summary, quarantine
+from sensorlake.operators.udfs import group_apply
 from sensorlake.plans.flow import FlowConfig, land_archives, land_errors, run_flow
 from sensorlake.plans.registry import SENSORS, query, sensors, table
 from sensorlake.schemas import SCHEMAS, conform
@@ -349,7 +350,7 @@ def land_files(spark: SparkSession, sf: str, root: str, where: str = "true", shi
             out.write(pdf[list(ACCEL)].to_csv(index=False).encode())
         return pd.DataFrame({"n": [len(pdf)]})
 
-    rows.where(where).groupBy("file").applyInPandas(put, "n long").agg(F.sum("n")).collect()
+    group_apply(rows.where(where), ["file"], put, "n long").agg(F.sum("n")).collect()
 
 
 @query("a20_run_twice", f'SELECT id, "timestamp", accel_x, accel_y, accel_z FROM {SENSORS}')

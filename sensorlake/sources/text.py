@@ -46,6 +46,7 @@ def headers(
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = []
             for name in batch["path"]:
                 first, error = None, None
                 try:
@@ -57,9 +58,13 @@ def headers(
                         raise
                     error = str(bad)
                 if first is not None:
-                    yield pd.DataFrame({"path": [name], "header": [mangle(first)]} | ({"error": [None]} if report else {}))
+                    found.append((name, mangle(first), None))
                 elif report:
-                    yield pd.DataFrame({"path": [name], "header": [None], "error": [error or "no header"]})
+                    found.append((name, None, error or "no header"))
+            # A batch of files is handed on at once.
+            if found:
+                made = pd.DataFrame(found, columns=["path", "header", "error"])
+                yield made if report else made[["path", "header"]]
 
     schema = "path string, header array<string>" + (", error string" if report else "")
     return list_files(spark, path, glob).select("path").mapInPandas(read, schema)

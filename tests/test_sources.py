@@ -18,7 +18,7 @@ from sensorlake.sources.formats import path_partitions, read_dialect, read_fixed
 from sensorlake.sources.landing import filter_objects, landing_manifest, scan_landing, scan_notified
 from sensorlake.sources.batches import BatchLog, read_batches, vacuum, write_batch
 from sensorlake.sources.tables import read_stage, register_table, write_processed, write_stage
-from sensorlake.sources.text import CORRUPT, NULL_TOKENS, scan_csv, scan_log
+from sensorlake.sources.text import CORRUPT, NULL_TOKENS, headers, scan_csv, scan_log
 from sensorlake.streaming.incremental import run_incremental
 
 
@@ -333,3 +333,23 @@ def test_path_partitions(spark, tmp_path):
     put(tmp_path / "2024" / "07" / "dev1.txt", "x\n")
     got = path_partitions(spark.read.option("recursiveFileLookup", "true").text(str(tmp_path)), r"/(?<year>\d{4})/(?<month>\d{2})/(?<device>[^/.]+)\.", {"year": "int", "month": "int"})
     assert values(got) == [("x", 2024, 7, "dev1")]
+
+
+def test_headers_of_many_files_in_one_batch(spark, tmp_path):
+    """Files with, without (blank lines) and with unreadable headers beside each other; each is named once."""
+    for i in range(40):
+        content = b"\n\n" if i % 10 == 3 else b"\xff\xfe,\xff\n1,2\n" if i % 10 == 7 else f"a,a,c{i % 2}\n1,2,3\n".encode()
+        (tmp_path / f"f{i}.csv").write_bytes(content)
+    got = {int(r.path.rsplit("/f", 1)[1][:-4]): (r.header, r.error) for r in headers(spark, str(tmp_path), report=True).coalesce(1).collect()}
+    assert len(got) == 40
+    for i, (header, error) in got.items():
+        if i % 10 == 3:
+            assert header is None and error == "no header"
+        elif i % 10 == 7:
+            assert header is None and "decode" in error
+        else:
+            assert header == ["a", "a.1", f"c{i % 2}"] and error is None
+    for i in range(40):
+        if i % 10 == 7:
+            (tmp_path / f"f{i}.csv").unlink()
+    assert headers(spark, str(tmp_path)).count() == 32 and headers(spark, str(tmp_path)).columns == ["path", "header"]
