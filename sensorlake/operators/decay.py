@@ -35,6 +35,18 @@ def line_scan(a: np.ndarray, b: np.ndarray, start: float = 0.0) -> np.ndarray:
     return a * start + b
 
 
+def scan_runs(a: np.ndarray, b: np.ndarray, local: np.ndarray) -> np.ndarray:
+    """``line_scan`` of many runs laid end to end, each from its own first ``b``; ``local`` is the place of an entry in its run."""
+    a, b = a.astype(np.float64), b.astype(np.float64)
+    step, later = 1, np.flatnonzero(local >= 1)
+    while len(later):
+        b[later] = a[later] * b[later - step] + b[later]
+        a[later] = a[later] * a[later - step]
+        step *= 2
+        later = later[local[later] >= step]
+    return b
+
+
 @dataclass
 class State:
     """What a row needs of all before it: weights, their squares over their sum squared, means, covariance, rows since the last value."""
@@ -162,9 +174,61 @@ class Decay:
         latest = np.searchsorted(places, np.arange(len(x)), side="right")
         return {k: np.asarray(f, np.float64)[latest] for k, f in found.items()}
 
-    def means(self, x: np.ndarray, s: State) -> np.ndarray:
-        rows = self.rows(x, x, s)
-        return np.where(rows["n"] > 0, rows["mean"], np.nan)
+    def _places(self, x: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of runs laid end to end: the rows that have a value, the run of each, and which value of its run it is, from 0."""
+        run = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(x))))
+        places = np.flatnonzero(x == x)
+        run = run[places]
+        return places, run, np.arange(len(places)) - np.searchsorted(run, run)
+
+    def summaries(self, x: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """``summary`` of (x, x) of many runs at once, one a line, as far as the mean goes: without covariance and squared weights."""
+        out = np.zeros((len(begins), len(self.SUMMARY)))
+        ends = np.append(begins[1:], len(x))
+        out[:, 0] = ends - begins
+        places, run, local = self._places(x, begins)
+        if not len(places):
+            return out
+        first = np.flatnonzero(local == 0)
+        last, found = np.append(first[1:], len(places)) - 1, run[first]
+        u, rest = x[places], local > 0
+        a, w = self._lines(self._gaps(np.concatenate([places[:1] - 1, places])))
+        a, w = np.where(rest, a, 1.0), np.where(rest, w, 0.0)
+        centre = (np.add.reduceat(u, first) / (last - first + 1))[np.cumsum(~rest) - 1]
+        weight, sx = (scan_runs(a, b, local)[last] for b in (w, w * np.where(rest, u - centre, 0.0)))
+        several = weight > 0
+        mean = np.where(several, sx / np.where(several, weight, 1.0) + centre[first], 0.0)
+        lead, tail = (1.0, 0.0) if self.ignore_na else (places[first] + 1 - begins[found], ends[found] - 1 - places[last])
+        for name, values in (("n", last - first + 1), ("lead", lead), ("tail", tail), ("x", u[first]), ("y", u[first]),
+                             ("factor", np.multiply.reduceat(a, first)), ("weight", weight), ("mx", mean), ("my", mean)):
+            out[found, self.SUMMARY.index(name)] = values
+        return out
+
+    def means(self, x: np.ndarray, begins: np.ndarray, states: np.ndarray) -> np.ndarray:
+        """The mean at every row of many runs, each from the numbers of its own state."""
+        state = {f: states[:, i] for i, f in enumerate(State.FIELDS)}
+        places, run, local = self._places(x, begins)
+        size = np.diff(np.append(begins, len(x)))
+        out = np.repeat(np.where(state["n"] > 0, state["mx"], np.nan), size)
+        if not len(places):
+            return out
+        rest, first = local > 0, np.flatnonzero(local == 0)
+        found, u = run[first], x[places]
+        a, w = self._lines(self._gaps(np.concatenate([places[:1] - 1, places])))
+        lead = 1.0 if self.ignore_na else places[first] + 1 - begins[found]
+        kept, held = self.fall ** (state["age"][found] + lead), state["weight"][found]
+        weight = np.where(held > 0, kept * held + 1.0, 1.0) if self.adjust else np.ones(len(first))
+        share = 1.0 / weight if self.adjust else np.where(held > 0, self.alpha / (kept + self.alpha), 1.0)
+        which = np.cumsum(~rest) - 1
+        centre = np.add.reduceat(u, first) / np.diff(np.append(first, len(u)))
+        # The first value together with what is before it is where the lines start.
+        start = weight * ((1.0 - share) * state["mx"][found] + share * u[first] - centre)
+        total = scan_runs(a, np.where(rest, w, weight[which]), local)
+        sx = scan_runs(a, np.where(rest, w * (u - centre[which]), start[which]), local)
+        mean = sx / total + centre[which]
+        latest = np.cumsum(x == x) - 1
+        own = (latest >= 0) & (run[np.maximum(latest, 0)] == np.repeat(np.arange(len(begins)), size))
+        return np.where(own, mean[latest], out)
 
 
 def _spread(rows: Mapping[str, np.ndarray], bias: bool) -> np.ndarray:

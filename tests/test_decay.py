@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -171,6 +172,47 @@ def test_state_expires_by_the_clock(spark, tmp_path):
     assert got[1, 1] == 3.0 and got[1, 2] == pytest.approx(pd.Series([3.0, 5.0]).ewm(alpha=0.4).mean()[1])
 
 
+@pytest.mark.parametrize("adjust", [True, False])
+@pytest.mark.parametrize("ignore_na", [True, False])
+def test_many_runs_at_once(adjust, ignore_na):
+    rng, decay = np.random.default_rng(5), D.Decay(0.3, adjust, ignore_na)
+    for _ in range(50):
+        sizes = rng.integers(1, 9, rng.integers(1, 8))
+        x = rng.normal(100, 1, sizes.sum())
+        x[rng.random(len(x)) < 0.4] = np.nan
+        begins = np.cumsum([0, *sizes[:-1]])
+        states = [D.State() if i % 3 == 0 else decay.after(D.State(), decay.summary(v, v)) for i, v in enumerate(np.where(rng.random((len(sizes), 4)) < 0.4, np.nan, 2.0))]
+        lines, means = decay.summaries(x, begins), decay.means(x, begins, np.array([s.numbers() for s in states]))
+        for line, s, a, n in zip(lines, states, begins, sizes):
+            own = x[a : a + n]
+            np.testing.assert_allclose(line[:10], decay.summary(own, own)[:10], rtol=1e-9)
+            rows = decay.rows(own, own, s)
+            np.testing.assert_allclose(means[a : a + n], np.where(rows["n"] > 0, rows["mean"], np.nan), rtol=1e-9)
+
+
+def test_small_keys_share_the_work(spark, tmp_path, monkeypatch):
+    # Chunks do not end with the Arrow batch: 3 rows a batch, and yet one chunk for each of 40 keys and task.
+    from sensorlake.streaming import online
+
+    schema = pa.schema([("k", pa.int32()), ("t", pa.int32()), ("v", pa.float64())])
+    data = [(i % 40, i, None if i % 7 == 0 else float(i % 11)) for i in range(400)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*data[i : i + 3]), schema)], schema=schema) for i in range(0, 400, 3)]
+    chunks = online.Chunks(["k"], ["t"], "v", None, ["k", "t", "v"], schema, D.Decay(0.4))
+    assert sum(b.num_rows for b in chunks.pack(iter(batches))) == 40
+    monkeypatch.setattr(online, "CUT_ROWS", 50)
+    packed = [r for b in chunks.pack(iter(batches)) for r in b.to_pylist()]
+    assert len(packed) > 40 and sum(chunks.opened(r["__chunk"], online.LINE).num_rows for r in packed) == 400
+    # Rows of a key come in several chunks, out of order.
+    stream = Stream(spark, tmp_path, "k int, t int, v double", by=["k"], order=["t"])
+    stream.land([data[i] for i in np.random.default_rng(1).permutation(200)])
+    stream.land(data[200:])
+    got = stream.result("k", "t")
+    want = pd.DataFrame(data, columns=["k", "t", "v"]).groupby("k")["v"].transform(lambda s: s.ewm(alpha=0.4).mean())
+    assert len(got) == 400
+    for (k, t, _), w in zip(data, want):
+        assert (got[k, t] is None) == (w != w) and (w != w or got[k, t] == pytest.approx(w)), (k, t)
+
+
 def test_no_keys_and_wrong_arguments(spark, tmp_path):
     stream = Stream(spark, tmp_path, "t int, v double", by=[], order=["t"], adjust=False)
     stream.land([(0, 1.0), (1, 2.0)])
