@@ -14,7 +14,7 @@ from sensorlake.llm.mixing import stage_mix
 from sensorlake.llm.near_duplicates import stage_near_duplicates
 from sensorlake.llm.personal import stage_personal
 from sensorlake.llm.quality import stage_quality
-from sensorlake.llm.shared import kept
+from sensorlake.llm.shared import Scratch
 
 STAGES = [
     ("quality_rules", stage_quality),
@@ -30,6 +30,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch = Scratch(spark)
     for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}", docs)
     return docs

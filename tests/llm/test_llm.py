@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -511,3 +512,35 @@ def test_warc_round_trip(spark, tmp_path):
 
 def test_ranges_join_neighbours():
     assert warc.ranges([(0, 10), (10, 5), (10**6, 7)]) == [(0, 15, 2), (10**6, 10**6 + 7, 1)]
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    import glob
+    import tempfile
+
+    from sensorlake.llm.shared import kept
+
+    def files():
+        return set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+
+    before = files()
+    step = kept(spark.range(1000).repartition(3).groupBy((F.col("id") % 10).alias("k")).count(), "shuffled")
+    assert step.count() == 10 and sum(r["count"] for r in step.collect()) == 1000
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:  # files are removed by messages to the executors
+        time.sleep(0.5)
+    assert not files() - before
+
+
+def test_pipeline_keeps_the_last_stage_only(spark, tmp_path, monkeypatch):
+    import glob
+
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    drop = lambda n: lambda spark, docs, sf_dir: docs.filter(F.col("doc_id") % n != 0)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("tmp_two", drop(2)), ("tmp_three", drop(3))])
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in rows.collect()) == [1, 5, 7, 11, 13, 17, 19]
+    folders = glob.glob(spark.conf.get("spark.checkpoint.dir").removeprefix("file:") + "/stage-tmp_*")
+    assert len(folders) == 1 and "stage-tmp_three" in folders[0]
