@@ -13,7 +13,7 @@ leaves all documents clean. Texts are indexed whole, a very long one in a segmen
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.shared import kept, table
+from sensorlake.llm.shared import Scratch, kept, table
 
 WINDOW = 10
 SEGMENT_TOKENS = 400_000
@@ -57,8 +57,8 @@ def _segment(name: str, docs: list[tuple[int | None, list[bytes]]]) -> dict:
     }
 
 
-def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored index of all words of all documents: one row per segment."""
+def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
+    """The stored index of all words of all documents: one row per segment. ``keep`` stores it."""
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -76,7 +76,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             yield pd.DataFrame([_segment(f"{part}-{number}", held)])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return kept(rows.mapInPandas(segments, INDEX_SCHEMA), "positional-index")
+    return keep(rows.mapInPandas(segments, INDEX_SCHEMA), "positional-index")
 
 
 class Segment:
@@ -216,8 +216,8 @@ def hit_words() -> Column:
     return F.aggregate("runs", zero, step, lambda acc: acc["n"]).cast("long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    found = phrase_matches(build_index(docs), benchmark)
+def contamination(docs: DataFrame, benchmark: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
+    found = phrase_matches(build_index(docs, keep=keep), benchmark)
     return found.select(
         "doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.size("runs") > 0).alias("contaminated"),
@@ -232,9 +232,12 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Drop rows that hold any window of the benchmark. A row is judged by its text (a 64-bit hash), whatever its id; it is carried
     as one struct, so no name can clash."""
     name = F.xxhash64("text")
-    bad = contamination(docs.select(name.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).filter("contaminated")
+    scratch = Scratch(spark)
+    bad = contamination(docs.select(name.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), scratch.keep).filter("contaminated")
+    bad = kept(bad.select(F.col("doc_id").alias("name")).distinct(), "contaminated")
+    scratch.clear()  # the names are written, so the index goes
     rows = docs.select(name.alias("name"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.join(kept(bad.select(F.col("doc_id").alias("name")).distinct(), "contaminated"), "name", "left_anti").select("row.*")
+    return rows.join(bad, "name", "left_anti").select("row.*")
 
 
 ORACLE = r"""

@@ -184,18 +184,19 @@ def similar_nodes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     index = index.join(several, "shingle")
     # Where two sets have the same shingle before this one too, they have met there already.
     index = index.withColumn("prior", F.lag("shingle").over(Window.partitionBy("node", "own").orderBy("place")))
-    # Similar sets differ in size by a class of sizes at most, so a shingle of very many nodes is dealt out by size, and each
-    # node also goes to the class above its own.
+    # Similar sets differ in size by a class of sizes at most, so a shingle of very many nodes is dealt out by size. The larger
+    # set of a pair is on the right and goes to the class below its own, too.
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) + 1e-6)).cast("int")
     left = index.withColumn("size", step)
-    right = index.withColumn("size", F.explode(F.array(step, step + 1, step - 1)))
+    right = index.withColumn("size", F.explode(F.array(step, step - 1)))
     renamed = right.select("shingle", "size", *[F.col(c).alias(f"{c}2") for c in ("node", "comp", "place", "n", "prior")])
     needed = percent * (F.col("n") + F.col("n2"))
     room = (100 + percent) * F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-    fits = (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (room >= needed)
+    smaller = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("node") < F.col("node2")))
+    fits = smaller & (F.col("comp") != F.col("comp2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (room >= needed)
     fits = fits & (F.col("prior").isNull() | F.col("prior2").isNull() | (F.col("prior") != F.col("prior2")))
     pairs = left.join(renamed, (left["shingle"] == renamed["shingle"]) & (left["size"] == renamed["size"]) & fits)
-    return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -225,9 +226,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) of buckets that more than one node is in."""
+    """(bucket, node) of buckets with more than one row."""
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
+    # Rows are counted, so no names travel; a bucket that one node is in twice has no pairs later.
+    shared = members.groupBy("bucket").count().filter("count > 1").select("bucket")
     return members.join(shared, "bucket").distinct()
 
 
@@ -298,10 +300,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_name(columns: list[str]) -> Column:
-    """128 bits of a row's values and of which of them are null, as text."""
+    """128 bits of a row's values and of which of them are null."""
     cells = [F.col(f"`{c}`") for c in columns]
     half = lambda n: F.lpad(F.hex(F.xxhash64(F.lit(n), *cells, *[c.isNull() for c in cells])), 16, "0")
-    return F.concat(half(1), half(2))
+    return F.unhex(F.concat(half(1), half(2)))
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

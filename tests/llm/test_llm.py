@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import random
 import re
 import time
@@ -544,3 +545,30 @@ def test_pipeline_keeps_the_last_stage_only(spark, tmp_path, monkeypatch):
     assert sorted(r.doc_id for r in rows.collect()) == [1, 5, 7, 11, 13, 17, 19]
     folders = glob.glob(spark.conf.get("spark.checkpoint.dir").removeprefix("file:") + "/stage-tmp_*")
     assert len(folders) == 1 and "stage-tmp_three" in folders[0]
+
+
+def test_decontamination_stage_leaves_no_index(spark, tmp_path, monkeypatch):
+    from sensorlake.llm import shared
+
+    steps = []
+    monkeypatch.setattr(shared, "scratch_dir", lambda _, label: steps.append(f"{tmp_path}/{label}") or steps[-1])
+    passage = " ".join(f"p{k}" for k in range(12))
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "a clean text"), (3, None)], "doc_id bigint, text string")
+    got = decontamination.stage_decontaminate(spark, docs, str(tmp_path))
+    assert [os.path.exists(s) for s in steps] == ["contaminated" in s for s in steps] and len(steps) == 2
+    assert sorted(r["doc_id"] for r in got.collect()) == [2, 3]
+
+
+def test_rows_are_named_by_sixteen_bytes(spark):
+    rows = spark.createDataFrame([(1, None), (None, 1), (1, 1), (1, 1)], "a bigint, b bigint")
+    names = [r[0] for r in rows.select(near_duplicates.row_name(rows.columns)).collect()]
+    assert {len(n) for n in names} == {16} and len(set(names)) == 3
+
+
+def test_shared_buckets_count_rows_only(spark):
+    nodes = spark.createDataFrame([("a", [1, 2]), ("b", [2, 3]), ("c", [4]), ("c", [4])], "node string, bands array<bigint>")
+    got = near_duplicates.shared_buckets(nodes)
+    assert sorted(map(tuple, got.select("bucket", "node").collect())) == [(2, "a"), (2, "b"), (4, "c")]
+    # The rows that tell which buckets are shared hold a bucket and a number, no names.
+    assert not re.search(r"min\(node|max\(node", got._jdf.queryExecution().optimizedPlan().toString())
