@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.llm.shared import Scratch, table
+from sensorlake.llm.shared import Scratch, perhaps_among, table
 
 BANDS = 24
 ROWS = 4
@@ -113,7 +113,8 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
 
 def full_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """The sets of the documents that share a bucket, made again from their texts."""
-    rows = docs.select(F.col(doc_id).alias("node"), F.col(text).cast("binary").alias("text")).join(nodes, "node", "left_semi")
+    rows = docs.select(F.col(doc_id).alias("node"), F.col(text).cast("binary").alias("text"))
+    rows = rows.filter(perhaps_among(nodes, "node")(F.col("node"))).join(nodes, "node", "left_semi")
     schema = T.StructType([rows.schema["node"], *T.StructType.fromDDL("n_shingles bigint, shingles array<bigint>")])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,9 +142,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def frequent_shingles(sets: DataFrame) -> dict[int, int]:
-    """Shingles that several nodes of a bounded sample hold, with their numbers there."""
-    sample = sets.orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
-    counts = sample.select(F.explode("shingles").alias("s")).groupBy("s").count().filter("count > 2")
+    """Shingles that several of these sets hold, with their numbers."""
+    counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").count().filter("count > 2")
     most = counts.orderBy(F.desc("count"), "s").limit(200_000)
     return {r["s"]: r["count"] for r in most.collect()}
 
@@ -151,7 +151,9 @@ def frequent_shingles(sets: DataFrame) -> dict[int, int]:
 def similar_nodes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) among ``nodes`` (node, comp), of different classes, that may be similar enough: an exact join by prefixes."""
     held = sets.join(nodes, "node")
-    often = held.sparkSession.sparkContext.broadcast(frequent_shingles(held))
+    # The sample is drawn among the names, so no other set is moved for it.
+    sample = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
+    often = held.sparkSession.sparkContext.broadcast(frequent_shingles(sets.join(F.broadcast(sample), "node", "left_semi")))
     schema = T.StructType([held.schema["node"], held.schema["comp"], *T.StructType.fromDDL("own bigint, shingle bigint, place bigint, n bigint")])
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,6 +319,9 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     best = named.groupBy("class").agg(F.min_by("name", F.struct(F.col("id").isNull(), "id", "name")).alias("best"))
     judged = named.join(best, "class").select("name", (F.col("name") != F.col("best")).alias("gone"), "n")
     judged = Scratch(spark).keep(judged.filter("gone or n > 1").select("name", "gone").distinct(), "near-duplicates")
-    alone = rows.join(judged, "name", "left_anti").select("row")
-    again = rows.join(judged.filter("not gone"), "name").groupBy("name").agg(F.first("row").alias("row")).select("row")
+    # Most rows are of neither kind and stay where they are; the others are joined, in one shuffle.
+    rows = rows.withColumn("perhaps", perhaps_among(judged, "name")(F.col("name")))
+    joined = rows.filter("perhaps").select("name", "row").join(judged, "name", "left")
+    alone = rows.filter("not perhaps").select("row").unionByName(joined.filter("gone is null").select("row"))
+    again = joined.filter("not gone").groupBy("name").agg(F.first("row").alias("row")).select("row")
     return alone.unionByName(again).select("row.*")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +60,29 @@ class Scratch:
         self.drop(*[df for df, _ in self.paths.values()])
 
 
+FILTER_BITS = 1 << 25  # at most 4 MB, whatever the number of values
+
+
+def perhaps_among(values: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A condition that holds for every value of ``values`` and for few others: a bit per hash, made by executors. It spares other
+    rows a shuffle; an exact join decides on those that pass. A null is never among the values."""
+    spark = values.sparkSession
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    bits = values.filter(F.col(column).isNotNull()).select(place.alias("at"))
+    words = bits.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("bits"))
+    found = words.toArrow()
+    filled = np.zeros(FILTER_BITS // 32, np.uint32)
+    filled[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    shared = spark.sparkContext.broadcast(filled)
+
+    def passes(at: pd.Series) -> pd.Series:
+        n = at.to_numpy()
+        return pd.Series((shared.value[n >> 5] >> (n & 31).astype(np.uint32)) & np.uint32(1) == 1)
+
+    test = F.pandas_udf(passes, "boolean")
+    return lambda value: value.isNotNull() & test(F.pmod(F.xxhash64(value), F.lit(FILTER_BITS)))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -572,3 +572,22 @@ def test_shared_buckets_count_rows_only(spark):
     assert sorted(map(tuple, got.select("bucket", "node").collect())) == [(2, "a"), (2, "b"), (4, "c")]
     # The rows that tell which buckets are shared hold a bucket and a number, no names.
     assert not re.search(r"min\(node|max\(node", got._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_filter_passes_all_values_and_few_others(spark):
+    from sensorlake.llm.shared import perhaps_among
+
+    names = spark.range(5000).select(F.when(F.col("id") != 7, F.unhex(F.md5(F.col("id").cast("string")))).alias("name"))
+    passes = perhaps_among(names.filter(F.crc32("name") % 2 == 0), "name")
+    got = {(r[0], r[1]): r[2] for r in names.groupBy((F.crc32("name") % 2 == 0).alias("among"), passes(F.col("name")).alias("p")).count().collect()}
+    assert got[(None, False)] == 1 and (True, False) not in got and got.get((False, True), 0) < 10
+    assert names.filter(perhaps_among(names.limit(0), "name")(F.col("name"))).count() == 0
+
+
+def test_near_duplicate_stage_moves_marked_rows_only(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(40)]
+    docs = spark.createDataFrame(rows + [(41, rows[1][1]), rows[2], rows[2]], "doc_id bigint, text string")
+    got = near_duplicates.stage_near_duplicates(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(40))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == plan.count("Join LeftOuter") + plan.count("Join Inner") and "LeftAnti" not in plan
