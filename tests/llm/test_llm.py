@@ -268,6 +268,22 @@ def test_prefix_join_loses_no_link(spark, monkeypatch):
         assert found == want
 
 
+def test_centre_rounds_propose_few_pairs(spark, monkeypatch):
+    # Nodes of three buckets that have no link: rounds of centres must not propose more pairs than a few per node.
+    n, proposed = 120, []
+    rows = [(i, b) for i in range(n) for b in range(3)]
+    sets = spark.createDataFrame([(i, 20, list(range(100 * i, 100 * i + 20))) for i in range(n)], "node bigint, n_shingles bigint, shingles array<bigint>")
+    confirm = near_duplicates.confirmed
+
+    def counted(pairs, sets, percent):
+        proposed.append(pairs.count())
+        return confirm(pairs, sets, percent)
+
+    monkeypatch.setattr(near_duplicates, "confirmed", counted)
+    found = near_duplicates.links(spark.createDataFrame(rows, "node bigint, bucket bigint"), sets, 80, near_duplicates.Scratch(spark))
+    assert found.count() == 0 and sum(proposed) <= 6 * n
+
+
 def test_steps_are_removed(spark, tmp_path):
     from sensorlake.llm.shared import Scratch
 
