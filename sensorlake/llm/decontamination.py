@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.shared import Scratch, kept, table
+from sensorlake.llm.shared import LARGE_ROWS, Scratch, bounded_batches, few_rows_scanned, kept, table
 
 WINDOW = 10
 SEGMENT_TOKENS = 400_000
@@ -57,7 +57,7 @@ def _segment(name: str, docs: list[tuple[int | None, list[bytes]]]) -> dict:
     }
 
 
-def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
+def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: Callable[..., DataFrame] = kept) -> DataFrame:
     """The stored index of all words of all documents: one row per segment. ``keep`` stores it."""
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,7 +76,9 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
             yield pd.DataFrame([_segment(f"{part}-{number}", held)])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return keep(rows.mapInPandas(segments, INDEX_SCHEMA), "positional-index")
+    bounded_batches(docs.sparkSession)
+    with few_rows_scanned(docs.sparkSession):
+        return keep(rows.mapInPandas(segments, INDEX_SCHEMA), "positional-index", options=LARGE_ROWS)
 
 
 class Segment:
@@ -216,7 +218,7 @@ def hit_words() -> Column:
     return F.aggregate("runs", zero, step, lambda acc: acc["n"]).cast("long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, keep: Callable[..., DataFrame] = kept) -> DataFrame:
     found = phrase_matches(build_index(docs, keep=keep), benchmark)
     return found.select(
         "doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),

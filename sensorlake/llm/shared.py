@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -22,17 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+# Of rows that hold megabytes, the Parquet writer gathers 100 before it looks at their size, and its reader takes a row group at a time:
+# with these options a group of them ends by its bytes.
+LARGE_ROWS = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+BATCH_BYTES, SCAN_ROWS = 8 << 20, 256
+
+
+def _written(df: DataFrame, label: str, options: dict | None = None) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     spark.conf.set(CLEANUP, "true")
     path = scratch_dir(spark, label)
-    df.write.parquet(path, compression="zstd")
+    df.write.options(**options or {}).parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept(df: DataFrame, label: str, options: dict | None = None) -> DataFrame:
     """Write a step to the shared scratch folder and read it again: it is computed once, and outlives lost executors."""
-    return _written(df, label)[0]
+    return _written(df, label, options)[0]
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on an Arrow batch to Python ends by its bytes, not at 64 MB (a plan takes the setting when it runs, so it stays)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+@contextmanager
+def few_rows_scanned(spark: SparkSession) -> Iterator[None]:
+    """Inside, scans take few rows at once, as each may be a whole text."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), SCAN_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 class Scratch:
@@ -42,9 +66,9 @@ class Scratch:
         self.spark = spark
         self.paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def keep(self, df: DataFrame, label: str, *done: DataFrame | None) -> DataFrame:
+    def keep(self, df: DataFrame, label: str, *done: DataFrame | None, options: dict | None = None) -> DataFrame:
         """``kept``; then the steps ``done`` go."""
-        out, path = _written(df, label)
+        out, path = _written(df, label, options)
         self.paths[id(out)] = out, path
         self.drop(*done)
         return out
