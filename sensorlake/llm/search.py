@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.llm.shared import kept, table
+from sensorlake.llm.shared import LARGE_ROWS, bounded_batches, few_rows_scanned, kept, table
 
 TOP = 20
 BLOCK_DOCS, BLOCK_TERMS, BUFFER_TERMS = 1024, 1_000_000, 2_000_000
@@ -135,7 +135,9 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         if held:
             yield from flush(kind)
 
-    return kept(rows.mapInArrow(blocks, schema), "search-index")
+    bounded_batches(docs.sparkSession)
+    with few_rows_scanned(docs.sparkSession):
+        return kept(rows.mapInArrow(blocks, schema), "search-index", LARGE_ROWS)
 
 
 class Block:

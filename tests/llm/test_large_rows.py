@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.llm import decontamination, shared
+from sensorlake.llm import decontamination, search, shared
 
 MB = 1 << 20
 
@@ -41,7 +41,7 @@ def handed_over(index):
     return [tuple(r) for r in index.mapInArrow(sizes, "n long, bytes long").collect()]
 
 
-@pytest.mark.parametrize("build", [decontamination.build_index])
+@pytest.mark.parametrize("build", [decontamination.build_index, search.build_index])
 def test_index_is_read_in_bounded_pieces(spark, texts, build):
     key = "spark.sql.parquet.columnarReaderBatchSize"
     before = spark.conf.get(key)
