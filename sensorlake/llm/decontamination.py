@@ -26,6 +26,8 @@ from sensorlake.llm.shared import LARGE_ROWS, Scratch, bounded_batches, few_rows
 WINDOW = 10
 SEGMENT_TOKENS = 400_000
 QUERY_BLOCK_BYTES = 4_000_000
+WINDOWS, PLACES = 8192, 1 << 18  # that are tried at once
+PAD, ABSENT = -1, -2  # instead of the number of a word
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 INDEX_SCHEMA = "segment string, doc_ids array<bigint>, starts array<int>, terms array<string>, ends array<int>, positions binary"
@@ -81,6 +83,34 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
         return keep(rows.mapInPandas(segments, INDEX_SCHEMA), "positional-index", options=LARGE_ROWS)
 
 
+class Windows:
+    """The windows of a block of items: rows of word numbers, equal rows once, and the items that hold each. An item of fewer words
+    is one window, filled up with ``PAD``."""
+
+    def __init__(self, items: list[tuple[str, str]]) -> None:
+        ids: dict[bytes, int] = {}
+        rows, owners = [np.empty((0, WINDOW), np.int32)], [np.empty(0, np.int64)]
+        for i, (_, text) in enumerate(items):
+            words = words_of(text)
+            if words:
+                codes = np.full(max(len(words), WINDOW), PAD, np.int32)
+                codes[: len(words)] = [ids.setdefault(w, len(ids)) for w in words]
+                rows.append(np.lib.stride_tricks.sliding_window_view(codes, WINDOW))
+                owners.append(np.full(len(rows[-1]), i))
+        every = np.concatenate(rows).view(np.dtype((np.void, 4 * WINDOW)))[:, 0]
+        found, row = np.unique(every, return_inverse=True)
+        self.rows = found.view(np.int32).reshape(-1, WINDOW)
+        self.lengths = (self.rows != PAD).sum(axis=1)
+        self.terms = [w.decode("utf-8", "surrogatepass") for w in ids]
+        pairs = np.unique(row * max(len(items), 1) + np.concatenate(owners))
+        self.owners = pairs % max(len(items), 1)
+        self.begins = np.searchsorted(pairs // max(len(items), 1), np.arange(len(self.rows) + 1))
+        self.names = [name for name, _ in items]
+
+    def items(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.owners[self.begins[window] : self.begins[window + 1]].tolist()]
+
+
 class Segment:
     """Postings of one index row."""
 
@@ -94,27 +124,39 @@ class Segment:
         i = self.ids.get(term)
         return None if i is None else self.positions[(self.ends[i - 1] if i else 0) : self.ends[i]]
 
-    def phrase(self, terms: tuple[str, ...]) -> np.ndarray:
-        """Where the phrase starts, inside one document."""
-        lists = []
-        for offset, term in enumerate(terms):
-            found = self.postings(term)
-            if found is None:
-                return np.empty(0, np.int64)
-            lists.append((len(found), offset, found))
-        lists.sort(key=lambda x: x[:2])
-        at = lists[0][2].astype(np.int64) - lists[0][1]
-        for _, offset, found in lists[1:]:
-            if not len(at):
-                return at
-            want = at + offset
-            i = np.minimum(np.searchsorted(found, want), len(found) - 1)
-            at = at[found[i] == want]
-        if not len(at):
-            return at
-        at = at[at >= 0]
-        doc = np.searchsorted(self.starts, at, side="right") - 1
-        return at[at + len(terms) <= self.starts[doc + 1]]
+    def phrases(self, windows: Windows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(windows, places): where windows start, inside one document."""
+        of = np.fromiter((self.ids.get(t, ABSENT) for t in windows.terms), np.int64, len(windows.terms))
+        of = np.append(of, PAD)
+        there = np.flatnonzero(np.logical_and.reduce([of[windows.rows[:, k]] != ABSENT for k in range(WINDOW)]))
+        sizes, reach = np.diff(self.ends, prepend=0), len(self.positions) + 2 * WINDOW
+        # Postings as one list in order: a word, then its places.
+        keys = np.repeat(np.arange(len(sizes)) * reach, sizes) + self.positions + WINDOW
+        for begin in range(0, len(there), WINDOWS):
+            some = there[begin : begin + WINDOWS]
+            terms = of[windows.rows[some]]
+            counts = np.where(terms == PAD, np.iinfo(np.int64).max, sizes[terms])
+            order = np.argsort(counts, axis=1, kind="stable")
+            rarest = np.take_along_axis(counts, order[:, :1], 1)[:, 0]
+            cuts = np.flatnonzero(np.diff(np.cumsum(rarest) // PLACES)) + 1
+            for here in np.split(np.arange(len(some)), cuts):
+                # The places of each window's rarest word; of them those stay that have the next rarest where it belongs.
+                n = rarest[here]
+                w = np.repeat(here, n)
+                column = order[w, 0]
+                term = terms[w, column]
+                at = self.positions[self.ends[term] - sizes[term] + np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)] - column
+                for k in range(1, WINDOW):
+                    column = order[w, k]
+                    term = terms[w, column]
+                    want = term * reach + at + column + WINDOW
+                    i = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                    ok = (term == PAD) | (keys[i] == want)
+                    w, at = w[ok], at[ok]
+                w, at = some[w[at >= 0]], at[at >= 0]
+                doc = np.searchsorted(self.starts, at, side="right") - 1
+                inside = at + windows.lengths[w] <= self.starts[doc + 1]
+                yield w[inside], at[inside]
 
     def near(self, terms: tuple[str, ...], slop: int) -> np.ndarray:
         """Places of the rarest term with every other term at most ``slop`` words away, in the same document."""
@@ -132,11 +174,6 @@ class Segment:
         return at[ok]
 
 
-def windows_of(text: str | None, size: int = WINDOW) -> list[tuple[str, ...]]:
-    words = [w.decode("utf-8", "surrogatepass") for w in words_of(text)]
-    return [tuple(words[i : i + size]) for i in range(max(len(words) - size, 0) + 1)] if words else []
-
-
 def query_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[str, str]]]:
     """Items in blocks of at most ``QUERY_BLOCK_BYTES`` of text (one longer item makes a block of its own)."""
     held, size = [], 0
@@ -153,18 +190,17 @@ def _search_block(index: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
     shared = index.sparkSession.sparkContext.broadcast(items)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted: dict[tuple[str, ...], list[str]] = {}
-        for item, text in shared.value:
-            for w in set(windows_of(text)):
-                wanted.setdefault(w, []).append(item)
+        windows = Windows(shared.value)
         for batch in batches:
             for _, row in batch.iterrows():
                 seg, hits, items_of = Segment(row), {}, {}
-                for terms, names in wanted.items():
-                    for at in seg.phrase(terms):
-                        d = int(np.searchsorted(seg.starts, at, side="right") - 1)
-                        hits.setdefault(d, []).append((int(at - seg.starts[d]), int(at - seg.starts[d]) + len(terms)))
-                        items_of.setdefault(d, set()).update(names)
+                for found, places in seg.phrases(windows):
+                    at = np.searchsorted(seg.starts, places, side="right") - 1
+                    lo = places - seg.starts[at]
+                    for d, x, y in zip(at.tolist(), lo.tolist(), (lo + windows.lengths[found]).tolist()):
+                        hits.setdefault(d, []).append((x, y))
+                    for d, w in set(zip(at.tolist(), found.tolist())):
+                        items_of.setdefault(d, set()).update(windows.items(w))
                 out = []
                 for d, doc_id in enumerate(row["doc_ids"]):
                     runs: list[dict] = []

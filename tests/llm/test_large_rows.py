@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import glob
+import random
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -59,3 +61,44 @@ def test_scratch_passes_options_on(spark, tmp_path, monkeypatch):
     (path,) = glob.glob(f"{tmp_path}/step/*.parquet")
     assert pq.ParquetFile(path).metadata.num_row_groups > 3
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def slid(words):
+    """Windows of a text, one shorter window if it has few words."""
+    return {tuple(words[i : i + decontamination.WINDOW]) for i in range(max(len(words) - decontamination.WINDOW, 0) + 1)} if words else set()
+
+
+@pytest.mark.parametrize("at_once", [(8192, 1 << 18), (3, 7), (1, 1)])
+def test_windows_are_found_many_at_a_time(monkeypatch, at_once):
+    monkeypatch.setattr(decontamination, "WINDOWS", at_once[0])
+    monkeypatch.setattr(decontamination, "PLACES", at_once[1])
+    rng = random.Random(5)
+    for _ in range(30):
+        few = rng.choice([2, 10, 200])
+        pick = lambda k: " ".join(rng.choice(["a", "B", "é"]) + str(int(rng.paretovariate(0.7)) % few) for _ in range(k))  # noqa: B023, E731
+        docs = [decontamination.words_of(rng.choice([None, "", "?!", pick(rng.choice([1, 9, 10, 11, 300]))])) for _ in range(rng.choice([1, 5, 20]))]
+        part = lambda: b" ".join(rng.choice(docs)[: rng.choice([1, 10, 15])]).decode()  # noqa: B023, E731
+        items = [(str(rng.randrange(4)), rng.choice(["", "..", pick(rng.choice([1, 2, 10, 30])), part()])) for _ in range(rng.choice([0, 1, 15]))]
+        wanted = {}
+        for item, text in items:
+            for w in slid(decontamination.words_of(text)):
+                wanted.setdefault(w, set()).add(item)
+        want, start = [], 0
+        for words in docs:
+            want += [(start + i, w, sorted(names)) for w, names in wanted.items() for i in range(len(words)) if tuple(words[i : i + len(w)]) == w]
+            start += len(words)
+        windows = decontamination.Windows(items)
+        named = [tuple(windows.terms[c].encode() for c in row if c != decontamination.PAD) for row in windows.rows]
+        assert sorted(named) == sorted(wanted)
+        segment = decontamination.Segment(decontamination._segment("s", list(enumerate(docs))))
+        got = [(at, named[w], sorted(set(windows.items(w)))) for found, places in segment.phrases(windows) for w, at in zip(found.tolist(), places.tolist())]
+        assert sorted(got) == sorted(want)
+
+
+def test_windows_of_a_block_are_small():
+    """Two million letters of benchmark text were 161 MB of tuples; a task holds them beside its segments."""
+    rng = random.Random(3)
+    items = [(str(i), " ".join(f"w{rng.randrange(20_000)}" for _ in range(50))) for i in range(2000)]
+    windows = decontamination.Windows(items)
+    assert len(windows.rows) > 80_000
+    assert sum(v.nbytes for v in vars(windows).values() if isinstance(v, np.ndarray)) < 70 * len(windows.rows)
