@@ -35,7 +35,8 @@ from sensorlake.llm.shared import LARGE_ROWS, bounded_batches, few_rows_scanned,
 TOP = 20
 BLOCK_DOCS, BLOCK_TERMS, BUFFER_TERMS = 1024, 1_000_000, 2_000_000
 BITS_PER_TERM, HASHES = 8, 4
-QUERY_BLOCK_BYTES = 1_000_000
+QUERY_BLOCK_BYTES, QUERY_BLOCK_ROWS = 1_000_000, 2048
+CELLS = 1 << 19  # of a matrix of queries and terms
 # Bytes above the ASCII range belong to terms, so terms of bytes are terms of characters.
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 U = np.uint64
@@ -46,11 +47,13 @@ def terms_of(text: bytes | None) -> list[bytes]:
     return TERM.findall(text.lower()) if text else []
 
 
-def places(terms: list[bytes], level: int, bits: int) -> np.ndarray:
-    """For each term at a level, its ``HASHES`` bits of a signature."""
-    if not terms:
-        return np.empty((0, HASHES), np.int64)
-    both = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16, salt=bytes([level])).digest() for t in terms), "<u8").reshape(-1, 2)
+def digests(terms: list[bytes], level: int) -> np.ndarray:
+    """Two numbers of each term at a level."""
+    return np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16, salt=bytes([level])).digest() for t in terms), "<u8").reshape(-1, 2)
+
+
+def places(both: np.ndarray, bits: int) -> np.ndarray:
+    """For each pair of numbers, ``HASHES`` bits of a signature."""
     steps = np.arange(HASHES, dtype=np.uint64)
     return ((both[:, :1] + steps * (both[:, 1:] | U(1))) & U(bits - 1)).astype(np.int64)
 
@@ -74,7 +77,7 @@ def make_block(docs: list[tuple[object, np.ndarray, np.ndarray]], words: list[by
     for level in range(int(levels.max())):
         reached = np.flatnonzero(levels > level)
         terms, back = np.unique(codes[reached], return_inverse=True)
-        at = places([held[i] for i in terms], level, bits)
+        at = places(digests([held[i] for i in terms], level), bits)
         for k in range(HASHES):
             matrix[at[back, k], of[reached]] = True
     return {
@@ -173,7 +176,8 @@ def weight(n_docs: int, df: int) -> int:
 
 
 class Queries:
-    """A block of queries: their terms, weights and numbers of repeats, as one matrix."""
+    """A block of queries: their terms, weights and numbers of repeats. Bounds are worked out for some queries after others, whose
+    matrix has at most ``CELLS`` places, or for one query."""
 
     def __init__(self, texts: list[bytes], dfs: dict[bytes, int], n_docs: int, n_terms: int) -> None:
         self.n_docs, self.n_terms = n_docs, n_terms
@@ -185,35 +189,47 @@ class Queries:
         self.own = []
         # Sums of whole numbers below 2^24 are exact in short floats.
         largest = max((sum(c[t] * weights.get(t, 0) for t in c) for c in counted), default=0)
-        self.matrix = np.zeros((len(texts), len(self.terms)), np.float32 if largest < 2**24 else np.float64)
-        for q, c in enumerate(counted):
+        self.kind = np.float32 if largest < 2**24 else np.float64
+        for c in counted:
             at = np.array([self.place[t] for t in c if t in self.place], np.int64)
             w = np.array([c[t] * weights[t] for t in c if t in self.place], np.int64)
             self.own.append((at, w))
-            self.matrix[q, at] = w
-        self.known: dict[tuple[int, int], np.ndarray] = {}
-
-    def places(self, level: int, bits: int) -> np.ndarray:
-        if (level, bits) not in self.known:
-            self.known[level, bits] = places(self.terms, level, bits)
-        return self.known[level, bits]
+        self.parts: list[tuple[int, int, np.ndarray]] = []
+        start, among = 0, set()
+        for q, (at, _) in enumerate(self.own):
+            more = among | set(at.tolist())
+            if q > start and (q + 1 - start) * len(more) > CELLS:
+                self.parts.append((start, q, np.array(sorted(among), np.int64)))
+                start, more = q, set(at.tolist())
+            among = more
+        self.parts.append((start, len(self.own), np.array(sorted(among), np.int64)))
+        self.known: dict[int, np.ndarray] = {}
+
+    def places(self, level: int, bits: int, terms: np.ndarray) -> np.ndarray:
+        if level not in self.known:
+            self.known[level] = digests(self.terms, level)
+        return places(self.known[level][terms], bits)
 
     def bounds(self, block: Block, m: np.ndarray) -> np.ndarray:
         """Upper bounds of the scores, one row per query, one column per document."""
-        total = np.zeros((len(self.matrix), len(m)))
-        on, before, level = np.arange(len(self.terms)), None, 0
-        given = np.zeros(len(m), np.int64)
+        total = np.zeros((len(self.own), len(m)))
         top = int(_levels(np.array([block.counts.max()]))[0])
-        while len(on) and level < top:
-            maps = block.bitmaps(self.places(level, block.bits)[on])
-            if before is not None:
-                maps &= before
-            some = maps.any(1)
-            on, before = on[some], maps[some]
-            # Up to the next power of two, what a count can give beyond the level below.
-            now = share((2 << level) - 1, m)
-            total += (self.matrix[:, on] @ before.astype(self.matrix.dtype)).astype(np.float64) * (now - given)
-            given, level = now, level + 1
+        for start, stop, terms in self.parts:
+            matrix = np.zeros((stop - start, len(terms)), self.kind)
+            for q, (at, w) in enumerate(self.own[start:stop]):
+                matrix[q, np.searchsorted(terms, at)] = w
+            on, before, level = np.arange(len(terms)), None, 0
+            given = np.zeros(len(m), np.int64)
+            while len(on) and level < top:
+                maps = block.bitmaps(self.places(level, block.bits, terms[on]))
+                if before is not None:
+                    maps &= before
+                some = maps.any(1)
+                on, before = on[some], maps[some]
+                # Up to the next power of two, what a count can give beyond the level below.
+                now = share((2 << level) - 1, m)
+                total[start:stop] += (matrix[:, on] @ before.astype(matrix.dtype)).astype(np.float64) * (now - given)
+                given, level = now, level + 1
         return total
 
     def score(self, block: Block, m: np.ndarray, lookup: np.ndarray, wanted: dict[int, list[int]]) -> Iterator[tuple[int, int, int]]:
@@ -296,11 +312,11 @@ def _search(shared: Broadcast, k: int):
 
 
 def query_blocks(queries: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str | None, bytes]]]:
-    """Queries in blocks of at most ``QUERY_BLOCK_BYTES`` of text (a longer one makes a block of its own)."""
+    """Queries in blocks of at most ``QUERY_BLOCK_BYTES`` of text (a longer one makes a block of its own) and ``QUERY_BLOCK_ROWS``."""
     held, size = [], 0
     rows = queries.where(F.col(text).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t"))
     for i, t in rows.toLocalIterator():
-        if held and size + len(t) > QUERY_BLOCK_BYTES:
+        if held and (size + len(t) > QUERY_BLOCK_BYTES or len(held) == QUERY_BLOCK_ROWS):
             yield held
             held, size = [], 0
         held.append((i, bytes(t)))

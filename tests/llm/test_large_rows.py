@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -102,3 +103,45 @@ def test_windows_of_a_block_are_small():
     windows = decontamination.Windows(items)
     assert len(windows.rows) > 80_000
     assert sum(v.nbytes for v in vars(windows).values() if isinstance(v, np.ndarray)) < 70 * len(windows.rows)
+
+
+def a_block(rng, n=60):
+    """A block of documents and how many documents hold each word."""
+    words = [f"w{i}".encode() for i in range(20_000)]
+    docs = []
+    for d in range(n):
+        codes, counts = np.unique([rng.randrange(20_000) if rng.random() < 0.7 else rng.randrange(50) for _ in range(rng.choice([5, 50, 900]))], return_counts=True)
+        docs.append((d, codes.astype(np.int64), counts))
+    codes, dfs = np.unique(np.concatenate([c for _, c, _ in docs]), return_counts=True)
+    total = int(sum(c.sum() for _, _, c in docs))
+    return words, search.Block(search.make_block(docs, words)), {words[i]: int(k) for i, k in zip(codes, dfs)}, n, total
+
+
+@pytest.mark.parametrize("cells", [1, 300, 1 << 30])
+def test_bounds_of_some_queries_after_others(monkeypatch, cells):
+    rng = random.Random(2)
+    words, block, dfs, n, total = a_block(rng)
+    texts = [b" ".join(rng.choice(words[: rng.choice([50, 20_000])]) for _ in range(rng.choice([0, 1, 8, 40]))) for _ in range(30)]
+    m = 75 + 25 * block.lengths * n // total
+    alone = [search.Queries([t], dfs, n, total).bounds(block, m)[0] for t in texts]
+    monkeypatch.setattr(search, "CELLS", cells)
+    assert np.array_equal(search.Queries(texts, dfs, n, total).bounds(block, m), np.array(alone))
+
+
+def test_many_short_queries_have_no_whole_matrix():
+    rng = random.Random(2)
+    words, block, dfs, n, total = a_block(rng)
+    known = list(dfs)
+    texts = [b" ".join(rng.choice(known) for _ in range(8)) for _ in range(8000)]
+    tracemalloc.start()
+    queries = search.Queries(texts, dfs, n, total)
+    queries.bounds(block, 75 + 25 * block.lengths * n // total)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(texts) * len(queries.terms) * 4 > 200 * MB and peak < 60 * MB
+
+
+def test_query_blocks_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_BLOCK_ROWS", 3)
+    queries = spark.createDataFrame([(i, f"t{i}") for i in range(8)], "item_id bigint, text string").coalesce(1)
+    assert [len(b) for b in search.query_blocks(queries, "item_id", "text")] == [3, 3, 2]
